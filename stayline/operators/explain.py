@@ -88,7 +88,7 @@ def _shapley_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
     return table
 
 
-def _paths(nodes: dict, scale: float) -> Iterator[tuple[float, dict]]:
+def leaf_paths(nodes: dict, scale: float) -> Iterator[tuple[float, dict]]:
     """Each leaf's value, with per path feature its interval and the share of rows that stay."""
 
     def walk(at: int, seen: dict) -> Iterator[tuple[float, dict]]:
@@ -110,26 +110,38 @@ def _paths(nodes: dict, scale: float) -> Iterator[tuple[float, dict]]:
     yield from walk(0, {})
 
 
-def leaf_tables(spark: SparkSession, model: GBTClassificationModel) -> LeafTables:
-    """Build the tables from the model's saved node table; its size is trees x nodes per tree."""
+def saved_nodes(spark: SparkSession, model: GBTClassificationModel) -> dict[int, dict]:
+    """Node rows by tree and node id; there are trees x nodes per tree of them."""
     folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
     model.write().save(folder)
     trees: dict[int, dict] = {}
     for row in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData").toLocalIterator():
         trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
+    return trees
+
+
+def leaf_tables(spark: SparkSession, model: GBTClassificationModel) -> LeafTables:
     weights = model.treeWeights
-    leaves = [leaf for t, nodes in sorted(trees.items()) for leaf in _paths(nodes, weights[t])]
+    leaves = [
+        leaf
+        for tree, nodes in sorted(saved_nodes(spark, model).items())
+        for leaf in leaf_paths(nodes, weights[tree])
+    ]
+    return group_leaves(leaves, model.numFeatures)
+
 
+def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
     longest = max((len(path) for _, path in leaves), default=0)
     size = len(leaves) * longest * 2**longest * 8
     if size > MAX_TABLE_BYTES:
         raise ValueError(f"leaf tables of up to {size} bytes: explain fewer or shallower trees")
 
-    width = model.numFeatures
-    cuts = [
-        np.unique([b for _, path in leaves if f in path for b in path[f][:2] if np.isfinite(b)])
-        for f in range(width)
-    ]
+    bounds: list[set[float]] = [set() for _ in range(width)]
+    for _, path in leaves:
+        for feature, (low, high, _) in path.items():
+            bounds[feature] |= {b for b in (low, high) if np.isfinite(b)}
+    cuts = [np.array(sorted(found)) for found in bounds]
+
     base, groups = 0.0, []
     for n in sorted({len(path) for _, path in leaves}):
         chosen = [(v, sorted(path.items())) for v, path in leaves if len(path) == n]
@@ -145,7 +157,9 @@ def leaf_tables(spark: SparkSession, model: GBTClassificationModel) -> LeafTable
             for j, (f, (a, b, _)) in enumerate(path):
                 low[r, j] = 0 if a == -np.inf else np.searchsorted(cuts[f], a) + 1
                 last[r, j] = len(cuts[f]) if b == np.inf else np.searchsorted(cuts[f], b)
-        groups.append(LeafGroup(features, low, last - low + np.uint16(1), _shapley_table(value, share)))
+        groups.append(
+            LeafGroup(features, low, last - low + np.uint16(1), _shapley_table(value, share))
+        )
     return LeafTables(base, cuts, groups)
 
 

@@ -33,14 +33,17 @@ def _yes(condition: Column) -> Column:
     return F.when(condition, "Yes").otherwise("No")
 
 
+def _month(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
+
 def subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """The 21 business columns. Orders are reduced to one row per customer before the join."""
     orders = table(spark, folder, "orders")
     last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
-    newest = orders.agg(F.max("o_orderdate")).scalar()
+    newest = orders.agg(_month(F.max("o_orderdate"))).scalar()
 
     key = F.col("c_custkey")
-    month = lambda when: F.year(when) * 12 + F.month(when)
     base = (
         table(spark, folder, "customer")
         .join(last, key == F.col("o_custkey"), "left")
@@ -67,7 +70,7 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
                 ],
             ).alias("payment_method"),
             F.coalesce(
-                F.least(F.lit(24), month(newest) - month(F.col("last_order"))), F.lit(24)
+                F.least(F.lit(24), newest - _month(F.col("last_order"))), F.lit(24)
             ).alias("recency"),
         )
     )
