@@ -6,9 +6,6 @@ still has every column and nothing is shuffled.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +40,13 @@ PAYMENT = {
 }
 
 
-def flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def flag(condition: str) -> Column:
+    """1 where the condition holds, 0 where it does not or is unknown."""
+    return F.expr(f"if({condition}, 1, 0)")
 
 
 def _equals(rules: dict[str, tuple[str, str]]) -> dict[str, Column]:
-    return {name: flag(F.col(column) == value) for name, (column, value) in rules.items()}
+    return {name: flag(f"{column} = '{value}'") for name, (column, value) in rules.items()}
 
 
 def binary_flags(df: DataFrame) -> DataFrame:
@@ -66,7 +64,7 @@ def internet_onehot(df: DataFrame) -> DataFrame:
 def payment_onehot(df: DataFrame) -> DataFrame:
     """By substring in any case: both spellings of the automatic methods match."""
     return df.withColumns(
-        {name: flag(F.col("payment_method").ilike(like)) for name, like in PAYMENT.items()}
+        {name: flag(f"payment_method ILIKE '{like}'") for name, like in PAYMENT.items()}
     )
 
 
@@ -91,7 +89,7 @@ def charge_ratio(digits: int = 4) -> Column:
 
 
 def service_count() -> Column:
-    return reduce(add, [flag(F.col(name) == "Yes") for name in ADD_ONS])
+    return F.expr(" + ".join(f"if({name} = 'Yes', 1, 0)" for name in ADD_ONS))
 
 
 def add_computed(df: DataFrame) -> DataFrame:
@@ -99,7 +97,7 @@ def add_computed(df: DataFrame) -> DataFrame:
         {
             "avg_monthly_bill": average_bill(),
             "charge_to_tenure_ratio": charge_ratio(),
-            "is_month_to_month": flag(F.col("contract") == "Month-to-month"),
+            "is_month_to_month": flag("contract = 'Month-to-month'"),
             "total_services_count": service_count(),
         }
     )
@@ -137,7 +135,7 @@ def feature_table(customers: DataFrame) -> DataFrame:
         "monthly_charges",
         F.coalesce("total_charges", F.col("monthly_charges").cast(BALANCE)).alias("total_charges"),
         "senior_citizen",
-        flag(F.col("churn") == "Yes").alias("churn_encoded"),
+        flag("churn = 'Yes'").alias("churn_encoded"),
     )
 
 
@@ -147,6 +145,6 @@ def model_matrix(cleaned: DataFrame) -> DataFrame:
     require_columns(built, MODEL_FEATURES)
     return built.select(
         "customer_id",
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in MODEL_FEATURES],
-        F.col("churn").cast("int").alias("label"),
+        *[F.expr(f"coalesce(double({c}), 0.0D) AS {c}") for c in MODEL_FEATURES],
+        F.expr("int(churn) AS label"),
     )

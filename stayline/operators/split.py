@@ -9,32 +9,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TEST = {"is_test": 0.20}
+MAX_CLASSES = 1000
 
 
 def key_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def stratified_split(
+def split_cuts(
     df: DataFrame,
     parts: Mapping[str, float] = TEST,
     label: str = "label",
     key: str = "customer_id",
     seed: int = 42,
     digits: int = 4,
-) -> DataFrame:
-    """Add one flag per part: its share of each label's rows, in order of the key's hash.
+) -> dict[object, list[str | None]]:
+    """Per label value, the last hash of each part.
 
-    Equal to ranking every row by hash within its label, without ranking them: rows are counted by
-    (label, hash prefix), which is at most 16 ** digits rows per label; only the prefixes that
-    hold a cut-off are counted hash by hash. The cut-offs, one row per label, then mark the rows
-    in a narrow pass. Copies of a key stay on one side and are counted, not moved.
+    Found by counting instead of ranking: first by (label, hash prefix), which is at most
+    16 ** digits rows per label, then hash by hash for the few prefixes that hold a cut.
     """
-    hashed = df.select(F.col(label).alias("_label"), key_hash(key, seed).alias("_hash")).filter(
-        F.col("_label").isNotNull()
+    hashed = df.select(F.col(label).alias("label"), key_hash(key, seed).alias("hash")).filter(
+        F.col("label").isNotNull()
     )
-    prefix = F.substring("_hash", 1, digits)
-    of_label = Window.partitionBy("_label")
+    prefix = F.substring("hash", 1, digits)
+    of_label = Window.partitionBy("label")
     total = F.sum("n").over(of_label)
     goals = F.array(
         *[
@@ -42,57 +41,77 @@ def stratified_split(
             for i, share in enumerate(accumulate(parts.values()))
         ]
     )
-
-    buckets = (
-        hashed.groupBy("_label", prefix.alias("_prefix"))
+    upto = F.sum("n").over(of_label.orderBy("prefix"))
+    edges = (
+        hashed.groupBy("label", prefix.alias("prefix"))
         .agg(F.count("*").alias("n"))
-        .select(
-            "_label",
-            "_prefix",
-            "n",
-            F.sum("n").over(of_label.orderBy("_prefix")).alias("upto"),
-            goals.alias("goals"),
-        )
-    )
-    edge = (
-        buckets.select("*", F.inline("goals"))
+        .select("label", "prefix", (upto - F.col("n")).alias("before"), upto.alias("upto"), goals.alias("goals"))
+        .select("*", F.inline("goals"))
         .filter("upto > goal")
-        .groupBy("_label", "part")
-        .agg(F.min(F.struct("_prefix", (F.col("upto") - F.col("n")).alias("before"), "goal")).alias("e"))
-        .select("_label", "part", "e.*")
+        .groupBy("label", "part")
+        .agg(F.min(F.struct("prefix", "before", "goal")).alias("edge"))
+        .select("label", "part", "edge.*")
+        .limit(MAX_CLASSES * len(parts) + 1)
+        .collect()
     )
+    if len(edges) > MAX_CLASSES * len(parts):
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
 
-    # `edge` has one row per label value and part, `cut` one per label value.
-    at_edge = F.broadcast(edge.withColumnsRenamed({"_label": "edge_label", "_prefix": "edge_prefix"}))
+    # Without a whole hash inside the edge prefix the cut is the prefix itself: it sorts below them.
+    cuts: dict[object, list[str | None]] = {}
+    for edge in edges:
+        cuts.setdefault(edge["label"], [None] * len(parts))[edge["part"]] = edge["prefix"]
+    if not edges:
+        return cuts
+
+    known = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in edge.asDict().items()]) for edge in edges])
     inside = (
-        hashed.join(
-            at_edge, (F.col("_label") == F.col("edge_label")) & (prefix == F.col("edge_prefix"))
-        )
-        .groupBy("_label", "part", "_hash", "before", "goal")
+        hashed.filter(prefix.isin(sorted({edge["prefix"] for edge in edges})))
+        .groupBy("label", "hash")
         .agg(F.count("*").alias("n"))
+        .join(
+            F.broadcast(
+                df.sparkSession.range(1).select(F.inline(known)).withColumnRenamed("label", "of")
+            ),
+            (F.col("label") == F.col("of")) & (prefix == F.col("prefix")),
+        )
         .withColumn(
             "upto",
-            F.col("before") + F.sum("n").over(Window.partitionBy("_label", "part").orderBy("_hash")),
+            F.col("before") + F.sum("n").over(Window.partitionBy("label", "part").orderBy("hash")),
         )
         .filter("upto <= goal")
-        .groupBy("_label", "part")
-        .agg(F.max("_hash").alias("last"))
-    )
-    cuts = [f"_cut{i}" for i in range(len(parts))]
-    # Without a whole hash inside the edge prefix the cut is the prefix itself: it sorts below them.
-    cut = (
-        edge.join(inside, ["_label", "part"], "left")
-        .groupBy(F.col("_label").alias("cut_label"))
-        .agg(
-            *[
-                F.max(F.when(F.col("part") == i, F.coalesce("last", "_prefix"))).alias(name)
-                for i, name in enumerate(cuts)
-            ]
-        )
+        .groupBy("label", "part")
+        .agg(F.max("hash").alias("last"))
     )
-    marked = df.join(F.broadcast(cut), F.col(label) == F.col("cut_label"), "left")
-    within = [F.coalesce(key_hash(key, seed) <= F.col(name), F.lit(False)) for name in cuts]
-    flags = {
-        flag: within[i] & ~within[i - 1] if i else within[i] for i, flag in enumerate(parts)
-    }
-    return marked.withColumns(flags).drop("cut_label", *cuts)
+    for row in inside.collect():  # at most one per edge
+        cuts[row["label"]][row["part"]] = row["last"]
+    return cuts
+
+
+def stratified_split(
+    df: DataFrame,
+    parts: Mapping[str, float] = TEST,
+    label: str = "label",
+    key: str = "customer_id",
+    seed: int = 42,
+    digits: int = 4,
+) -> DataFrame:
+    """Add one flag per part: its share of each label's rows, in order of the key's hash.
+
+    Equal to ranking every row by hash within its label. The cuts are found once; marking the rows
+    is a narrow projection, so a frame that is read many times, as in training, is not split again.
+    Copies of a key stay on one side and are counted, not moved.
+    """
+    cuts = split_cuts(df, parts, label, key, seed, digits)
+    hashed, of = key_hash(key, seed), F.col(label)
+    flags: dict[str, Column] = {}
+    for at, flag in enumerate(parts):
+        inside = F.lit(False)
+        for value, ends in cuts.items():
+            first, last = ends[at - 1] if at else None, ends[at]
+            if last is None:  # the part reaches the end of the label's rows
+                last = "g"
+            within = hashed <= last if first is None else (hashed > first) & (hashed <= last)
+            inside = F.when(of == F.lit(value), within).otherwise(inside)
+        flags[flag] = inside
+    return df.withColumns(flags)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.rules import recommended_action
@@ -25,161 +25,113 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(remainder: Column, choices: list[str]) -> Column:
-    return F.get(F.array(*[F.lit(choice) for choice in choices]), remainder.cast("int"))
-
-
-def _yes(condition: Column) -> Column:
-    return F.when(condition, "Yes").otherwise("No")
-
-
-def _month(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
-
-
 def subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """The 21 business columns. Orders are reduced to one row per customer before the join."""
     orders = table(spark, folder, "orders")
-    last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
-    newest = orders.agg(_month(F.max("o_orderdate"))).scalar()
-
-    key = F.col("c_custkey")
-    base = (
-        table(spark, folder, "customer")
-        .join(last, key == F.col("o_custkey"), "left")
-        .select(
-            key.alias("k"),
-            F.col("c_nationkey").alias("nation"),
-            (key * 37 % 73).cast("int").alias("tenure"),
-            (1825 + (F.round(F.col("c_acctbal") * 100).cast("long") + 100000) % 10001).alias("cents"),
-            F.when(key * 7919 % 100 < 55, "Month-to-month")
-            .when(key * 7919 % 100 < 76, "One year")
-            .otherwise("Two year")
-            .alias("contract"),
-            F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "Fiber optic")
-            .when(F.col("c_mktsegment").isin("AUTOMOBILE", "HOUSEHOLD"), "DSL")
-            .otherwise("No")
-            .alias("internet_service"),
-            _pick(
-                (key * 31 + F.col("c_nationkey")) % 4,
-                [
-                    "Electronic check",
-                    "Mailed check",
-                    "Bank transfer (automatic)",
-                    "Credit card (automatic)",
-                ],
-            ).alias("payment_method"),
-            F.coalesce(
-                F.least(F.lit(24), newest - _month(F.col("last_order"))), F.lit(24)
-            ).alias("recency"),
-        )
+    month = "year({0}) * 12 + month({0})"
+    last = orders.groupBy(F.col("o_custkey").alias("k")).agg(
+        F.max("o_orderdate").alias("last_order")
     )
-
-    k, tenure = F.col("k"), F.col("tenure")
-    points = (
-        F.when(F.col("contract") == "Month-to-month", 30)
-        .when(F.col("contract") == "One year", 8)
-        .otherwise(0)
-        + F.when(tenure < 12, 20).when(tenure < 24, 8).otherwise(0)
-        + F.when(F.col("internet_service") == "Fiber optic", 12).otherwise(0)
-        + F.when(F.col("payment_method") == "Electronic check", 8).otherwise(0)
-        + F.col("recency")
+    newest = orders.agg(F.expr(month.format("max(o_orderdate)"))).scalar()
+    base = table(spark, folder, "customer").selectExpr(
+        "c_custkey AS k",
+        "c_nationkey AS nation",
+        "int(c_custkey * 37 % 73) AS tenure",
+        "1825 + (bigint(round(c_acctbal * 100)) + 100000) % 10001 AS cents",
+        """CASE WHEN c_custkey * 7919 % 100 < 55 THEN 'Month-to-month'
+                WHEN c_custkey * 7919 % 100 < 76 THEN 'One year' ELSE 'Two year' END AS contract""",
+        """CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Fiber optic'
+                WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 'DSL'
+                ELSE 'No' END AS internet_service""",
+        """CASE (c_custkey * 31 + c_nationkey) % 4 WHEN 0 THEN 'Electronic check'
+                WHEN 1 THEN 'Mailed check' WHEN 2 THEN 'Bank transfer (automatic)'
+                ELSE 'Credit card (automatic)' END AS payment_method""",
+    )
+    since = F.coalesce(
+        F.least(F.lit(24), newest - F.expr(month.format("last_order"))), F.lit(24)
+    )
+    points = F.expr(
+        """CASE contract WHEN 'Month-to-month' THEN 30 WHEN 'One year' THEN 8 ELSE 0 END
+         + CASE WHEN tenure < 12 THEN 20 WHEN tenure < 24 THEN 8 ELSE 0 END
+         + if(internet_service = 'Fiber optic', 12, 0)
+         + if(payment_method = 'Electronic check', 8, 0)"""
     )
 
-    def add_on(factor: int, modulus: int, below: int) -> Column:
-        return F.when(F.col("internet_service") == "No", "No internet service").otherwise(
-            _yes(k * factor % modulus < below)
-        )
+    def add_on(factor: int, modulus: int, below: int) -> str:
+        return f"""CASE WHEN internet_service = 'No' THEN 'No internet service'
+                        WHEN k * {factor} % {modulus} < {below} THEN 'Yes' ELSE 'No' END"""
 
-    no_phone = k * 13 % 10 >= 9
     columns = {
-        "customer_id": F.concat(F.lit("CUST-"), F.lpad(k.cast("string"), 8, "0")),
-        "gender": F.when(k % 2 == 0, "Male").otherwise("Female"),
-        "senior_citizen": F.when(k * 17 % 100 < 16, 1).otherwise(0),
-        "partner": _yes(F.col("nation") % 2 == 0),
-        "dependents": _yes((k * 11 + F.col("nation")) % 10 < 3),
-        "phone_service": _yes(~no_phone),
-        "multiple_lines": F.when(no_phone, "No phone service").otherwise(_yes(k % 3 == 0)),
+        "customer_id": "concat('CUST-', lpad(string(k), 8, '0'))",
+        "gender": "if(k % 2 = 0, 'Male', 'Female')",
+        "senior_citizen": "if(k * 17 % 100 < 16, 1, 0)",
+        "partner": "if(nation % 2 = 0, 'Yes', 'No')",
+        "dependents": "if((k * 11 + nation) % 10 < 3, 'Yes', 'No')",
+        "phone_service": "if(k * 13 % 10 < 9, 'Yes', 'No')",
+        "multiple_lines": """CASE WHEN k * 13 % 10 >= 9 THEN 'No phone service'
+                                  WHEN k % 3 = 0 THEN 'Yes' ELSE 'No' END""",
         "online_security": add_on(3, 7, 3),
         "online_backup": add_on(5, 11, 5),
         "device_protection": add_on(7, 13, 6),
         "tech_support": add_on(9, 17, 7),
         "streaming_tv": add_on(2, 19, 9),
         "streaming_movies": add_on(4, 23, 11),
-        "paperless_billing": _yes(k * 19 % 10 < 6),
-        "monthly_charges": (F.col("cents") / 100.0).cast("decimal(8,2)"),
-        "total_charges": F.when(
-            ~((tenure == 0) | (k % 97 == 5)),
-            ((F.col("cents") * tenure + k * 13 % 500) / 100.0).cast("decimal(10,2)"),
-        ),
-        "churn": F.when(k % 50 != 7, _yes(points + k * 101 % 30 >= 64)),
+        "paperless_billing": "if(k * 19 % 10 < 6, 'Yes', 'No')",
+        "monthly_charges": "CAST(cents / 100.0D AS DECIMAL(8, 2))",
+        "total_charges": """CASE WHEN NOT (tenure = 0 OR k % 97 = 5)
+            THEN CAST((cents * tenure + k * 13 % 500) / 100.0D AS DECIMAL(10, 2)) END""",
+        "churn": "CASE WHEN k % 50 <> 7 THEN if(points + k * 101 % 30 >= 64, 'Yes', 'No') END",
     }
-    return base.select(*[columns.get(c, F.col(c)).alias(c) for c in CUSTOMER_COLUMNS])
+    return (
+        base.join(last, "k", "left")
+        .withColumn("points", points + since)
+        .selectExpr(*[f"{columns.get(c, c)} AS {c}" for c in CUSTOMER_COLUMNS])
+    )
 
 
 def raw_subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """As a file delivers them: totals as text with blanks and junk, labels and genders padded."""
-    k = F.substring("customer_id", 6, 8).cast("long")
-    total = F.col("total_charges").cast("string")
-    return subscribers(spark, folder).withColumns(
-        {
-            "total_charges": F.when(total.isNull(), F.when(k % 2 == 0, "").otherwise("  "))
-            .when(k % 89 == 3, "n/a")
-            .when(k % 5 == 0, F.concat(F.lit(" "), total, F.lit(" ")))
-            .otherwise(total),
-            "churn": F.when(k % 4 == 1, F.concat(F.col("churn"), F.lit(" "))).otherwise(F.col("churn")),
-            "gender": F.when(k % 3 == 1, F.concat(F.lit("  "), F.col("gender"))).otherwise(
-                F.col("gender")
-            ),
-        }
+    key = "bigint(substring(customer_id, 6, 8))"
+    changed = {
+        "total_charges": f"""CASE WHEN total_charges IS NULL THEN if({key} % 2 = 0, '', '  ')
+            WHEN {key} % 89 = 3 THEN 'n/a'
+            WHEN {key} % 5 = 0 THEN concat(' ', string(total_charges), ' ')
+            ELSE string(total_charges) END""",
+        "churn": f"if({key} % 4 = 1, concat(churn, ' '), churn)",
+        "gender": f"if({key} % 3 = 1, concat('  ', gender), gender)",
+    }
+    return subscribers(spark, folder).selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in CUSTOMER_COLUMNS]
     )
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Fourteen daily runs; each customer is scored on about two days in three."""
-    k, d = F.col("k"), F.col("d")
-    monthly = F.col("contract") == "Month-to-month"
-    short = F.col("tenure") < 12
-    fiber = F.col("internet_service") == "Fiber optic"
-    points = F.greatest(
-        F.lit(1),
-        F.when(monthly, 3000).otherwise(500)
-        + F.when(short, 2500).otherwise(0)
-        + F.when(fiber, 1200).otherwise(0)
-        + (k * 7919 + d * 104729) % 3500,
-    )
-    reasons = F.filter(
-        F.array(
-            F.when(monthly, "contract_month_to_month"),
-            F.when(short, "tenure"),
-            F.when(fiber, "internet_fiber_optic"),
-        ),
-        lambda reason: reason.isNotNull(),
-    )
+    monthly, short = "contract = 'Month-to-month'", "tenure < 12"
+    fiber = "internet_service = 'Fiber optic'"
     scored = (
         subscribers(spark, folder)
-        .select(
+        .selectExpr(
             "customer_id",
-            "contract",
-            "tenure",
-            "internet_service",
-            F.substring("customer_id", 6, 8).cast("long").alias("k"),
-            F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))).alias("d"),
+            "bigint(substring(customer_id, 6, 8)) AS k",
+            f"""if({monthly}, 3000, 500) + if({short}, 2500, 0) + if({fiber}, 1200, 0) AS points""",
+            f"""filter(array(if({monthly}, 'contract_month_to_month', NULL),
+                             if({short}, 'tenure', NULL),
+                             if({fiber}, 'internet_fiber_optic', NULL)),
+                       reason -> reason IS NOT NULL) AS reasons""",
+            f"explode(sequence(0, {RUNS - 1})) AS d",
         )
-        .filter((k + d) % 3 != 1)
-        .withColumn("bp", F.least(F.lit(9999), points))
-        .withColumn("churn_probability", (F.col("bp") / 10000.0).cast("decimal(5,4)"))
+        .filter("(k + d) % 3 <> 1")
+        .withColumn("bp", F.expr("least(9999, greatest(1, points + (k * 7919 + d * 104729) % 3500))"))
+        .withColumn("churn_probability", F.expr("CAST(bp / 10000.0D AS DECIMAL(5, 4))"))
     )
     return scored.select(
         "customer_id",
-        F.date_add(F.lit(FIRST_RUN), d).alias("run_date"),
-        F.when(d < SECOND_VERSION_FROM, VERSIONS[0]).otherwise(VERSIONS[1]).alias("model_version"),
+        F.expr(f"date_add(DATE '{FIRST_RUN}', d) AS run_date"),
+        F.expr(f"if(d < {SECOND_VERSION_FROM}, '{VERSIONS[0]}', '{VERSIONS[1]}') AS model_version"),
         "churn_probability",
-        F.when(F.col("bp") >= 5000, 1).otherwise(0).alias("churn_prediction"),
-        F.when(F.col("bp") > 6500, "HIGH")
-        .when(F.col("bp") > 4000, "MEDIUM")
-        .otherwise("LOW")
-        .alias("risk_tier"),
-        *[F.get(reasons, F.lit(n)).alias(f"top_reason_{n + 1}") for n in range(3)],
+        F.expr("if(bp >= 5000, 1, 0) AS churn_prediction"),
+        F.expr("CASE WHEN bp > 6500 THEN 'HIGH' WHEN bp > 4000 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier"),
+        *[F.expr(f"get(reasons, {n}) AS top_reason_{n + 1}") for n in range(3)],
         recommended_action(F.col("churn_probability")).alias("recommended_action"),
     )
