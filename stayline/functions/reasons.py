@@ -1,4 +1,8 @@
-"""From a row of signed contributions to its strongest reasons."""
+"""From a row of signed contributions to its strongest reasons.
+
+The number of features is known, so the arrays are spelled out element by element: the sort and
+the sentences stay inside generated code, without a lambda per row.
+"""
 
 from __future__ import annotations
 
@@ -12,39 +16,33 @@ SCORING = ("%s (%s, SHAP=%+.3f)", "high risk", "low risk")
 RETENTION = ("%s → %s churn risk (SHAP=%+.3f)", "elevated", "lower")
 
 
-def rank_contributions(contributions: Column, names: Sequence[str], top: int | None = None) -> Column:
-    """``array<struct<feature, value>>``, largest magnitude first, ties in feature order."""
-    keyed = F.transform(
-        contributions,
-        lambda value, at: F.struct((-F.abs(value)).alias("key"), at.alias("at"), value.alias("value")),
-    )
-    ordered = F.sort_array(keyed)
-    if top is not None:
-        ordered = F.slice(ordered, 1, top)
-    labels = F.array(*[F.lit(name) for name in names])
-    return F.transform(
-        ordered,
-        lambda item: F.struct(
-            F.get(labels, item["at"]).alias("feature"), item["value"].alias("value")
-        ),
+def rank_contributions(contributions: str, names: Sequence[str], top: int | None = None) -> Column:
+    """The column's values with their names as structs (key, at, feature, value).
+
+    Largest magnitude first, ties in feature order.
+    """
+    items = ", ".join(
+        f"named_struct('key', -abs({contributions}[{at}]), 'at', {at}, 'feature', '{name}',"
+        f" 'value', {contributions}[{at}])"
+        for at, name in enumerate(names)
     )
+    return F.expr(f"slice(sort_array(array({items})), 1, {top or len(names)})")
 
 
-def describe(ranked: Column, wording: tuple[str, str, str] = SCORING) -> Column:
-    """One sentence per ranked contribution; a zero is not a reason to leave."""
+def describe(ranked: str, count: int, wording: tuple[str, str, str] = SCORING) -> list[Column]:
+    """One sentence for each of the first ``count`` ranked values; a zero is no reason to leave."""
     template, positive, other = wording
-    return F.transform(
-        ranked,
-        lambda item: F.format_string(
-            template,
-            item["feature"],
-            F.when(item["value"] > 0, positive).otherwise(other),
-            item["value"],
-        ),
+    return [
+        F.expr(
+            f"format_string('{template}', {ranked}[{n}].feature,"
+            f" if({ranked}[{n}].value > 0, '{positive}', '{other}'), {ranked}[{n}].value)"
+        )
+        for n in range(count)
+    ]
+
+
+def contribution_json(contributions: str, names: Sequence[str], digits: int = 4) -> Column:
+    items = ", ".join(
+        f"'{name}', round({contributions}[{at}], {digits})" for at, name in enumerate(names)
     )
-
-
-def contribution_json(contributions: Column, names: Sequence[str], digits: int = 4) -> Column:
-    labels = F.array(*[F.lit(name) for name in names])
-    rounded = F.transform(contributions, lambda value: F.round(value, digits))
-    return F.to_json(F.map_from_arrays(labels, rounded))
+    return F.expr(f"to_json(named_struct({items}))")

@@ -226,17 +226,20 @@ def explain_rows(explained: DataFrame, top: int = 8) -> DataFrame:
 
     ``explained`` carries the model features, ``churn_probability`` and ``contributions``.
     """
-    ranked = rank_contributions(F.col("contributions"), MODEL_FEATURES, top)
     values = F.create_map(*[part for c in MODEL_FEATURES for part in (F.lit(c), F.col(c))])
-    rows = explained.select(
-        "customer_id",
-        F.round("churn_probability", 4).alias("churn_probability"),
-        F.when(F.col("churn_probability") >= DECISION_THRESHOLD, "WILL CHURN")
-        .otherwise("WILL STAY")
-        .alias("verdict"),
-        values.alias("values"),
-        describe(F.slice(ranked, 1, 3), RETENTION).alias("reasons"),
-        F.posexplode(ranked).alias("at", "item"),
+    rows = (
+        explained.withColumn("ranked", rank_contributions("contributions", MODEL_FEATURES, top))
+        .withColumn("reasons", F.array(*describe("ranked", min(3, top), RETENTION)))
+        .select(
+            "customer_id",
+            F.round("churn_probability", 4).alias("churn_probability"),
+            F.when(F.col("churn_probability") >= DECISION_THRESHOLD, "WILL CHURN")
+            .otherwise("WILL STAY")
+            .alias("verdict"),
+            values.alias("values"),
+            "reasons",
+            F.posexplode("ranked").alias("at", "item"),
+        )
     )
     return rows.select(
         "customer_id",

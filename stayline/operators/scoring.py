@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.numeric import count_if, percent
@@ -16,21 +16,25 @@ from stayline.functions.rules import DECISION_THRESHOLD, decide, recommended_act
 from stayline.schemas import MODEL_FEATURES, PROBABILITY
 
 
-def assemble(
-    scored: DataFrame,
-    probability: Column,
-    contributions: Column,
-    threshold: float = DECISION_THRESHOLD,
-) -> DataFrame:
-    """Published columns. Bands look at the raw probability; only the output is rounded."""
-    reasons = describe(rank_contributions(contributions, MODEL_FEATURES, 3), SCORING)
-    return scored.withColumn("_reasons", reasons).select(
+def assemble(scored: DataFrame, threshold: float = DECISION_THRESHOLD, top: int = 3) -> DataFrame:
+    """Published columns from ``churn_probability`` and ``contributions``.
+
+    Bands look at the raw probability; only the output is rounded.
+    """
+    probability = F.col("churn_probability")
+    ranked_rows = scored.withColumn(
+        "ranked", rank_contributions("contributions", MODEL_FEATURES, top)
+    )
+    return ranked_rows.select(
         "customer_id",
         F.round(probability, 4).cast(PROBABILITY).alias("churn_probability"),
         decide(probability, threshold).alias("churn_prediction"),
         risk_tier(probability).alias("risk_tier"),
-        *[F.get("_reasons", F.lit(n)).alias(f"top_reason_{n + 1}") for n in range(3)],
-        contribution_json(contributions, MODEL_FEATURES).alias("shap_values_json"),
+        *[
+            reason.alias(f"top_reason_{n + 1}")
+            for n, reason in enumerate(describe("ranked", top, SCORING))
+        ],
+        contribution_json("contributions", MODEL_FEATURES).alias("shap_values_json"),
         recommended_action(probability).alias("recommended_action"),
     )
 

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.numeric import fixed
-from stayline.functions.reasons import RETENTION, SCORING, describe, rank_contributions
+from stayline.functions.reasons import (
+    RETENTION,
+    SCORING,
+    contribution_json,
+    describe,
+    rank_contributions,
+)
 from stayline.functions.rules import decide, recommended_action, risk_tier
 from stayline.operators import cleaning, evaluation, explain, explore, features, modeling, quality
 from stayline.operators import scoring
@@ -211,7 +217,7 @@ def shap_values(spark: SparkSession, folder: str) -> DataFrame:
     return _explained(spark, folder).select(
         "customer_id",
         "churn_probability",
-        scoring.contribution_json(F.col("contributions"), MODEL_FEATURES).alias("shap_values_json"),
+        contribution_json("contributions", MODEL_FEATURES).alias("shap_values_json"),
         F.round(F.abs(total - F.log(p / (1 - p))), 6).alias("unexplained"),
     )
 
@@ -225,21 +231,15 @@ def _scorecard(spark: SparkSession, folder: str) -> DataFrame:
 def _scorecard_reasons(
     spark: SparkSession, folder: str, top: int, wording: tuple[str, str, str]
 ) -> DataFrame:
-    ranked = rank_contributions(F.col("contributions"), list(SCORECARD), top)
-    reasons = _scorecard(spark, folder).select(
-        "customer_id",
-        ranked.alias("ranked"),
-        describe(ranked, wording).alias("reasons"),
+    ranked = _scorecard(spark, folder).select(
+        "customer_id", rank_contributions("contributions", list(SCORECARD), top).alias("ranked")
     )
-    return reasons.select(
+    return ranked.select(
         "customer_id",
+        *[c.alias(f"reason_{n + 1}") for n, c in enumerate(describe("ranked", top, wording))],
         *[
-            column
+            fixed(F.expr(f"ranked[{n}].value"), 3).alias(f"value_{n + 1}")
             for n in range(top)
-            for column in (
-                F.get("reasons", F.lit(n)).alias(f"reason_{n + 1}"),
-                fixed(F.get("ranked", F.lit(n))["value"], 3).alias(f"value_{n + 1}"),
-            )
         ],
     )
 

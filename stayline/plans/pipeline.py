@@ -53,8 +53,7 @@ def score(
     scored = with_probability(model_matrix(cleaned), model)
     if order:
         scored = ranked(scored)
-    rows = explained(scored, model, tables)
-    return assemble(rows, F.col("churn_probability"), F.col("contributions"), threshold)
+    return assemble(explained(scored, model, tables), threshold)
 
 
 def explain_one(

@@ -35,13 +35,17 @@ def test_threshold_is_inclusive(spark):
 
 
 def test_reasons_rank_by_magnitude_then_feature_order(spark):
+    names = ["a", "b", "c", "d"]
     frame = spark.createDataFrame([([0.1, -0.5, 0.5, 0.0],)], "c array<double>")
-    ranked = reasons.rank_contributions(F.col("c"), ["a", "b", "c", "d"])
-    row = frame.select(
-        reasons.describe(ranked).alias("scoring"),
-        reasons.describe(F.slice(ranked, 1, 2), reasons.RETENTION).alias("retention"),
-        reasons.contribution_json(F.col("c"), ["a", "b", "c", "d"]).alias("json"),
-    ).first()
+    row = (
+        frame.withColumn("ranked", reasons.rank_contributions("c", names))
+        .select(
+            F.array(*reasons.describe("ranked", 4)).alias("scoring"),
+            F.array(*reasons.describe("ranked", 2, reasons.RETENTION)).alias("retention"),
+            reasons.contribution_json("c", names).alias("json"),
+        )
+        .first()
+    )
     assert row["scoring"] == [
         "b (low risk, SHAP=-0.500)",
         "c (high risk, SHAP=+0.500)",
