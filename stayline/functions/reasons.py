@@ -1,7 +1,7 @@
 """From a row of signed contributions to its strongest reasons.
 
-The number of features is known, so the arrays are spelled out element by element: the sort and
-the sentences stay inside generated code, without a lambda per row.
+The ranking is a short lambda and the names are looked up afterwards: spelling the array out
+element by element makes one generated method too large for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -16,25 +16,30 @@ SCORING = ("%s (%s, SHAP=%+.3f)", "high risk", "low risk")
 RETENTION = ("%s → %s churn risk (SHAP=%+.3f)", "elevated", "lower")
 
 
-def rank_contributions(contributions: str, names: Sequence[str], top: int | None = None) -> Column:
-    """The column's values with their names as structs (key, at, feature, value).
+def name_of(names: Sequence[str], at: str) -> str:
+    """SQL for the name at position ``at``."""
+    return "array(" + ", ".join(f"'{name}'" for name in names) + f")[{at}]"
 
-    Largest magnitude first, ties in feature order.
+
+def rank_contributions(contributions: str, top: int) -> Column:
+    """The ``top`` values as structs (key, at, value), largest magnitude first.
+
+    ``at`` is the feature's position; ties keep feature order.
     """
-    items = ", ".join(
-        f"named_struct('key', -abs({contributions}[{at}]), 'at', {at}, 'feature', '{name}',"
-        f" 'value', {contributions}[{at}])"
-        for at, name in enumerate(names)
+    return F.expr(
+        f"slice(sort_array(transform({contributions},"
+        f" (v, i) -> struct(-abs(v) AS key, i AS at, v AS value))), 1, {top})"
     )
-    return F.expr(f"slice(sort_array(array({items})), 1, {top or len(names)})")
 
 
-def describe(ranked: str, count: int, wording: tuple[str, str, str] = SCORING) -> list[Column]:
+def describe(
+    ranked: str, names: Sequence[str], count: int, wording: tuple[str, str, str] = SCORING
+) -> list[Column]:
     """One sentence for each of the first ``count`` ranked values; a zero is no reason to leave."""
     template, positive, other = wording
     return [
         F.expr(
-            f"format_string('{template}', {ranked}[{n}].feature,"
+            f"format_string('{template}', {name_of(names, f'{ranked}[{n}].at')},"
             f" if({ranked}[{n}].value > 0, '{positive}', '{other}'), {ranked}[{n}].value)"
         )
         for n in range(count)
@@ -42,7 +47,8 @@ def describe(ranked: str, count: int, wording: tuple[str, str, str] = SCORING) -
 
 
 def contribution_json(contributions: str, names: Sequence[str], digits: int = 4) -> Column:
+    scale = f"{10**digits}D"
     items = ", ".join(
-        f"'{name}', round({contributions}[{at}], {digits})" for at, name in enumerate(names)
+        f"'{name}', rint({contributions}[{at}] * {scale}) / {scale}" for at, name in enumerate(names)
     )
     return F.expr(f"to_json(named_struct({items}))")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.reasons import RETENTION, describe, rank_contributions
+from stayline.functions.reasons import RETENTION, describe, name_of, rank_contributions
 from stayline.functions.rules import DECISION_THRESHOLD
 from stayline.schemas import MODEL_FEATURES
 from stayline.session import shared_folder
@@ -31,12 +31,33 @@ ROWS_PER_BLOCK = 512
 
 @dataclass
 class LeafGroup:
-    """All leaves whose path tests the same number of distinct features."""
+    """All leaves whose path tests the same number n of distinct features."""
 
-    features: np.ndarray  # [leaves, n] feature index
-    low: np.ndarray  # [leaves, n] first bin inside the condition
-    width: np.ndarray  # [leaves, n] number of bins inside it
-    table: np.ndarray  # [n, leaves, 2**n] contribution of each path feature
+    features: np.ndarray  # [n, leaves] feature index
+    low: np.ndarray  # [n, leaves] first bin inside the condition
+    width: np.ndarray  # [n, leaves] number of bins inside it
+    table: np.ndarray  # [n, leaves * 2**n] contribution of each path feature
+
+    def __post_init__(self) -> None:
+        # Per path position: the leaves that test each feature there.
+        self.leaves_of = [
+            [(f, np.flatnonzero(row == f)) for f in np.unique(row)] for row in self.features
+        ]
+
+    def add_to(self, total: np.ndarray, bins: np.ndarray) -> None:
+        """Add this group's contributions [features, rows] given the bins [features, rows]."""
+        n, leaves = self.features.shape
+        met = np.zeros((leaves, bins.shape[1]), dtype=np.min_scalar_type(2**n - 1))
+        for j in range(n):
+            # Unsigned difference: one comparison tests both ends of the interval.
+            inside = np.take(bins, self.features[j], axis=0)
+            inside -= self.low[j, :, None]
+            met |= (inside < self.width[j, :, None]).astype(met.dtype) << met.dtype.type(j)
+        at = met.astype(np.int32)
+        at += (np.arange(leaves, dtype=np.int32) << n)[:, None]
+        for j, found in enumerate(self.leaves_of):
+            for f, chosen in found:
+                total[f] += np.take(self.table[j], np.take(at, chosen, axis=0)).sum(axis=0)
 
 
 @dataclass
@@ -45,27 +66,20 @@ class LeafTables:
     cuts: list[np.ndarray]  # per feature: its thresholds, ascending
     groups: list[LeafGroup]
 
+    @property
+    def bin_type(self) -> np.dtype:
+        """Wide enough for the bins of a feature and the number of them."""
+        return np.min_scalar_type(max((len(c) for c in self.cuts), default=0) + 1)
+
     def contributions(self, rows: np.ndarray) -> np.ndarray:
         """[rows, features] contributions to the margin."""
-        width = len(self.cuts)
-        # x <= cuts[k] exactly when bin <= k; a NaN sorts last and so always goes right.
-        bins = np.empty((width, len(rows)), dtype=np.uint16)
+        bins = np.empty((len(self.cuts), len(rows)), dtype=self.bin_type)
         for f, cuts in enumerate(self.cuts):
+            # x <= cuts[k] exactly when bin <= k; a NaN sorts last and so always goes right.
             bins[f] = np.searchsorted(cuts, rows[:, f], side="left")
-        total = np.zeros((width, len(rows)))
+        total = np.zeros(bins.shape)
         for group in self.groups:
-            leaves, n = group.features.shape
-            met = np.zeros((leaves, len(rows)), dtype=np.int32)
-            for j in range(n):
-                # Unsigned difference: one comparison tests both ends of the interval.
-                inside = (bins[group.features[:, j]] - group.low[:, j, None]) < group.width[:, j, None]
-                met |= inside.astype(np.int32) << j
-            met += (np.arange(leaves, dtype=np.int32) << n)[:, None]
-            for j in range(n):
-                flat = group.table[j].ravel()
-                for f in np.unique(group.features[:, j]):
-                    chosen = group.features[:, j] == f
-                    total[f] += flat[met[chosen]].sum(axis=0)
+            group.add_to(total, bins)
         return total.T
 
 
@@ -143,6 +157,7 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
     cuts = [np.array(sorted(found)) for found in bounds]
 
     base, groups = 0.0, []
+    bin_type = LeafTables(0.0, cuts, []).bin_type
     for n in sorted({len(path) for _, path in leaves}):
         chosen = [(v, sorted(path.items())) for v, path in leaves if len(path) == n]
         value = np.array([v for v, _ in chosen])
@@ -151,14 +166,19 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
         if not n:
             continue
         features = np.array([[f for f, _ in path] for _, path in chosen])
-        low = np.empty((len(chosen), n), dtype=np.uint16)
-        last = np.empty((len(chosen), n), dtype=np.uint16)
+        low = np.zeros((len(chosen), n), dtype=int)
+        last = np.zeros((len(chosen), n), dtype=int)
         for r, (_, path) in enumerate(chosen):
             for j, (f, (a, b, _)) in enumerate(path):
                 low[r, j] = 0 if a == -np.inf else np.searchsorted(cuts[f], a) + 1
                 last[r, j] = len(cuts[f]) if b == np.inf else np.searchsorted(cuts[f], b)
         groups.append(
-            LeafGroup(features, low, last - low + np.uint16(1), _shapley_table(value, share))
+            LeafGroup(
+                np.ascontiguousarray(features.T),
+                np.ascontiguousarray(low.T.astype(bin_type)),
+                np.ascontiguousarray((last - low + 1).T.astype(bin_type)),
+                _shapley_table(value, share).reshape(n, -1),
+            )
         )
     return LeafTables(base, cuts, groups)
 
@@ -226,29 +246,28 @@ def explain_rows(explained: DataFrame, top: int = 8) -> DataFrame:
 
     ``explained`` carries the model features, ``churn_probability`` and ``contributions``.
     """
-    values = F.create_map(*[part for c in MODEL_FEATURES for part in (F.lit(c), F.col(c))])
     rows = (
-        explained.withColumn("ranked", rank_contributions("contributions", MODEL_FEATURES, top))
-        .withColumn("reasons", F.array(*describe("ranked", min(3, top), RETENTION)))
+        explained.withColumn("ranked", rank_contributions("contributions", top))
+        .withColumn("reasons", F.array(*describe("ranked", MODEL_FEATURES, min(3, top), RETENTION)))
         .select(
             "customer_id",
             F.round("churn_probability", 4).alias("churn_probability"),
             F.when(F.col("churn_probability") >= DECISION_THRESHOLD, "WILL CHURN")
             .otherwise("WILL STAY")
             .alias("verdict"),
-            values.alias("values"),
+            F.array(*MODEL_FEATURES).alias("values"),
             "reasons",
-            F.posexplode("ranked").alias("at", "item"),
+            F.posexplode("ranked").alias("rank", "item"),
         )
     )
     return rows.select(
         "customer_id",
         "churn_probability",
         "verdict",
-        (F.col("at") + 1).alias("rank"),
-        F.col("item.feature").alias("feature"),
-        F.try_element_at("values", F.col("item.feature")).alias("value"),
+        (F.col("rank") + 1).alias("rank"),
+        F.expr(name_of(MODEL_FEATURES, "item.at")).alias("feature"),
+        F.get("values", F.col("item.at")).alias("value"),
         F.col("item.value").alias("shap"),
         F.when(F.col("item.value") > 0, "toward churn").otherwise("away from churn").alias("direction"),
-        F.get("reasons", F.col("at")).alias("reason"),
+        F.get("reasons", F.col("rank")).alias("reason"),
     )

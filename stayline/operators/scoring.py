@@ -22,9 +22,7 @@ def assemble(scored: DataFrame, threshold: float = DECISION_THRESHOLD, top: int
     Bands look at the raw probability; only the output is rounded.
     """
     probability = F.col("churn_probability")
-    ranked_rows = scored.withColumn(
-        "ranked", rank_contributions("contributions", MODEL_FEATURES, top)
-    )
+    ranked_rows = scored.withColumn("ranked", rank_contributions("contributions", top))
     return ranked_rows.select(
         "customer_id",
         F.round(probability, 4).cast(PROBABILITY).alias("churn_probability"),
@@ -32,7 +30,7 @@ def assemble(scored: DataFrame, threshold: float = DECISION_THRESHOLD, top: int
         risk_tier(probability).alias("risk_tier"),
         *[
             reason.alias(f"top_reason_{n + 1}")
-            for n, reason in enumerate(describe("ranked", top, SCORING))
+            for n, reason in enumerate(describe("ranked", MODEL_FEATURES, top, SCORING))
         ],
         contribution_json("contributions", MODEL_FEATURES).alias("shap_values_json"),
         recommended_action(probability).alias("recommended_action"),

@@ -232,11 +232,11 @@ def _scorecard_reasons(
     spark: SparkSession, folder: str, top: int, wording: tuple[str, str, str]
 ) -> DataFrame:
     ranked = _scorecard(spark, folder).select(
-        "customer_id", rank_contributions("contributions", list(SCORECARD), top).alias("ranked")
+        "customer_id", rank_contributions("contributions", top).alias("ranked")
     )
     return ranked.select(
         "customer_id",
-        *[c.alias(f"reason_{n + 1}") for n, c in enumerate(describe("ranked", top, wording))],
+        *[c.alias(f"reason_{n + 1}") for n, c in enumerate(describe("ranked", list(SCORECARD), top, wording))],
         *[
             fixed(F.expr(f"ranked[{n}].value"), 3).alias(f"value_{n + 1}")
             for n in range(top)

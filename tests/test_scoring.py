@@ -38,10 +38,10 @@ def test_reasons_rank_by_magnitude_then_feature_order(spark):
     names = ["a", "b", "c", "d"]
     frame = spark.createDataFrame([([0.1, -0.5, 0.5, 0.0],)], "c array<double>")
     row = (
-        frame.withColumn("ranked", reasons.rank_contributions("c", names))
+        frame.withColumn("ranked", reasons.rank_contributions("c", 4))
         .select(
-            F.array(*reasons.describe("ranked", 4)).alias("scoring"),
-            F.array(*reasons.describe("ranked", 2, reasons.RETENTION)).alias("retention"),
+            F.array(*reasons.describe("ranked", names, 4)).alias("scoring"),
+            F.array(*reasons.describe("ranked", names, 2, reasons.RETENTION)).alias("retention"),
             reasons.contribution_json("c", names).alias("json"),
         )
         .first()
