@@ -81,6 +81,25 @@ def daily_summary(predictions: DataFrame) -> DataFrame:
     )
 
 
+def first_calls(
+    flagged: DataFrame, customers: DataFrame, limit: int, candidates: int | None = None
+) -> DataFrame:
+    """The first ``limit`` rows of the join, by probability.
+
+    Customers on file are the rule, so a few more candidates than needed, at most ``candidates``
+    rows, are broadcast to the customers and nothing is shuffled. Only if too many of them are not
+    on file does the whole day go through the join.
+    """
+    order = [F.col("churn_probability").desc(), F.col("customer_id"), F.col("model_version")]
+    candidates = candidates or 10 * limit
+    best = flagged.orderBy(*order).limit(candidates)
+    joined = F.broadcast(best).join(customers, "customer_id")
+    enough = joined.limit(limit).count() == limit or best.count() < candidates
+    found = joined if enough else flagged.join(customers, "customer_id")
+    ranked = found.orderBy(*order).limit(limit)
+    return ranked.withColumn("priority_rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def call_list(
     predictions: DataFrame,
     customers: DataFrame,
@@ -89,13 +108,11 @@ def call_list(
 ) -> DataFrame:
     """The most likely leavers of the day, ranked.
 
-    The limit comes first, as a bounded heap per task, so the global rank sees ``limit`` rows.
+    The limit comes before the rank, as a bounded heap per task, so the rank sees ``limit`` rows.
     """
-    order = [F.col("churn_probability").desc(), F.col("customer_id"), F.col("model_version")]
     flagged = of_day(predictions, as_of).filter(F.col("churn_prediction") == 1)
-    first = flagged.join(customers, "customer_id").orderBy(*order).limit(limit)
     return (
-        first.withColumn("priority_rank", F.row_number().over(Window.orderBy(*order)))
+        first_calls(flagged, customers, limit)
         .select(
             "priority_rank",
             "customer_id",

@@ -16,6 +16,8 @@ from stayline.schemas import (
     RUN_KEY,
 )
 
+RUN_PARTITIONS = ["run_date", "model_version"]
+
 
 def read_customers_csv(
     spark: SparkSession, path: str, schema: T.StructType = RAW_CUSTOMERS, strict: bool = True
@@ -84,17 +86,8 @@ def export_csv(df: DataFrame, path: str, key: str = "customer_id") -> None:
     df.orderBy(key).write.mode("overwrite").option("header", True).csv(path)
 
 
-def publish_run(
-    scores: DataFrame,
-    path: str,
-    run_date: date | None = None,
-    model_version: str = "gbt_v1",
-) -> None:
-    """Replace the (run_date, model_version) partitions present in ``scores``, leave all others.
-
-    A customer scored twice in one run keeps the highest probability, so publishing a run again
-    cannot duplicate or flip rows.
-    """
+def _run_rows(scores: DataFrame, run_date: date | None, model_version: str) -> DataFrame:
+    """Published columns, one row per run key: the highest probability wins."""
     stamped = with_defaults(
         scores,
         {
@@ -106,15 +99,28 @@ def publish_run(
     values = ["churn_probability"] + [
         c for c in rows.columns if c not in RUN_KEY and c != "churn_probability"
     ]
-    unique = (
+    return (
         rows.groupBy(*RUN_KEY)
         .agg(F.max(F.struct(*values)).alias("kept"))
         .select(*RUN_KEY, "kept.*", F.current_timestamp().alias("created_at"))
     )
+
+
+def publish_run(
+    scores: DataFrame,
+    path: str,
+    run_date: date | None = None,
+    model_version: str = "gbt_v1",
+) -> None:
+    """Replace the (run_date, model_version) partitions present in ``scores``, leave all others.
+
+    Publishing a run again cannot duplicate rows or flip them.
+    """
     (
-        unique.write.mode("overwrite")
+        _run_rows(scores, run_date, model_version)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "model_version")
+        .partitionBy(*RUN_PARTITIONS)
         .parquet(path)
     )
 
@@ -122,3 +128,34 @@ def publish_run(
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """A filter on ``run_date`` or ``model_version`` reads only the matching folders."""
     return conform(spark.read.schema(CHURN_PREDICTIONS).parquet(path), CHURN_PREDICTIONS)
+
+
+def store_customers_bucketed(df: DataFrame, table: str, buckets: int) -> None:
+    """As a catalog table, hashed and sorted by customer: joins with bucketed runs do not shuffle."""
+    conform(df, T.StructType(CUSTOMERS.fields[:21])).repartition(buckets, "customer_id").write.mode(
+        "overwrite"
+    ).bucketBy(buckets, "customer_id").sortBy("customer_id").saveAsTable(table)
+
+
+def publish_run_bucketed(
+    scores: DataFrame,
+    table: str,
+    buckets: int,
+    run_date: date | None = None,
+    model_version: str = "gbt_v1",
+) -> None:
+    """``publish_run`` into a catalog table with the customers' buckets inside each partition."""
+    spark = scores.sparkSession
+    rows = _run_rows(scores, run_date, model_version)
+    body = [c for c in CHURN_PREDICTIONS.names if c not in RUN_PARTITIONS]
+    ordered = rows.repartition(buckets, "customer_id").select(*body, *RUN_PARTITIONS)
+    if spark.catalog.tableExists(table):
+        ordered.write.insertInto(table, overwrite=True)
+    else:
+        (
+            ordered.write.option("partitionOverwriteMode", "dynamic")  # kept with the table
+            .partitionBy(*RUN_PARTITIONS)
+            .bucketBy(buckets, "customer_id")
+            .sortBy("customer_id")
+            .saveAsTable(table)
+        )

@@ -63,6 +63,44 @@ def test_call_list(predictions, sample):
 def test_call_list_ranks_only_its_limit(predictions, sample):
     plan = reports.call_list(predictions, sample, DAY)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Window") < plan.rindex("TakeOrderedAndProject")
+    assert "hashpartitioning" not in plan
+
+
+def test_call_list_is_whole_though_the_first_are_not_on_file(spark, sample):
+    """More unknown customers at the top than there are candidates."""
+    unknown = [(f"GONE-{i:04d}", DAY, "v1", 0.99) for i in range(60)]
+    known = [(f"CUST-{i:04d}", DAY, "v1", 0.5 + i / 100) for i in range(1, 11)]
+    flagged = make(spark, unknown + known)
+    for limit in (1, 3, 5, 20):
+        calls = rows(reports.call_list(flagged, sample, DAY, limit=limit))
+        assert [c[1] for c in calls] == [f"CUST-{i:04d}" for i in range(10, 0, -1)][:limit]
+        assert [c[0] for c in calls] == list(range(1, min(limit, 10) + 1))
+
+
+def test_a_hot_customer_is_split_in_row_level_joins(spark, sample):
+    """One customer with a third of all rows, in a join that cannot be reduced first."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    scored = make(
+        spark,
+        [("CUST-0001", DAY, f"hot{i}", 0.9) for i in range(5000)]
+        + [(f"CUST-{i:04d}", DAY, f"v{v}", 0.1) for i in range(2, 11) for v in range(1111)],
+    ).repartition(8)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tracked = reports.model_tracking(scored, sample)
+        assert sum(r[2] for r in rows(tracked)) == 5000 + 9 * 1111
+        plan = tracked._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_retention_roi(predictions, sample):

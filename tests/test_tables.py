@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators.cleaning import clean
 from stayline.operators.features import feature_table, model_matrix
+from stayline.plans import reports
 from stayline.schemas import CHURN_FEATURES, CHURN_PREDICTIONS, CUSTOMERS
 from stayline.sources import tables
 
@@ -111,3 +112,28 @@ def test_the_run_date_picks_folders(spark, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_date" in plan
     assert len(one.inputFiles()) >= 1 and one.count() == 1
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sample):
+    """The same reports over bucketed tables; publishing again replaces only its own partition."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    scored = scores(spark, *[(f"CUST-{i:04d}", i / 10) for i in range(1, 10)])
+    try:
+        for name in ("bucketed_customers", "bucketed_runs"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.store_customers_bucketed(sample, "bucketed_customers", 4)
+        for version in ("gbt_v1", "gbt_v2", "gbt_v1"):
+            tables.publish_run_bucketed(scored, "bucketed_runs", 4, RUN, version)
+        runs = spark.table("bucketed_runs")
+        assert runs.count() == 18
+        assert set(runs.columns) == set(CHURN_PREDICTIONS.names)
+        report = reports.model_tracking(runs, spark.table("bucketed_customers"))
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("SortMergeJoin") :]
+        assert "Exchange" not in join
+        assert [r["total_predictions"] for r in report.collect()] == [9, 9]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("bucketed_customers", "bucketed_runs"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
