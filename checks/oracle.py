@@ -580,6 +580,11 @@ def oracle_sql() -> dict[str, str]:
             " WHEN churn_probability <= 0.65 THEN 'MEDIUM' ELSE 'HIGH' END",
         ),
         "recommended_action": scored("recommended_action", action_rule("churn_probability")),
+        "shap_additivity": over(
+            "matrix",
+            f"""SELECT customer_id, {len(MODEL_FEATURES)} AS contributions,
+              CAST(0 AS DOUBLE) AS unexplained FROM matrix""",
+        ),
         "reason_codes": _reasons(
             3,
             "feature || CASE WHEN v > 0 THEN ' (high risk, SHAP=' ELSE ' (low risk, SHAP=' END"

@@ -8,6 +8,7 @@ trees x leaves x 2**depth x depth numbers, so their size is checked before they
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from math import factorial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,62 +27,55 @@ from stayline.functions.rules import DECISION_THRESHOLD
 from stayline.schemas import MODEL_FEATURES
 from stayline.session import shared_folder
 
+# Workers need not have this package: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_TABLE_BYTES = 256 << 20
 ROWS_PER_BLOCK = 512
 
 
-@dataclass
-class LeafGroup:
-    """All leaves whose path tests the same number n of distinct features."""
-
-    features: np.ndarray  # [n, leaves] feature index
-    low: np.ndarray  # [n, leaves] first bin inside the condition
-    width: np.ndarray  # [n, leaves] number of bins inside it
-    table: np.ndarray  # [n, leaves * 2**n] contribution of each path feature
-
-    def __post_init__(self) -> None:
-        # Per path position: the leaves that test each feature there.
-        self.leaves_of = [
-            [(f, np.flatnonzero(row == f)) for f in np.unique(row)] for row in self.features
-        ]
-
-    def add_to(self, total: np.ndarray, bins: np.ndarray) -> None:
-        """Add this group's contributions [features, rows] given the bins [features, rows]."""
-        n, leaves = self.features.shape
-        met = np.zeros((leaves, bins.shape[1]), dtype=np.min_scalar_type(2**n - 1))
-        for j in range(n):
-            # Unsigned difference: one comparison tests both ends of the interval.
-            inside = np.take(bins, self.features[j], axis=0)
-            inside -= self.low[j, :, None]
-            met |= (inside < self.width[j, :, None]).astype(met.dtype) << met.dtype.type(j)
-        at = met.astype(np.int32)
-        at += (np.arange(leaves, dtype=np.int32) << n)[:, None]
-        for j, found in enumerate(self.leaves_of):
-            for f, chosen in found:
-                total[f] += np.take(self.table[j], np.take(at, chosen, axis=0)).sum(axis=0)
-
-
 @dataclass
 class LeafTables:
+    """Plain arrays only, so that workers need nothing but NumPy to use them."""
+
     base: float
     cuts: list[np.ndarray]  # per feature: its thresholds, ascending
-    groups: list[LeafGroup]
-
-    @property
-    def bin_type(self) -> np.dtype:
-        """Wide enough for the bins of a feature and the number of them."""
-        return np.min_scalar_type(max((len(c) for c in self.cuts), default=0) + 1)
+    # One group per number n of distinct path features:
+    #   features [n, leaves]: feature index, low [n, leaves]: first bin inside the condition,
+    #   width [n, leaves]: number of bins inside, table [n, leaves * 2**n]: contributions,
+    #   users: per path position the (feature, leaves that test it there).
+    groups: list[tuple]
 
     def contributions(self, rows: np.ndarray) -> np.ndarray:
         """[rows, features] contributions to the margin."""
-        bins = np.empty((len(self.cuts), len(rows)), dtype=self.bin_type)
-        for f, cuts in enumerate(self.cuts):
-            # x <= cuts[k] exactly when bin <= k; a NaN sorts last and so always goes right.
-            bins[f] = np.searchsorted(cuts, rows[:, f], side="left")
-        total = np.zeros(bins.shape)
-        for group in self.groups:
-            group.add_to(total, bins)
-        return total.T
+        return _contributions(self.cuts, self.groups, rows)
+
+
+def _bin_type(cuts: list[np.ndarray]) -> np.dtype:
+    """Wide enough for the bins of a feature and for the number of them."""
+    return np.min_scalar_type(max((len(c) for c in cuts), default=0) + 1)
+
+
+def _contributions(cuts: list[np.ndarray], groups: list[tuple], rows: np.ndarray) -> np.ndarray:
+    bins = np.empty((len(cuts), len(rows)), dtype=_bin_type(cuts))
+    for f, thresholds in enumerate(cuts):
+        # x <= thresholds[k] exactly when bin <= k; a NaN sorts last and so always goes right.
+        bins[f] = np.searchsorted(thresholds, rows[:, f], side="left")
+    total = np.zeros(bins.shape)
+    for features, low, width, table, users in groups:
+        n, leaves = features.shape
+        met = np.zeros((leaves, len(rows)), dtype=np.min_scalar_type(2**n - 1))
+        for j in range(n):
+            # Unsigned difference: one comparison tests both ends of the interval.
+            inside = np.take(bins, features[j], axis=0)
+            inside -= low[j, :, None]
+            met |= (inside < width[j, :, None]).astype(met.dtype) << met.dtype.type(j)
+        at = met.astype(np.int32)
+        at += (np.arange(leaves, dtype=np.int32) << n)[:, None]
+        for j, found in enumerate(users):
+            for f, chosen in found:
+                total[f] += np.take(table[j], np.take(at, chosen, axis=0)).sum(axis=0)
+    return total.T
 
 
 def _shapley_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -157,7 +152,7 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
     cuts = [np.array(sorted(found)) for found in bounds]
 
     base, groups = 0.0, []
-    bin_type = LeafTables(0.0, cuts, []).bin_type
+    bin_type = _bin_type(cuts)
     for n in sorted({len(path) for _, path in leaves}):
         chosen = [(v, sorted(path.items())) for v, path in leaves if len(path) == n]
         value = np.array([v for v, _ in chosen])
@@ -165,7 +160,7 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
         base += float((value * share.prod(axis=1)).sum())
         if not n:
             continue
-        features = np.array([[f for f, _ in path] for _, path in chosen])
+        features = np.array([[f for f, _ in path] for _, path in chosen]).T.copy()
         low = np.zeros((len(chosen), n), dtype=int)
         last = np.zeros((len(chosen), n), dtype=int)
         for r, (_, path) in enumerate(chosen):
@@ -173,11 +168,12 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
                 low[r, j] = 0 if a == -np.inf else np.searchsorted(cuts[f], a) + 1
                 last[r, j] = len(cuts[f]) if b == np.inf else np.searchsorted(cuts[f], b)
         groups.append(
-            LeafGroup(
-                np.ascontiguousarray(features.T),
-                np.ascontiguousarray(low.T.astype(bin_type)),
-                np.ascontiguousarray((last - low + 1).T.astype(bin_type)),
+            (
+                features,
+                low.T.astype(bin_type, order="C"),
+                (last - low + 1).T.astype(bin_type, order="C"),
                 _shapley_table(value, share).reshape(n, -1),
+                [[(int(f), np.flatnonzero(at == f)) for f in np.unique(at)] for at in features],
             )
         )
     return LeafTables(base, cuts, groups)
@@ -189,17 +185,17 @@ def shap_values(spark: SparkSession, tables: LeafTables) -> Column:
     The margin F of a boosted model gives the probability 1 / (1 + exp(-2F)), so log-odds are 2F.
     Only the features cross to Python, in Arrow batches; all other columns stay in the JVM.
     """
-    shared = spark.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast((tables.cuts, tables.groups))
     width = len(tables.cuts)
 
     def explain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lookup = shared.value
+        cuts, groups = shared.value
         for batch in batches:
             rows = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             out = np.empty((len(rows), width))
             for start in range(0, len(rows), ROWS_PER_BLOCK):
                 block = slice(start, start + ROWS_PER_BLOCK)
-                out[block] = 2.0 * lookup.contributions(rows[block])
+                out[block] = 2.0 * _contributions(cuts, groups, rows[block])
             offsets = np.arange(0, len(rows) * width + 1, width, dtype=np.int32)
             yield pa.ListArray.from_arrays(offsets, out.ravel())
 

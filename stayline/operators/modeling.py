@@ -248,6 +248,11 @@ def metrics_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     )
 
 
+def store_comparison(comparison: DataFrame, path: str) -> None:
+    """The report: one row per model, best area first."""
+    comparison.orderBy(F.col("roc_auc").desc()).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def train_tuned(matrix: DataFrame, settings: Boosting = TUNED) -> tuple[PipelineModel, dict]:
     """The tuned model with its sizes and test metrics."""
     frames = split_frames(matrix).persist(StorageLevel.MEMORY_AND_DISK)

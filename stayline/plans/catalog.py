@@ -222,6 +222,15 @@ def shap_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def shap_additivity(spark: SparkSession, folder: str) -> DataFrame:
+    """Per customer: how many contributions there are and what they leave unexplained."""
+    return shap_values(spark, folder).select(
+        "customer_id",
+        F.size(F.json_object_keys("shap_values_json")).alias("contributions"),
+        "unexplained",
+    )
+
+
 def _scorecard(spark: SparkSession, folder: str) -> DataFrame:
     matrix = _matrix(spark, folder)
     parts = [(F.col(c) * weight / 1000).cast("double") for c, weight in SCORECARD.items()]
@@ -363,6 +372,7 @@ def catalog() -> dict[str, Query]:
         "risk_tier": _rule("risk_tier", risk_tier),
         "recommended_action": _rule("recommended_action", recommended_action),
         "shap_values": shap_values,
+        "shap_additivity": shap_additivity,
         "reason_codes": partial(_scorecard_reasons, top=3, wording=SCORING),
         "top_reasons_n": partial(_scorecard_reasons, top=5, wording=RETENTION),
         "score_summary": score_summary,

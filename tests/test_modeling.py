@@ -1,6 +1,10 @@
 import itertools
 import json
+import os
+import subprocess
+import sys
 from math import factorial
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -160,3 +164,33 @@ def test_large_models_are_refused(spark, trained, monkeypatch):
     monkeypatch.setattr(explain, "MAX_TABLE_BYTES", 10)
     with pytest.raises(ValueError, match="leaf tables"):
         explain.leaf_tables(spark, trained[1].stages[-1])
+
+
+def test_workers_do_not_need_the_package(tiny, tmp_path):
+    """A driver elsewhere, whose workers cannot import this package."""
+    root = Path(explain.__file__).resolve().parents[2]
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import functions as F
+from stayline.operators import explain
+from stayline.schemas import MODEL_FEATURES
+from stayline.session import local_session
+spark = local_session(2)
+node = lambda i, p, n, l, r, s: dict(id=i, prediction=p, impurityStats=[n], leftChild=l, rightChild=r, split=s)
+split = dict(featureIndex=1, leftCategoriesOrThreshold=[5.0])
+nodes = {{0: node(0, 0.0, 4.0, 1, 2, split), 1: node(1, -1.0, 1.0, -1, -1, None), 2: node(2, 3.0, 3.0, -1, -1, None)}}
+tables = explain.group_leaves(list(explain.leaf_paths(nodes, 1.0)), 20)
+rows = spark.range(2).select(*[(F.col("id") * 10.0).alias(c) for c in MODEL_FEATURES])
+found = rows.select(explain.shap_values(spark, tables).alias("c")).collect()
+print("FOUND", [r["c"][1] for r in found])
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180
+    )
+    # base 2.0; twice the margin's (-1 - 2) and (3 - 2)
+    assert "FOUND [-6.0, 2.0]" in done.stdout, done.stderr[-2000:]

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.plans import reports
+from stayline.plans import reports, views
 
 DAY = date(2024, 1, 10)
 
@@ -166,3 +166,14 @@ def test_one_customer_with_a_third_of_all_rows(spark, predictions, sample):
     assert summary[:3] == (DAY, 1400, 500) and summary[4] == Decimal("42850.00")
     assert rows(reports.retention_roi(both, sample, DAY))[0][:2] == (500, Decimal("42850.00"))
     assert sum(r[3] for r in rows(reports.segments(both, sample, DAY, 1))) == 1400
+
+
+def test_sql_over_the_registered_names(spark, predictions, sample):
+    views.register(sample, predictions, as_of=DAY)
+    counted = spark.sql(
+        """SELECT (SELECT count(*) FROM v_at_risk_customers) AS at_risk,
+                  (SELECT sum(churn_encoded) FROM churn_features) AS churned,
+                  (SELECT sum(total_scored) FROM v_daily_churn_summary) AS scored,
+                  (SELECT count(*) FROM churn_predictions p JOIN customers USING (customer_id)) AS known"""
+    )
+    assert rows(counted) == [(6, 5, 12, 11)]
