@@ -206,12 +206,17 @@ def train_boosted(
 
 
 def evaluate(name: str, model: PipelineModel, test: DataFrame) -> dict:
-    """One metrics row. The area is MLlib's exact one: a distributed sort, no bins."""
+    """One metrics row. The area is MLlib's exact one: a distributed sort, no bins.
+
+    It ranks by probability: the raw prediction of a single tree is a row count of its leaf.
+    """
     scored = model.transform(test).select(
-        "label", F.col("prediction").cast("int").alias("prediction"), "rawPrediction"
+        "label", F.col("prediction").cast("int").alias("prediction"), "probability"
     )
     row = metrics(scored.withColumn("model", F.lit(name)), by=["model"]).first().asDict()
-    area = BinaryClassificationEvaluator(labelCol="label", numBins=0).evaluate(scored)
+    area = BinaryClassificationEvaluator(
+        labelCol="label", rawPredictionCol="probability", numBins=0
+    ).evaluate(scored)
     return {**row, "roc_auc": round(area, 4)}
 
 

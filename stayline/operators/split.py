@@ -5,86 +5,113 @@ from __future__ import annotations
 from collections.abc import Mapping
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 TEST = {"is_test": 0.20}
 MAX_CLASSES = 1000
+HASH_DIGITS = 32
+STEP = 3
+ONE_TASK = 1_000_000
 
 
 def key_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
+def _first_crossing(counted: DataFrame, upto: Column, by: list[str]) -> DataFrame:
+    """Per label and part, the first prefix that takes the running count beyond the goal."""
+    return (
+        counted.withColumn("upto", upto)
+        .filter("upto > goal")
+        .groupBy(*by)
+        .agg(
+            F.min(
+                F.struct("prefix", (F.col("upto") - F.col("n")).alias("before"), "goal", "n", "alone")
+            ).alias("edge")
+        )
+        .select(*by, "edge.*")
+    )
+
+
 def split_cuts(
     df: DataFrame,
     parts: Mapping[str, float] = TEST,
     label: str = "label",
     key: str = "customer_id",
     seed: int = 42,
-    digits: int = 4,
-) -> dict[object, list[str | None]]:
-    """Per label value, the last hash of each part.
+    step: int = STEP,
+    one_task: int = ONE_TASK,
+) -> dict[object, list[str]]:
+    """Per label value, the first hash that is beyond each part.
 
-    Found by counting instead of ranking: first by (label, hash prefix), which is at most
-    16 ** digits rows per label, then hash by hash for the few prefixes that hold a cut.
+    Found by counting, not by ranking rows: first by the leading ``step`` hex digits, then, only
+    among the rows that share the prefix in which a cut falls, by further digits. Once that prefix
+    holds at most ``one_task`` rows, its hashes are counted whole. A prefix that is one single hash,
+    however many rows have it, needs no further look.
     """
     hashed = df.select(F.col(label).alias("label"), key_hash(key, seed).alias("hash")).filter(
         F.col("label").isNotNull()
     )
-    prefix = F.substring("hash", 1, digits)
+
+    def count_by(rows: DataFrame, digits: int) -> DataFrame:
+        return rows.groupBy("label", F.substring("hash", 1, digits).alias("prefix")).agg(
+            F.count("*").alias("n"), (F.min("hash") == F.max("hash")).alias("alone")
+        )
+
     of_label = Window.partitionBy("label")
-    total = F.sum("n").over(of_label)
     goals = F.array(
         *[
-            F.struct(F.lit(i).alias("part"), F.floor(total * share + 1e-9).alias("goal"))
-            for i, share in enumerate(accumulate(parts.values()))
+            F.struct(
+                F.lit(part).alias("part"),
+                F.floor(F.sum("n").over(of_label) * share + 1e-9).alias("goal"),
+            )
+            for part, share in enumerate(accumulate(parts.values()))
         ]
     )
-    upto = F.sum("n").over(of_label.orderBy("prefix"))
+    running = F.sum("n").over(of_label.orderBy("prefix"))
+    counted = count_by(hashed, step).withColumns({"upto": running, "goals": goals})
     edges = (
-        hashed.groupBy("label", prefix.alias("prefix"))
-        .agg(F.count("*").alias("n"))
-        .select("label", "prefix", (upto - F.col("n")).alias("before"), upto.alias("upto"), goals.alias("goals"))
-        .select("*", F.inline("goals"))
-        .filter("upto > goal")
-        .groupBy("label", "part")
-        .agg(F.min(F.struct("prefix", "before", "goal")).alias("edge"))
-        .select("label", "part", "edge.*")
+        _first_crossing(counted.select("*", F.inline("goals")), F.col("upto"), ["label", "part"])
         .limit(MAX_CLASSES * len(parts) + 1)
         .collect()
     )
     if len(edges) > MAX_CLASSES * len(parts):
         raise ValueError(f"{label} has more than {MAX_CLASSES} values")
 
-    # Without a whole hash inside the edge prefix the cut is the prefix itself: it sorts below them.
-    cuts: dict[object, list[str | None]] = {}
-    for edge in edges:
-        cuts.setdefault(edge["label"], [None] * len(parts))[edge["part"]] = edge["prefix"]
-    if not edges:
-        return cuts
-
-    known = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in edge.asDict().items()]) for edge in edges])
-    inside = (
-        hashed.filter(prefix.isin(sorted({edge["prefix"] for edge in edges})))
-        .groupBy("label", "hash")
-        .agg(F.count("*").alias("n"))
-        .join(
-            F.broadcast(
-                df.sparkSession.range(1).select(F.inline(known)).withColumnRenamed("label", "of")
-            ),
-            (F.col("label") == F.col("of")) & (prefix == F.col("prefix")),
+    done: list[Row] = []
+    digits = step
+    while edges:
+        done += [edge for edge in edges if edge["alone"]]
+        edges = [edge for edge in edges if not edge["alone"]]
+        if not edges:
+            break
+        small = max(edge["n"] for edge in edges) <= one_task
+        longer = HASH_DIGITS if small else min(HASH_DIGITS, digits + step)
+        literals = F.array(
+            *[
+                F.struct(*[F.lit(edge[c]).alias(c) for c in ("label", "part", "prefix", "before", "goal")])
+                for edge in edges
+            ]
         )
-        .withColumn(
-            "upto",
-            F.col("before") + F.sum("n").over(Window.partitionBy("label", "part").orderBy("hash")),
+        opened = df.sparkSession.range(1).select(F.inline(literals)).withColumnsRenamed(
+            {"label": "of", "prefix": "within"}
         )
-        .filter("upto <= goal")
-        .groupBy("label", "part")
-        .agg(F.max("hash").alias("last"))
-    )
-    for row in inside.collect():  # at most one per edge
-        cuts[row["label"]][row["part"]] = row["last"]
+        inside = hashed.filter(
+            F.substring("hash", 1, digits).isin(sorted({edge["prefix"] for edge in edges}))
+        )
+        narrowed = count_by(inside, longer).join(
+            F.broadcast(opened),  # one row per label and part
+            (F.col("label") == F.col("of")) & (F.substring("prefix", 1, digits) == F.col("within")),
+        )
+        so_far = F.sum("n").over(Window.partitionBy("label", "part").orderBy("prefix"))
+        edges = _first_crossing(narrowed, F.col("before") + so_far, ["label", "part"]).collect()
+        digits = longer
+
+    cuts: dict[object, list[str]] = {}
+    for edge in done:
+        # A prefix sorts before every hash that starts with it; "g" sorts after all of them.
+        cuts.setdefault(edge["label"], ["g"] * len(parts))[edge["part"]] = edge["prefix"]
     return cuts
 
 
@@ -94,7 +121,7 @@ def stratified_split(
     label: str = "label",
     key: str = "customer_id",
     seed: int = 42,
-    digits: int = 4,
+    **options: int,
 ) -> DataFrame:
     """Add one flag per part: its share of each label's rows, in order of the key's hash.
 
@@ -102,16 +129,15 @@ def stratified_split(
     is a narrow projection, so a frame that is read many times, as in training, is not split again.
     Copies of a key stay on one side and are counted, not moved.
     """
-    cuts = split_cuts(df, parts, label, key, seed, digits)
+    cuts = split_cuts(df, parts, label, key, seed, **options)
     hashed, of = key_hash(key, seed), F.col(label)
     flags: dict[str, Column] = {}
     for at, flag in enumerate(parts):
         inside = F.lit(False)
         for value, ends in cuts.items():
-            first, last = ends[at - 1] if at else None, ends[at]
-            if last is None:  # the part reaches the end of the label's rows
-                last = "g"
-            within = hashed <= last if first is None else (hashed > first) & (hashed <= last)
+            within = hashed < ends[at]
+            if at:
+                within = within & (hashed >= ends[at - 1])
             inside = F.when(of == F.lit(value), within).otherwise(inside)
         flags[flag] = inside
     return df.withColumns(flags)

@@ -46,6 +46,19 @@ def test_better_than_chance(trained):
     assert sum(model.stages[-1].featureImportances.toArray()) == pytest.approx(1.0)
 
 
+def test_the_area_of_a_single_tree_ranks_by_probability(trained):
+    matrix, _, _ = trained
+    frames = modeling.split_frames(matrix)
+    model = modeling.train_tree(frames.filter("NOT is_test"), depth=3)
+    test = frames.filter("is_test")
+    scored = model.transform(test).select("label", modeling.probability().alias("p")).collect()
+    pos = [r["p"] for r in scored if r["label"] == 1]
+    neg = [r["p"] for r in scored if r["label"] == 0]
+    wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    found = modeling.evaluate("tree", model, test)["roc_auc"]
+    assert found == pytest.approx(wins / (len(pos) * len(neg)), abs=5.1e-5)
+
+
 def test_importances(spark, trained):
     rows = modeling.feature_importance(trained[1], spark, 15).collect()
     assert len(rows) == 15

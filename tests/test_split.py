@@ -23,15 +23,15 @@ def expected(rows, shares, seed=42):
     return {k: sides.get(k) for k, _ in rows}
 
 
-@pytest.mark.parametrize("digits", [1, 4])
+@pytest.mark.parametrize("options", [{}, {"step": 1, "one_task": 2}])
 @pytest.mark.parametrize("shares", [{"is_test": 0.2}, {"is_test": 0.2, "is_validation": 0.1}])
 @pytest.mark.parametrize("n", [1, 7, 300])
-def test_equal_to_ranking_every_row(spark, n, shares, digits):
+def test_equal_to_ranking_every_row(spark, n, shares, options):
     rows = [(f"K{i}", int(i % 3 == 0)) for i in range(n)]
     frame = spark.createDataFrame(rows, "customer_id string, label int")
     found = {
         r["customer_id"]: next((p for p in shares if r[p]), None)
-        for r in stratified_split(frame, shares, digits=digits).collect()
+        for r in stratified_split(frame, shares, **options).collect()
     }
     assert found == expected(rows, shares)
 
@@ -48,11 +48,20 @@ def test_the_seed_changes_the_sides(spark):
 def test_copies_of_one_key_stay_together(spark):
     """One key with a third of all rows goes to one side, whole, and no row is lost."""
     rows = [("hot", 0)] * 150 + [(f"K{i}", 0) for i in range(300)]
-    split = stratified_split(spark.createDataFrame(rows, "customer_id string, label int"))
-    sides = {(r["customer_id"], r["is_test"]) for r in split.collect()}
-    assert split.count() == 450
-    assert len({side for key, side in sides if key == "hot"}) == 1
-    assert split.filter("is_test").count() <= 90
+    frame = spark.createDataFrame(rows, "customer_id string, label int")
+    for seed in range(4):
+        split = stratified_split(frame, seed=seed, step=1, one_task=5).cache()
+        sides = {(r["customer_id"], r["is_test"]) for r in split.collect()}
+        assert split.count() == 450
+        assert len({side for key, side in sides if key == "hot"}) == 1
+        # Whole keys in hash order, as long as they fit.
+        ordered = sorted(sides, key=lambda k: hashlib.md5(f"{k[0]}|{seed}".encode()).hexdigest())
+        count, expected = 0, {}
+        for key, _ in ordered:
+            count += 150 if key == "hot" else 1
+            expected[key] = count <= 90
+        assert dict(sides) == expected
+        split.unpersist()
 
 
 def test_unlabelled_rows_are_in_no_part(spark):

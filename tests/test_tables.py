@@ -114,6 +114,22 @@ def test_the_run_date_picks_folders(spark, tmp_path):
     assert len(one.inputFiles()) >= 1 and one.count() == 1
 
 
+def test_reports_read_only_what_they_need(spark, tmp_path, sample):
+    tables.store_customers(sample, str(tmp_path / "customers"))
+    tables.publish_run(scores(spark, ("CUST-0001", 0.9)), str(tmp_path / "runs"), RUN)
+    runs = tables.read_predictions(spark, str(tmp_path / "runs"))
+    customers = spark.read.parquet(str(tmp_path / "customers"))
+
+    summary = reports.executive_summary(runs, customers, RUN)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<customer_id:string,monthly_charges:decimal(8,2)>" in plan
+    assert "ReadSchema: struct<customer_id:string,churn_prediction:int,risk_tier:string>" in plan
+
+    drivers = reports.top_drivers(runs, RUN)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(churn_prediction,1)" in drivers and "IsNotNull(top_reason_1)" in drivers
+    assert "run_date" in drivers[drivers.index("PartitionFilters") :]
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, sample):
     """The same reports over bucketed tables; publishing again replaces only its own partition."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
