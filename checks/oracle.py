@@ -485,6 +485,7 @@ def oracle_sql() -> dict[str, str]:
               (SELECT COUNT(*) AS rows_out, {mean("churn", 2, 100)} AS churn_rate_pct FROM clean) c""",
         ),
         "clean_label_counts": over("clean", "SELECT churn, COUNT(*) AS count FROM clean GROUP BY churn"),
+        "clean_preview": over("clean", "SELECT * FROM clean ORDER BY customer_id LIMIT 5"),
         "eda_overview": customers(
             f"""SELECT COUNT(*) AS total_customers, {total(LEFT)} AS churned,
               {total("churn = 'No'")} AS retained, {RATE}"""

@@ -105,8 +105,9 @@ def label_counts(cleaned: DataFrame) -> DataFrame:
     return cleaned.groupBy("churn").agg(F.count("*").alias("count"))
 
 
-def preview(cleaned: DataFrame, rows: int = 5) -> DataFrame:
-    return cleaned.limit(rows)
+def preview(cleaned: DataFrame, rows: int = 5, key: str = "customer_id") -> DataFrame:
+    """The first rows by key, the same ones every time."""
+    return cleaned.orderBy(key).limit(rows)
 
 
 def fix_zero_totals(df: DataFrame) -> DataFrame:

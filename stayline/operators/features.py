@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stayline.functions.numeric import fixed
 from stayline.functions.rules import tenure_group
 from stayline.operators.quality import require_columns
-from stayline.schemas import ADD_ONS, BALANCE, MODEL_FEATURES, MONEY, RATIO
+from stayline.schemas import ADD_ONS, BALANCE, CUSTOMER_COLUMNS, MODEL_FEATURES, MONEY, RATIO
 
 # Which value of which column sets each flag.
 BINARY = {
@@ -141,7 +141,8 @@ def feature_table(customers: DataFrame) -> DataFrame:
 
 def model_matrix(cleaned: DataFrame) -> DataFrame:
     """Key, the ordered model features as doubles without nulls, and the label of a cleaned frame."""
-    built = cleaned.transform(add_tenure_group).transform(add_computed).transform(encode)
+    require_columns(cleaned, [c for c in CUSTOMER_COLUMNS if c != "multiple_lines"])
+    built = cleaned.transform(add_computed).transform(encode)
     require_columns(built, MODEL_FEATURES)
     return built.select(
         "customer_id",

@@ -325,6 +325,7 @@ def catalog() -> dict[str, Query]:
         "clean_customers": _clean,
         "clean_summary": on_raw(cleaning.clean_summary),
         "clean_label_counts": _on(_clean, cleaning.label_counts),
+        "clean_preview": _on(_clean, cleaning.preview),
         "eda_overview": on_customers(explore.overview),
         "eda_numeric_summary": on_customers(explore.numeric_summary),
         "eda_by_contract": on_customers(explore.by_contract),

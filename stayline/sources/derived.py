@@ -1,6 +1,6 @@
 """Subscribers and scoring runs derived from the order tables, one subscriber per customer row.
 
-The driver's tables hold no telecom subscribers; every category, blank, null and band edge the
+The test tables hold orders, not subscribers; every category, blank, null and band edge the
 operators care about is derived from the customer key, the balance and the order history.
 """
 

@@ -95,6 +95,11 @@ def test_matrix_has_every_column_whatever_the_batch(raw):
     assert (row["internet_fiber"], row["payment_bank_transfer"], row["label"]) == (1.0, 0.0, 0)
 
 
+def test_a_missing_input_column_is_an_error(raw):
+    with pytest.raises(ValueError, match="contract"):
+        features.model_matrix(clean(raw).drop("contract"))
+
+
 def test_matrix_has_no_nulls(raw):
     nulled = clean(raw).withColumn("senior_citizen", F.lit(None).cast("int"))
     assert {r["senior_citizen"] for r in features.model_matrix(nulled).collect()} == {0.0}
