@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two wordings, with their words for a positive and any other contribution.
+# The three wordings, with their words for a positive and any other contribution.
 SCORING = ("%s (%s, SHAP=%+.3f)", "high risk", "low risk")
 RETENTION = ("%s → %s churn risk (SHAP=%+.3f)", "elevated", "lower")
+SIGNAL = ("%s is %s risk signal (SHAP=%+.4f)", "HIGH", "LOW")
 
 
 def name_of(names: Sequence[str], at: str) -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.reasons import RETENTION, describe, name_of, rank_contributions
+from stayline.functions.reasons import SIGNAL, describe, name_of, rank_contributions
 from stayline.functions.rules import DECISION_THRESHOLD
 from stayline.schemas import MODEL_FEATURES
 from stayline.session import shared_folder
@@ -244,7 +244,7 @@ def explain_rows(explained: DataFrame, top: int = 8) -> DataFrame:
     """
     rows = (
         explained.withColumn("ranked", rank_contributions("contributions", top))
-        .withColumn("reasons", F.array(*describe("ranked", MODEL_FEATURES, min(3, top), RETENTION)))
+        .withColumn("reasons", F.array(*describe("ranked", MODEL_FEATURES, min(3, top), SIGNAL)))
         .select(
             "customer_id",
             F.round("churn_probability", 4).alias("churn_probability"),

@@ -42,10 +42,16 @@ def _times(count: str, money: str = "monthly_charges") -> Column:
     return F.col(count).cast("decimal(18,0)") * F.col(money)
 
 
+def by_probability() -> list[Column]:
+    """A total order on a day's run keys, so no two rows force each other into one sort task."""
+    return [F.col("churn_probability").desc(), F.col("customer_id"), F.col("model_version")]
+
+
 def at_risk_view(predictions: DataFrame, customers: DataFrame, as_of: date | None = None) -> DataFrame:
     flagged = of_day(predictions, as_of).filter(F.col("churn_prediction") == 1)
     return (
         flagged.join(customers, "customer_id")
+        .orderBy(*by_probability())
         .select(
             "customer_id",
             "churn_probability",
@@ -61,7 +67,6 @@ def at_risk_view(predictions: DataFrame, customers: DataFrame, as_of: date | Non
             "payment_method",
             "run_date",
         )
-        .orderBy(F.col("churn_probability").desc(), "customer_id")
     )
 
 
@@ -90,14 +95,15 @@ def first_calls(
     rows, are broadcast to the customers and nothing is shuffled. Only if too many of them are not
     on file does the whole day go through the join.
     """
-    order = [F.col("churn_probability").desc(), F.col("customer_id"), F.col("model_version")]
+    order = by_probability()
     candidates = candidates or 10 * limit
     best = flagged.orderBy(*order).limit(candidates)
     joined = F.broadcast(best).join(customers, "customer_id")
     enough = joined.limit(limit).count() == limit or best.count() < candidates
     found = joined if enough else flagged.join(customers, "customer_id")
     ranked = found.orderBy(*order).limit(limit)
-    return ranked.withColumn("priority_rank", F.row_number().over(Window.orderBy(*order)))
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
+    return ranked.withColumn("priority_rank", rank)
 
 
 def call_list(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayline.operators.quality import duplicate_keys
 from stayline.schemas import (
     CHURN_FEATURES,
     CHURN_PREDICTIONS,
@@ -87,7 +88,10 @@ def export_csv(df: DataFrame, path: str, key: str = "customer_id") -> None:
 
 
 def _run_rows(scores: DataFrame, run_date: date | None, model_version: str) -> DataFrame:
-    """Published columns, one row per run key: the highest probability wins."""
+    """Published columns, one row per run key: the highest probability wins.
+
+    A look at the keys alone decides whether whole rows have to be shuffled; normally they do not.
+    """
     stamped = with_defaults(
         scores,
         {
@@ -96,14 +100,16 @@ def _run_rows(scores: DataFrame, run_date: date | None, model_version: str) -> D
         },
     )
     rows = conform(stamped, CHURN_PREDICTIONS).drop("created_at")
-    values = ["churn_probability"] + [
-        c for c in rows.columns if c not in RUN_KEY and c != "churn_probability"
-    ]
-    return (
-        rows.groupBy(*RUN_KEY)
-        .agg(F.max(F.struct(*values)).alias("kept"))
-        .select(*RUN_KEY, "kept.*", F.current_timestamp().alias("created_at"))
-    )
+    if not duplicate_keys(rows, RUN_KEY).isEmpty():
+        values = ["churn_probability"] + [
+            c for c in rows.columns if c not in RUN_KEY and c != "churn_probability"
+        ]
+        rows = (
+            rows.groupBy(*RUN_KEY)
+            .agg(F.max(F.struct(*values)).alias("kept"))
+            .select(*RUN_KEY, "kept.*")
+        )
+    return rows.withColumn("created_at", F.current_timestamp())
 
 
 def publish_run(

@@ -169,6 +169,7 @@ def test_one_customer(spark, trained):
     assert [r["rank"] for r in rows] == list(range(1, 9))
     assert [abs(r["shap"]) for r in rows] == sorted((abs(r["shap"]) for r in rows), reverse=True)
     assert [r["reason"] is not None for r in rows] == [True] * 3 + [False] * 5
+    assert "risk signal (SHAP=" in rows[0]["reason"]
     with pytest.raises(KeyError):
         pipeline.explain_one(matrix, model, "nobody")
 
