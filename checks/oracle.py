@@ -111,7 +111,7 @@ FROM q"""
 
 
 def fixed(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
 def ratio(part: str, whole: str, n: int, scale: int = 1) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def fixed(value: Column, digits: int) -> Column:
     """Half-up rounding of a double; the decimal step turns 83.33499999 back into the tie it was."""
-    return F.round(value.cast("decimal(38,6)"), digits).cast("double")
+    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
 
 
 def ratio(part: Column, whole: Column, digits: int, scale: int = 1) -> Column:
