@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, difference
+from checks.oracle import oracle_sql
+from stayline.plans.catalog import catalog
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = catalog(), oracle_sql()
 MODEL_ONLY = {
     "model_compare",
     "gbt_train",
