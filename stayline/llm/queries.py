@@ -6,17 +6,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import neardup
+from stayline.llm import mixing, neardup
 from stayline.llm.store import documents
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, sf_dir))
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), p AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][nth % 3 + 1]::BIGINT AS weight, 3 * source_size AS capacity FROM p
+), f AS (
+  SELECT *, row_number() OVER (ORDER BY capacity / weight, nth) AS place FROM w
+), l AS (
+  SELECT a.place, (SELECT sum(source_size) FROM w) - coalesce((SELECT sum(capacity) FROM f b WHERE b.place < a.place), 0) AS rest,
+    (SELECT sum(weight) FROM f b WHERE b.place >= a.place) AS share_by, a.weight, a.capacity
+  FROM f a
+), v AS (
+  SELECT rest, share_by FROM l WHERE rest * weight <= capacity * share_by ORDER BY place LIMIT 1
+), t AS (
+  SELECT source, source_size, least(v.rest::DOUBLE * weight / v.share_by::DOUBLE, capacity::DOUBLE) AS target FROM w, v
+), o AS (
+  SELECT d.*, t.source_size, t.target,
+    sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, source, size::BIGINT AS size, source_size, target, (
+  greatest(0, least(before + size, floor(target)) - before)
+  + greatest(0, least(source_size + before + size, floor(target)) - (source_size + before))
+  + greatest(0, least(2 * source_size + before + size, floor(target)) - (2 * source_size + before)))::BIGINT AS taken
+FROM o
+"""
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), size=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_minhash_near_dedup,)}
+    return {f.__name__: f for f in (op2_source_mix, op9_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_source_mix": OP2_SQL}
