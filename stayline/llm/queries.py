@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import mixing, neardup
+from stayline.llm import decontaminate, langid, mixing, neardup
 from stayline.llm.store import documents
 
 
@@ -45,12 +45,24 @@ FROM o
 """
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leaks(documents(spark, sf_dir), items).drop("doc_key")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), size=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mix, op9_minhash_near_dedup)}
+    return {f.__name__: f for f in (op2_source_mix, op5_benchmark_leaks, op8_language_id, op9_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,8 +33,8 @@ class Piece:
         return len(self.offsets) - 1
 
 
-def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
-    """The texts in pieces of about ``most`` bytes, so that memory follows the longest text."""
+def pieces(texts: pa.Array, most: int = PIECE_BYTES, rows: int = 1 << 16) -> Iterator[Piece]:
+    """The texts in pieces of about ``most`` bytes and at most ``rows`` texts: memory follows the longest."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary()).fill_null(b"")
@@ -46,7 +46,7 @@ def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
     at = 0
     while at < len(texts):
         to = int(np.searchsorted(offsets, offsets[at] + most, side="left"))
-        to = min(max(to, at + 1), len(texts))
+        to = min(max(to, at + 1), at + rows, len(texts))
         yield Piece(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 
