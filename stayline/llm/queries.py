@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import decontaminate, langid, mixing, neardup
+from stayline.llm import decontaminate, langid, mixing, neardup, secrets
 from stayline.llm.store import documents
 
 
@@ -45,6 +45,11 @@ FROM o
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.fit(secrets.corpus_samples(docs)))
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.leaks(documents(spark, sf_dir), items).drop("doc_key")
@@ -62,7 +67,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mix, op5_benchmark_leaks, op8_language_id, op9_minhash_near_dedup)}
+    return {f.__name__: f for f in (op2_source_mix, op3_secret_scan, op5_benchmark_leaks, op8_language_id, op9_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
