@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import decontaminate, langid, mixing, neardup, secrets
+from stayline.llm import chat, decontaminate, langid, mixing, neardup, secrets
 from stayline.llm.store import documents
 
 
@@ -50,6 +50,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(secrets.corpus_samples(docs)))
 
 
+ESCAPES = r"\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", ESCAPES), (-7, 1, "assistant", ESCAPES)], turns.schema)
+    return chat.read_back(chat.format_windows(turns.unionByName(probe)))
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.leaks(documents(spark, sf_dir), items).drop("doc_key")
@@ -67,7 +76,17 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mix, op3_secret_scan, op5_benchmark_leaks, op8_language_id, op9_minhash_near_dedup)}
+    return {
+        f.__name__: f
+        for f in (
+            op2_source_mix,
+            op3_secret_scan,
+            op4_chat_format,
+            op5_benchmark_leaks,
+            op8_language_id,
+            op9_minhash_near_dedup,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
