@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import chat, decontaminate, langid, mixing, neardup, secrets
+from stayline.llm import chat, decontaminate, langid, mixing, neardup, ngrams, secrets
 from stayline.llm.store import documents
 
 
@@ -64,6 +64,10 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), items).drop("doc_key")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_documents(documents(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.fit(docs.where(~langid.held_out()))
@@ -83,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_secret_scan,
             op4_chat_format,
             op5_benchmark_leaks,
+            op7_lm_score,
             op8_language_id,
             op9_minhash_near_dedup,
         )
