@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import chat, decontaminate, langid, mixing, neardup, ngrams, secrets
+from stayline.llm import ann, chat, decontaminate, langid, mixing, neardup, ngrams, secrets
 from stayline.llm.store import documents
 
 
@@ -64,6 +64,10 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), items).drop("doc_key")
 
 
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.score_documents(documents(spark, sf_dir))
 
@@ -87,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_secret_scan,
             op4_chat_format,
             op5_benchmark_leaks,
+            op6_nearest_vectors,
             op7_lm_score,
             op8_language_id,
             op9_minhash_near_dedup,
