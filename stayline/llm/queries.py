@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import ann, chat, decontaminate, langid, mixing, neardup, ngrams, secrets
+from stayline.llm import ann, chat, decontaminate, htmltext, langid, mixing, neardup, ngrams, secrets
 from stayline.llm.store import documents
 
 
@@ -83,6 +83,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), size=4)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return htmltext.main_texts(pages, htmltext.fit(htmltext.labelled_pages()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op7_lm_score,
             op8_language_id,
             op9_minhash_near_dedup,
+            op10_main_text,
         )
     }
 
