@@ -25,7 +25,7 @@ BITS = 64
 SUBSTRING_BITS = 8
 SAMPLE = 4096
 SAMPLE_QUERIES = 256
-COVERED = 0.985  # share of the sample's true neighbours within the radius
+COVERED = 0.97  # share of the sample's true neighbours within the radius
 INDEX_BLOCK = 8192
 QUERY_BLOCK = 4096
 QUERIES_AT_ONCE = 64
@@ -198,7 +198,7 @@ def nearest(
     if lengths is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vec") == lengths["size"])
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
+    sample = rows.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).toArrow()
     codes = fit(_matrix(sample.column("vec")), neighbours)
     n_rows = lengths["count"]
     row_blocks, query_blocks = -(-n_rows // INDEX_BLOCK), -(-n_rows // (QUERY_BLOCK * every_nth))
