@@ -6,10 +6,63 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import ann, chat, decontaminate, htmltext, langid, mixing, neardup, ngrams, secrets
+from stayline.llm import ann, chat, decontaminate, htmltext, langid, licenses, mixing, neardup, ngrams, secrets
 from stayline.llm.store import documents
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_paths(documents(spark, sf_dir)))
+
+
+OP1_SQL = r"""
+WITH notices AS (SELECT * FROM (VALUES __NOTICES__) AS t(notice, licence, words)),
+nt AS (
+  SELECT notice, licence, term, 1 + ln(count(*)) AS tf
+  FROM (SELECT notice, licence, unnest(regexp_extract_all(lower(words), '__TERM__')) AS term FROM notices)
+  WHERE term NOT IN (__STOPS__) GROUP BY ALL
+), idf AS (
+  SELECT term, ln((1 + (SELECT count(*) FROM notices)) / (1 + count(*))) + 1 AS idf FROM nt GROUP BY term
+), parts AS (
+  SELECT notice, licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY notice)) AS part FROM nt JOIN idf USING (term)
+), files AS (
+  SELECT doc_id, text, '/' || CASE WHEN rtrim(doc_id::VARCHAR, '0') = '' THEN ''
+    ELSE array_to_string(string_split(rtrim(doc_id::VARCHAR, '0'), ''), '/') || '/' END || doc_id::VARCHAR || '.txt' AS path FROM documents
+), cuts AS (
+  SELECT DISTINCT doc_id, whole, seg FROM (
+    SELECT doc_id, false AS whole, unnest(string_split(text, chr(10))) AS seg FROM files
+    UNION ALL SELECT doc_id, false, unnest(regexp_split_to_array(text, '\n[\x20\t\r]*\n')) FROM files
+    UNION ALL SELECT doc_id, true, text FROM files)
+), tf AS (
+  SELECT doc_id, whole, seg, term, 1 + ln(count(*)) AS tf
+  FROM (SELECT doc_id, whole, seg, unnest(regexp_extract_all(lower(seg), '__TERM__')) AS term FROM cuts)
+  WHERE term NOT IN (__STOPS__) GROUP BY ALL
+), w AS (
+  SELECT tf.*, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM notices)) + 1) AS weight FROM tf LEFT JOIN idf USING (term)
+), n AS (
+  SELECT doc_id, whole, seg, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY ALL
+), d AS (
+  SELECT doc_id, whole, seg, notice, licence, sum(weight * part) AS dot FROM w JOIN parts USING (term) GROUP BY ALL
+), s AS (
+  SELECT d.doc_id, d.whole, d.licence, round(dot / norm, 6) AS score
+  FROM d JOIN n ON d.doc_id = n.doc_id AND d.whole = n.whole AND d.seg = n.seg
+), own AS (
+  SELECT doc_id, licence, score FROM s WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1
+), whole AS (
+  SELECT doc_id, licence, score FROM s WHERE whole AND score >= 0.5 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1
+), placed AS (SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM files
+), covering AS (
+  SELECT dir AS above, licence FROM whole JOIN placed USING (doc_id) QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, licence) = 1
+), up AS (
+  SELECT p.doc_id, above, licence FROM placed p JOIN covering c ON p.dir = c.above OR starts_with(p.dir, c.above || '/')
+  QUALIFY row_number() OVER (PARTITION BY p.doc_id ORDER BY length(above) DESC) = 1
+)
+SELECT p.doc_id, p.path, coalesce(own.licence, whole.licence) AS own_licence, coalesce(own.score, whole.score) AS own_score,
+  coalesce(own.licence, whole.licence, up.licence) AS licence,
+  CASE WHEN own.licence IS NOT NULL OR whole.licence IS NOT NULL THEN p.path ELSE up.above END AS licence_from
+FROM placed p LEFT JOIN own USING (doc_id) LEFT JOIN whole ON whole.doc_id = p.doc_id LEFT JOIN up ON up.doc_id = p.doc_id
+"""
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf_dir))
 
@@ -92,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_license_scan,
             op2_source_mix,
             op3_secret_scan,
             op4_chat_format,
@@ -106,4 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": OP2_SQL}
+    notices = ", ".join(f"({k}, '{name}', '{words}')" for k, (name, words) in enumerate(licenses.NOTICES))
+    op1 = OP1_SQL.replace("__NOTICES__", notices).replace("__TERM__", licenses.TERM)
+    op1 = op1.replace("__STOPS__", ", ".join(f"'{w}'" for w in licenses.STOP_WORDS))
+    return {"op1_license_scan": op1, "op2_source_mix": OP2_SQL}
