@@ -2,9 +2,65 @@
 
 from __future__ import annotations
 
-from stayline.functions.rules import ACTIONS, NO_ACTION
-from stayline.plans.catalog import SCALED, SCORECARD
-from stayline.schemas import ADD_ONS, MODEL_FEATURES
+# Spelled out here, not imported: a wrong value in the library must show as a difference.
+
+# The four actions, by the lowest probability that earns each.
+ACTIONS = [
+    (0.75, "URGENT: Call within 24h — offer 30% discount on annual plan"),
+    (0.55, "Call this week — offer free upgrade or loyalty bonus"),
+    (0.40, "Send personalised retention email with bundle offer"),
+]
+NO_ACTION = "No immediate action needed — monitor next month"
+
+# The add-on services.
+ADD_ONS = [
+    "online_security",
+    "online_backup",
+    "device_protection",
+    "tech_support",
+    "streaming_tv",
+    "streaming_movies",
+]
+
+# The model's input in order.
+MODEL_FEATURES = [
+    "tenure",
+    "monthly_charges",
+    "total_charges",
+    "senior_citizen",
+    "avg_monthly_bill",
+    "charge_to_tenure_ratio",
+    "is_month_to_month",
+    "total_services_count",
+    "gender_encoded",
+    "partner_encoded",
+    "dependents_encoded",
+    "phone_service_encoded",
+    "paperless_billing_encoded",
+    "contract_month_to_month",
+    "contract_one_year",
+    "internet_dsl",
+    "internet_fiber",
+    "payment_electronic_check",
+    "payment_mailed_check",
+    "payment_bank_transfer",
+]
+
+SCALED = ["tenure", "monthly_charges", "total_charges", "avg_monthly_bill"]
+
+# The scorecard, in thousandths of log-odds per unit.
+SCORECARD = {
+    "tenure": -31,
+    "senior_citizen": 214,
+    "is_month_to_month": 1120,
+    "total_services_count": -187,
+    "partner_encoded": -95,
+    "dependents_encoded": -143,
+    "paperless_billing_encoded": 187,
+    "internet_fiber": 640,
+    "payment_electronic_check": 374,
+    "contract_one_year": -310,
+}
 
 DAY = "DATE '2024-01-10'"
 
@@ -33,7 +89,7 @@ b AS (SELECT a.*,
     + CASE WHEN tenure < 12 THEN 20 WHEN tenure < 24 THEN 8 ELSE 0 END
     + CASE WHEN inet = 'Fiber optic' THEN 12 ELSE 0 END
     + CASE WHEN pay = 'Electronic check' THEN 8 ELSE 0 END + recency) AS pts FROM a)
-SELECT CONCAT('CUST-', LPAD(CAST(k AS VARCHAR(10)), 8, '0')) AS customer_id,
+SELECT CONCAT('CUST-', LPAD(CAST(k AS VARCHAR), GREATEST(8, LENGTH(CAST(k AS VARCHAR)))::INT, '0')) AS customer_id,
   CASE WHEN k % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
   CASE WHEN (k * 17) % 100 < 16 THEN 1 ELSE 0 END AS senior_citizen,
   CASE WHEN nk % 2 = 0 THEN 'Yes' ELSE 'No' END AS partner,
@@ -65,7 +121,7 @@ SELECT CONCAT('CUST-', LPAD(CAST(k AS VARCHAR(10)), 8, '0')) AS customer_id,
        WHEN pts + (k * 101) % 30 >= 64 THEN 'Yes' ELSE 'No' END AS churn
 FROM b"""
 
-_key = "CAST(SUBSTRING(customer_id, 6, 8) AS BIGINT)"
+_key = "CAST(SUBSTRING(customer_id, 6) AS BIGINT)"
 
 RAW = f"""
 SELECT * REPLACE (
@@ -85,17 +141,18 @@ def action_rule(p: str) -> str:
 
 PREDICTIONS = f"""
 WITH s AS (
-  SELECT t.*, d, CAST(SUBSTRING(customer_id, 6, 8) AS BIGINT) AS k
+  SELECT t.*, d, CAST(SUBSTRING(customer_id, 6) AS BIGINT) AS k
   FROM telco_customers t CROSS JOIN (SELECT UNNEST(range(14)) AS d)),
 p AS (SELECT s.*, LEAST(9999, GREATEST(1,
      CASE WHEN contract = 'Month-to-month' THEN 3000 ELSE 500 END
    + CASE WHEN tenure < 12 THEN 2500 ELSE 0 END
    + CASE WHEN internet_service = 'Fiber optic' THEN 1200 ELSE 0 END
    + (k * 7919 + d * 104729) % 3500)) AS bp,
-   list_filter([CASE WHEN contract = 'Month-to-month' THEN 'contract_month_to_month' END,
+   list_transform(list_filter([CASE WHEN contract = 'Month-to-month' THEN 'contract_month_to_month' END,
      CASE WHEN tenure < 12 THEN 'tenure' END,
      CASE WHEN internet_service = 'Fiber optic' THEN 'internet_fiber_optic' END],
-     lambda r: r IS NOT NULL) AS reasons
+     lambda r: r IS NOT NULL),
+     lambda r: r || ' (high risk, SHAP=+0.' || LPAD(CAST(k % 1000 AS VARCHAR), 3, '0') || ')') AS reasons
    FROM s WHERE (k + d) % 3 <> 1),
 q AS (SELECT p.*, CAST(bp / 10000.0 AS DECIMAL(5,4)) AS churn_probability FROM p)
 SELECT customer_id, DATE '2024-01-04' + CAST(d AS INT) AS run_date,
@@ -369,6 +426,7 @@ _joined = f"""telco_predictions p JOIN telco_customers c ON c.customer_id = p.cu
 
 def oracle_sql() -> dict[str, str]:
     high, medium, low = _tiers()
+    # The labels of the bands.
     bill_buckets = (
         "CASE WHEN monthly_charges < 35 THEN '< ₹35 (Budget)' "
         "WHEN monthly_charges < 65 THEN '₹35-65 (Mid)' "
@@ -659,10 +717,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "report_top_drivers": over(
             "telco_predictions",
-            f"""SELECT top_reason_1 AS risk_factor, COUNT(*) AS times_cited_as_primary,
+            f"""SELECT regexp_replace(top_reason_1, ', SHAP=[^)]*', '') AS risk_factor,
+              COUNT(*) AS times_cited_as_primary,
               {mean("churn_probability", 1, 100)} AS avg_churn_prob_when_primary
             FROM telco_predictions WHERE run_date = {DAY} AND churn_prediction = 1
-              AND top_reason_1 IS NOT NULL GROUP BY top_reason_1""",
+              AND top_reason_1 IS NOT NULL GROUP BY 1""",
         ),
         "report_segments": over(
             "telco_predictions",

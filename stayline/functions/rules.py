@@ -53,6 +53,7 @@ def tenure_group(tenure: Column) -> Column:
 
 def tenure_bucket(tenure: Column) -> Column:
     """Exploration bands."""
+    # The labels.
     return (
         F.when(tenure.between(0, 6), "0-6 months (New)")
         .when(tenure.between(7, 24), "7-24 months (Growing)")
@@ -63,6 +64,7 @@ def tenure_bucket(tenure: Column) -> Column:
 
 def tenure_band(tenure: Column) -> Column:
     """Reporting bands."""
+    # The labels.
     return (
         F.when(tenure < 6, "New (< 6 mo)")
         .when(tenure < 24, "Mid (6-24 mo)")
@@ -70,10 +72,11 @@ def tenure_band(tenure: Column) -> Column:
     )
 
 
-def bill_bucket(monthly: Column, currency: str = "₹") -> Column:
+def bill_bucket(monthly: Column) -> Column:
+    # The labels.
     return (
-        F.when(monthly < 35, f"< {currency}35 (Budget)")
-        .when(monthly < 65, f"{currency}35-65 (Mid)")
-        .when(monthly < 85, f"{currency}65-85 (Premium)")
-        .otherwise(f"{currency}85+ (High-end)")
+        F.when(monthly < 35, "< ₹35 (Budget)")
+        .when(monthly < 65, "₹35-65 (Mid)")
+        .when(monthly < 85, "₹65-85 (Premium)")
+        .otherwise("₹85+ (High-end)")
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from stayline.functions.numeric import count_if, fixed, ratio
 
+CELLS = 4096  # of scores between 0 and 1
+
 
 def outcomes(predictions: DataFrame, customers: DataFrame) -> DataFrame:
     """Scored rows with a known outcome."""
@@ -55,18 +57,31 @@ def metrics(rows: DataFrame, by: Sequence[str] = ("model_version",), digits: int
     )
 
 
-def roc_auc(rows: DataFrame, by: Sequence[str] = ("model_version",), digits: int = 4) -> DataFrame:
-    """Area under the ROC curve, ties counting one half, from the stored four-digit score.
+def roc_auc(
+    rows: DataFrame,
+    by: Sequence[str] = ("model_version",),
+    digits: int = 4,
+    score_digits: int | None = None,
+) -> DataFrame:
+    """Area under the ROC curve, ties counting one half; scores are rounded only if asked.
 
-    Rows are first counted per score, so the running window sees at most 10,001 rows per group.
+    Rows are first counted per score. The running count of negatives goes over cells of scores first
+    and then within each cell, so no task sees all scores of a group.
     """
-    per_score = rows.groupBy(*by, F.round("score", 4).alias("score")).agg(
+    score = F.col("score") if score_digits is None else F.round("score", score_digits)
+    per_score = rows.groupBy(*by, score.alias("score")).agg(
         F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")
     )
-    below = F.sum("neg").over(Window.partitionBy(*by).orderBy("score")) - F.col("neg")
+    per_score = per_score.withColumn("cell", F.floor(F.col("score").cast("double") * CELLS))
+    cells = per_score.groupBy(*by, "cell").agg(F.sum("neg").alias("all_neg"))
+    below_cell = F.sum("all_neg").over(Window.partitionBy(*by).orderBy("cell")) - F.col("all_neg")
+    cells = cells.select(*by, "cell", below_cell.alias("base"))
+    inside = F.sum("neg").over(Window.partitionBy(*by, "cell").orderBy("score")) - F.col("neg")
+    placed = per_score.withColumn("inside", inside).join(cells, [*by, "cell"])
+    below = F.col("base") + F.col("inside")
     # Twice the area, in whole numbers: exact in any order.
     doubled = F.col("pos").cast("decimal(19,0)") * (below * 2 + F.col("neg")).cast("decimal(19,0)")
-    summed = per_score.withColumn("doubled", doubled).groupBy(*by).agg(
+    summed = placed.withColumn("doubled", doubled).groupBy(*by).agg(
         F.sum("doubled").cast("double").alias("area"),
         F.sum("pos").cast("double").alias("p"),
         F.sum("neg").cast("double").alias("n"),

@@ -2,8 +2,9 @@
 
 Every leaf is a product of conditions on the few features of its path. For each leaf and each set
 of path features whose conditions a row meets, the contribution of every path feature is known in
-advance; scoring a row means finding that set and adding up. The tables depend on the model only:
-trees x leaves x 2**depth x depth numbers, so their size is checked before they are broadcast.
+advance; scoring a row means finding that set and adding up. Only the paths are broadcast, a few
+numbers per leaf. The tables, 2**n x n numbers for a leaf of n path features, are made by the tasks
+in chunks of leaves, and kept between batches as far as ``KEPT_BYTES`` reach.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from pyspark.sql import types as T
 from stayline.functions.reasons import SIGNAL, describe, name_of, rank_contributions
 from stayline.functions.rules import DECISION_THRESHOLD
 from stayline.schemas import MODEL_FEATURES
-from stayline.session import shared_folder
+from stayline.session import delete_folder, shared_folder
 
 # Workers need not have this package: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_TABLE_BYTES = 256 << 20
+KEPT_BYTES = 256 << 20
+CHUNK_BYTES = 32 << 20
 ROWS_PER_BLOCK = 512
 
 
@@ -40,15 +42,15 @@ class LeafTables:
 
     base: float
     cuts: list[np.ndarray]  # per feature: its thresholds, ascending
-    # One group per number n of distinct path features:
+    # One group per number n of distinct path features and chunk of leaves:
     #   features [n, leaves]: feature index, low [n, leaves]: first bin inside the condition,
-    #   width [n, leaves]: number of bins inside, table [n, leaves * 2**n]: contributions,
+    #   width [n, leaves]: number of bins inside, value [leaves], share [leaves, n],
     #   users: per path position the (feature, leaves that test it there).
     groups: list[tuple]
 
     def contributions(self, rows: np.ndarray) -> np.ndarray:
         """[rows, features] contributions to the margin."""
-        return _contributions(self.cuts, self.groups, rows)
+        return _contributions(self.cuts, self.groups, rows, {})
 
 
 def _bin_type(cuts: list[np.ndarray]) -> np.dtype:
@@ -56,26 +58,43 @@ def _bin_type(cuts: list[np.ndarray]) -> np.dtype:
     return np.min_scalar_type(max((len(c) for c in cuts), default=0) + 1)
 
 
-def _contributions(cuts: list[np.ndarray], groups: list[tuple], rows: np.ndarray) -> np.ndarray:
+def _contributions(cuts: list[np.ndarray], groups: list[tuple], rows: np.ndarray, kept: dict[int, np.ndarray]) -> np.ndarray:
+    """``kept`` holds tables by group from one call to the next."""
     bins = np.empty((len(cuts), len(rows)), dtype=_bin_type(cuts))
     for f, thresholds in enumerate(cuts):
         # x <= thresholds[k] exactly when bin <= k; a NaN sorts last and so always goes right.
         bins[f] = np.searchsorted(thresholds, rows[:, f], side="left")
     total = np.zeros(bins.shape)
-    for features, low, width, table, users in groups:
+    for at_group, (features, low, width, value, share, users) in enumerate(groups):
         n, leaves = features.shape
-        met = np.zeros((leaves, len(rows)), dtype=np.min_scalar_type(2**n - 1))
+        table = kept.get(at_group)
+        if table is None:
+            table = _shapley_table(value, share).reshape(n, -1)
+            if sum(t.nbytes for t in kept.values()) + table.nbytes <= KEPT_BYTES:
+                kept[at_group] = table
+        total += _group_contributions(features, low, width, table, users, bins, total.shape)
+    return total.T
+
+
+def _group_contributions(features, low, width, table, users, bins: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """[features, rows] what one group of leaves adds; a block of rows at a time."""
+    n, leaves = features.shape
+    total = np.zeros(shape)
+    for start in range(0, shape[1], ROWS_PER_BLOCK):
+        block = slice(start, start + ROWS_PER_BLOCK)
+        own = bins[:, block]
+        met = np.zeros((leaves, own.shape[1]), dtype=np.min_scalar_type(2**n - 1))
         for j in range(n):
             # Unsigned difference: one comparison tests both ends of the interval.
-            inside = np.take(bins, features[j], axis=0)
+            inside = np.take(own, features[j], axis=0)
             inside -= low[j, :, None]
             met |= (inside < width[j, :, None]).astype(met.dtype) << met.dtype.type(j)
         at = met.astype(np.int32)
         at += (np.arange(leaves, dtype=np.int32) << n)[:, None]
         for j, found in enumerate(users):
             for f, chosen in found:
-                total[f] += np.take(table[j], np.take(at, chosen, axis=0)).sum(axis=0)
-    return total.T
+                total[f, block] += np.take(table[j], np.take(at, chosen, axis=0)).sum(axis=0)
+    return total
 
 
 def _shapley_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -122,10 +141,13 @@ def leaf_paths(nodes: dict, scale: float) -> Iterator[tuple[float, dict]]:
 def saved_nodes(spark: SparkSession, model: GBTClassificationModel) -> dict[int, dict]:
     """Node rows by tree and node id; there are trees x nodes per tree of them."""
     folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
-    model.write().save(folder)
     trees: dict[int, dict] = {}
-    for row in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData").toLocalIterator():
-        trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
+    try:
+        model.write().save(folder)
+        for row in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData").toLocalIterator():
+            trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
+    finally:
+        delete_folder(spark, folder)
     return trees
 
 
@@ -140,11 +162,6 @@ def leaf_tables(spark: SparkSession, model: GBTClassificationModel) -> LeafTable
 
 
 def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
-    longest = max((len(path) for _, path in leaves), default=0)
-    size = len(leaves) * longest * 2**longest * 8
-    if size > MAX_TABLE_BYTES:
-        raise ValueError(f"leaf tables of up to {size} bytes: explain fewer or shallower trees")
-
     bounds: list[set[float]] = [set() for _ in range(width)]
     for _, path in leaves:
         for feature, (low, high, _) in path.items():
@@ -153,8 +170,8 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
 
     base, groups = 0.0, []
     bin_type = _bin_type(cuts)
-    for n in sorted({len(path) for _, path in leaves}):
-        chosen = [(v, sorted(path.items())) for v, path in leaves if len(path) == n]
+    for chosen in _chunks(leaves):
+        n = len(chosen[0][1])
         value = np.array([v for v, _ in chosen])
         share = np.array([[s for _, (_, _, s) in path] for _, path in chosen]).reshape(-1, n)
         base += float((value * share.prod(axis=1)).sum())
@@ -172,13 +189,23 @@ def group_leaves(leaves: list[tuple[float, dict]], width: int) -> LeafTables:
                 features,
                 low.T.astype(bin_type, order="C"),
                 (last - low + 1).T.astype(bin_type, order="C"),
-                _shapley_table(value, share).reshape(n, -1),
+                value,
+                share,
                 [[(int(f), np.flatnonzero(at == f)) for f in np.unique(at)] for at in features],
             )
         )
     return LeafTables(base, cuts, groups)
 
 
+def _chunks(leaves: list[tuple[float, dict]]) -> Iterator[list[tuple[float, list]]]:
+    """Leaves with equally many path features, as many together as a table of ``CHUNK_BYTES`` holds."""
+    for n in sorted({len(path) for _, path in leaves}):
+        chosen = [(v, sorted(path.items())) for v, path in leaves if len(path) == n]
+        most = max(1, CHUNK_BYTES // (8 * max(1, n) * 2**n * max(1, n)))
+        for at in range(0, len(chosen), most):
+            yield chosen[at : at + most]
+
+
 def shap_values(spark: SparkSession, tables: LeafTables) -> Column:
     """``array<double>`` of log-odds contributions in feature order.
 
@@ -190,14 +217,12 @@ def shap_values(spark: SparkSession, tables: LeafTables) -> Column:
 
     def explain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cuts, groups = shared.value
+        kept: dict[int, np.ndarray] = {}
         for batch in batches:
             rows = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            out = np.empty((len(rows), width))
-            for start in range(0, len(rows), ROWS_PER_BLOCK):
-                block = slice(start, start + ROWS_PER_BLOCK)
-                out[block] = 2.0 * _contributions(cuts, groups, rows[block])
+            out = 2.0 * _contributions(cuts, groups, rows, kept)
             offsets = np.arange(0, len(rows) * width + 1, width, dtype=np.int32)
-            yield pa.ListArray.from_arrays(offsets, out.ravel())
+            yield pa.ListArray.from_arrays(offsets, np.ascontiguousarray(out).ravel())
 
     explain.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     run = F.arrow_udf(explain, T.ArrayType(T.DoubleType()))

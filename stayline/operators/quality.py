@@ -102,11 +102,16 @@ def assertion_report(df: DataFrame, label: str = "churn") -> DataFrame:
     return df.agg(*[F.count_if(bad).alias(name) for name, bad in _breaches(label).items()])
 
 
-def require_sound(df: DataFrame, label: str | None = "churn") -> DataFrame:
-    """Abort on a breach: one aggregate pass, then the unchanged frame."""
+def _rules(label: str | None) -> dict[str, Column]:
     rules = _breaches(label or "tenure")
     if label is None:
         rules.pop("null_label")
+    return rules
+
+
+def require_sound(df: DataFrame, label: str | None = "churn") -> DataFrame:
+    """Abort on a breach: one aggregate pass that counts them all, then the unchanged frame."""
+    rules = _rules(label)
     found = df.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()]).first().asDict()
     failed = {name: n for name, n in found.items() if n}
     if failed:
@@ -114,6 +119,15 @@ def require_sound(df: DataFrame, label: str | None = "churn") -> DataFrame:
     return df
 
 
+def enforce_sound(df: DataFrame, label: str | None = "churn") -> DataFrame:
+    """The same rules inside the plan: the job that first reads a breach fails; no pass of its own."""
+    checked = F.col("tenure")
+    for name, bad in _rules(label).items():
+        error = F.raise_error(F.lit(f"unsound customers: {name}")).cast(df.schema["tenure"].dataType)
+        checked = F.when(bad, error).otherwise(checked)
+    return df.withColumn("tenure", checked)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str] = CUSTOMER_COLUMNS) -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:

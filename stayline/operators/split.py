@@ -7,16 +7,17 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TEST = {"is_test": 0.20}
-MAX_CLASSES = 1000
 HASH_DIGITS = 32
 STEP = 3
-ONE_TASK = 1_000_000
 
 
 def key_hash(key: str, seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    """A null key has no place in the order: it is an error."""
+    text = F.coalesce(F.col(key).cast("string"), F.raise_error(F.lit(f"null in {key}")).cast("string"))
+    return F.md5(F.concat_ws("|", text, F.lit(str(seed))))
 
 
 def _first_crossing(counted: DataFrame, upto: Column, by: list[str]) -> DataFrame:
@@ -41,14 +42,13 @@ def split_cuts(
     key: str = "customer_id",
     seed: int = 42,
     step: int = STEP,
-    one_task: int = ONE_TASK,
 ) -> dict[object, list[str]]:
     """Per label value, the first hash that is beyond each part.
 
     Found by counting, not by ranking rows: first by the leading ``step`` hex digits, then, only
-    among the rows that share the prefix in which a cut falls, by further digits. Once that prefix
-    holds at most ``one_task`` rows, its hashes are counted whole. A prefix that is one single hash,
-    however many rows have it, needs no further look.
+    among the rows that share the prefix in which a cut falls, by ``step`` further digits at a time. A
+    prefix that is one single hash, however many rows have it, needs no further look. The driver
+    holds one line per label value and part.
     """
     hashed = df.select(F.col(label).alias("label"), key_hash(key, seed).alias("hash")).filter(
         F.col("label").isNotNull()
@@ -73,11 +73,8 @@ def split_cuts(
     counted = count_by(hashed, step).withColumns({"upto": running, "goals": goals})
     edges = (
         _first_crossing(counted.select("*", F.inline("goals")), F.col("upto"), ["label", "part"])
-        .limit(MAX_CLASSES * len(parts) + 1)
         .collect()
     )
-    if len(edges) > MAX_CLASSES * len(parts):
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
 
     done: list[Row] = []
     digits = step
@@ -86,16 +83,18 @@ def split_cuts(
         edges = [edge for edge in edges if not edge["alone"]]
         if not edges:
             break
-        small = max(edge["n"] for edge in edges) <= one_task
-        longer = HASH_DIGITS if small else min(HASH_DIGITS, digits + step)
-        literals = F.array(
-            *[
-                F.struct(*[F.lit(edge[c]).alias(c) for c in ("label", "part", "prefix", "before", "goal")])
-                for edge in edges
-            ]
-        )
-        opened = df.sparkSession.range(1).select(F.inline(literals)).withColumnsRenamed(
-            {"label": "of", "prefix": "within"}
+        longer = min(HASH_DIGITS, digits + step)
+        opened = df.sparkSession.createDataFrame(
+            [tuple(edge[c] for c in ("label", "part", "prefix", "before", "goal")) for edge in edges],
+            T.StructType(
+                [
+                    T.StructField("of", df.schema[label].dataType),
+                    T.StructField("part", T.IntegerType()),
+                    T.StructField("within", T.StringType()),
+                    T.StructField("before", T.LongType()),
+                    T.StructField("goal", T.LongType()),
+                ]
+            ),
         )
         inside = hashed.filter(
             F.substring("hash", 1, digits).isin(sorted({edge["prefix"] for edge in edges}))
@@ -131,13 +130,15 @@ def stratified_split(
     """
     cuts = split_cuts(df, parts, label, key, seed, **options)
     hashed, of = key_hash(key, seed), F.col(label)
+    if not cuts:
+        return df.withColumns({flag: F.lit(False) for flag in parts})
+    # One map from label to its cuts: the expression is as flat for a thousand labels as for two.
+    pairs = [c for value, ends in cuts.items() for c in (F.lit(value), F.array(*map(F.lit, ends)))]
+    ends = F.try_element_at(F.create_map(*pairs), of.cast(df.schema[label].dataType))
     flags: dict[str, Column] = {}
     for at, flag in enumerate(parts):
-        inside = F.lit(False)
-        for value, ends in cuts.items():
-            within = hashed < ends[at]
-            if at:
-                within = within & (hashed >= ends[at - 1])
-            inside = F.when(of == F.lit(value), within).otherwise(inside)
-        flags[flag] = inside
+        inside = hashed < F.get(ends, F.lit(at))
+        if at:
+            inside = inside & (hashed >= F.get(ends, F.lit(at - 1)))
+        flags[flag] = F.coalesce(inside, F.lit(False))
     return df.withColumns(flags)

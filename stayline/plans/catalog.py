@@ -27,14 +27,6 @@ from stayline.sources.derived import AS_OF, predictions, raw_subscribers, subscr
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Model sizes for the registered queries; the library's defaults are the full sizes.
-TUNED = modeling.Boosting(trees=30, rate=0.1, patience=15)
-SIZES = modeling.Sizes(
-    forest_trees=50,
-    boosted=modeling.Boosting(trees=20, min_rows=1, min_gain=0.0, weighted=False, patience=0, rate=0.1),
-    tuned=TUNED,
-)
-
 # Fixed scorecard, in thousandths of log-odds per unit, for reasons that need no model.
 SCORECARD = {
     "tenure": -31,
@@ -51,9 +43,6 @@ SCORECARD = {
 
 SCALED = ["tenure", "monthly_charges", "total_charges", "avg_monthly_bill"]
 
-_models: dict[tuple[str, str], tuple[PipelineModel, dict]] = {}
-
-
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean(raw_subscribers(spark, folder), require_label=False, check=False)
 
@@ -66,20 +55,14 @@ def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.outcomes(predictions(spark, folder), subscribers(spark, folder))
 
 
-def _tuned(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict]:
-    """One training run per session and folder, shared by the queries that need a model."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _models:
-        model, report = modeling.train_tuned(_matrix(spark, folder), TUNED)
-        report["tables"] = explain.leaf_tables(spark, model.stages[-1])
-        _models[key] = model, report
-    return _models[key]
+def _tuned(spark: SparkSession, folder: str) -> PipelineModel:
+    """The tuned model of these customers: loaded if it was saved for the same rows, else trained."""
+    return modeling.saved_or_trained(_matrix(spark, folder))
 
 
 def _explained(spark: SparkSession, folder: str) -> DataFrame:
-    model, report = _tuned(spark, folder)
-    scored = pipeline.with_probability(_matrix(spark, folder), model)
-    return pipeline.explained(scored, model, report["tables"])
+    model = _tuned(spark, folder)
+    return pipeline.explained(pipeline.with_probability(_matrix(spark, folder), model), model)
 
 
 # --- sources and constraints -----------------------------------------------------------------
@@ -169,11 +152,12 @@ def scale_train(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_compare(spark: SparkSession, folder: str) -> DataFrame:
-    return modeling.compare(_matrix(spark, folder), SIZES)[0]
+    return modeling.compare(_matrix(spark, folder))[0]
 
 
 def gbt_train(spark: SparkSession, folder: str) -> DataFrame:
-    _, report = _tuned(spark, folder)
+    """Trains anew each time, with the library's settings."""
+    _, report = modeling.train_tuned(_matrix(spark, folder))
     names = ["model", "trees", "train_rows", "validation_rows", "test_rows"]
     scores = ["accuracy", "precision", "recall", "f1", "roc_auc"]
     return spark.createDataFrame(
@@ -184,7 +168,16 @@ def gbt_train(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return modeling.feature_importance(_tuned(spark, folder)[0], spark)
+    return modeling.feature_importance(_tuned(spark, folder), spark)
+
+
+def _on_test_rows(which: int) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        matrix = _matrix(spark, folder)
+        test = modeling.split_frames(matrix).filter("is_test")
+        return modeling.outcome_report(_tuned(spark, folder), test, "Boosted Trees (tuned)")[which]
+
+    return query
 
 
 def class_weight(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,8 +192,7 @@ def per_version(metric: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def score_customers(spark: SparkSession, folder: str) -> DataFrame:
-    model, report = _tuned(spark, folder)
-    return pipeline.score(raw_subscribers(spark, folder), model, tables=report["tables"])
+    return pipeline.score(raw_subscribers(spark, folder), _tuned(spark, folder))
 
 
 def _rule(name: str, rule: Callable[[Column], Column]) -> Query:
@@ -211,10 +203,11 @@ def _rule(name: str, rule: Callable[[Column], Column]) -> Query:
 
 def shap_values(spark: SparkSession, folder: str) -> DataFrame:
     """Contributions, with what they leave unexplained of the log-odds: zero but for rounding."""
-    tables = _tuned(spark, folder)[1]["tables"]
+    model, matrix = _tuned(spark, folder), _matrix(spark, folder)
+    tables = explain.leaf_tables(spark, model.stages[-1])
     p = F.col("churn_probability")
     total = F.aggregate("contributions", F.lit(explain.base_value(tables)), lambda a, b: a + b)
-    return _explained(spark, folder).select(
+    return pipeline.explained(pipeline.with_probability(matrix, model), model, tables).select(
         "customer_id",
         "churn_probability",
         contribution_json("contributions", MODEL_FEATURES).alias("shap_values_json"),
@@ -263,10 +256,9 @@ def shap_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def explain_customer(spark: SparkSession, folder: str) -> DataFrame:
     """The customer most likely to leave, of all of them."""
-    model, report = _tuned(spark, folder)
-    matrix = _matrix(spark, folder)
+    model, matrix = _tuned(spark, folder), _matrix(spark, folder)
     first = scoring.ranked(pipeline.with_probability(matrix, model)).select("customer_id").first()
-    return pipeline.explain_one(matrix, model, first["customer_id"], tables=report["tables"])
+    return pipeline.explain_one(matrix, model, first["customer_id"])
 
 
 def score_top10(spark: SparkSession, folder: str) -> DataFrame:
@@ -367,6 +359,8 @@ def catalog() -> dict[str, Query]:
         "eval_confusion": per_version(evaluation.confusion),
         "model_compare": model_compare,
         "gbt_train": gbt_train,
+        "gbt_class_report": _on_test_rows(0),
+        "gbt_confusion": _on_test_rows(1),
         "feature_importance": feature_importance,
         "score_customers": score_customers,
         "score_threshold": _rule("churn_prediction", decide),

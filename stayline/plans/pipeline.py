@@ -11,7 +11,7 @@ from stayline.operators.cleaning import clean
 from stayline.operators.explain import LeafTables, explain_rows, leaf_tables, shap_values
 from stayline.operators.features import model_matrix
 from stayline.operators.modeling import probability
-from stayline.operators.quality import require_sound
+from stayline.operators.quality import enforce_sound
 from stayline.operators.scoring import assemble, ranked
 
 
@@ -49,7 +49,7 @@ def score(
     """
     cleaned = clean(raw, require_label=False, check=False)
     if check:
-        require_sound(cleaned, None)
+        cleaned = enforce_sound(cleaned, None)
     scored = with_probability(model_matrix(cleaned), model)
     if order:
         scored = ranked(scored)
@@ -64,7 +64,8 @@ def explain_one(
     tables: LeafTables | None = None,
 ) -> DataFrame:
     """Why this customer: an unknown id is an error, not some other customer."""
-    one = matrix.filter(F.col("customer_id") == customer_id)
-    if one.isEmpty():
+    one = matrix.filter(F.col("customer_id") == customer_id).collect()
+    if not one:
         raise KeyError(f"no customer {customer_id}")
-    return explain_rows(explained(with_probability(one, model), model, tables), top)
+    rows = matrix.sparkSession.createDataFrame(one, matrix.schema)
+    return explain_rows(explained(with_probability(rows, model), model, tables), top)

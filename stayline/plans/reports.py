@@ -18,6 +18,7 @@ from stayline.functions.rules import tenure_band
 
 CALLS_PER_DAY = 100
 MIN_SEGMENT = 10
+# The rates that the published column names state.
 ACCEPTED, KEPT_AFTER_DISCOUNT, MONTHS = Decimal("0.30"), Decimal("0.80"), 12
 
 
@@ -86,39 +87,22 @@ def daily_summary(predictions: DataFrame) -> DataFrame:
     )
 
 
-def first_calls(
-    flagged: DataFrame, customers: DataFrame, limit: int, candidates: int | None = None
-) -> DataFrame:
-    """The first ``limit`` rows of the join, by probability.
-
-    Customers on file are the rule, so a few more candidates than needed, at most ``candidates``
-    rows, are broadcast to the customers and nothing is shuffled. Only if too many of them are not
-    on file does the whole day go through the join.
-    """
-    order = by_probability()
-    candidates = candidates or 10 * limit
-    best = flagged.orderBy(*order).limit(candidates)
-    joined = F.broadcast(best).join(customers, "customer_id")
-    enough = joined.limit(limit).count() == limit or best.count() < candidates
-    found = joined if enough else flagged.join(customers, "customer_id")
-    ranked = found.orderBy(*order).limit(limit)
-    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return ranked.withColumn("priority_rank", rank)
-
-
 def call_list(
     predictions: DataFrame,
     customers: DataFrame,
     as_of: date | None = None,
     limit: int = CALLS_PER_DAY,
 ) -> DataFrame:
-    """The most likely leavers of the day, ranked.
+    """The most likely leavers of the day that are on file, ranked.
 
     The limit comes before the rank, as a bounded heap per task, so the rank sees ``limit`` rows.
     """
     flagged = of_day(predictions, as_of).filter(F.col("churn_prediction") == 1)
+    order = by_probability()
+    first = flagged.join(customers, "customer_id").orderBy(*order).limit(limit)
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long")
     return (
-        first_calls(flagged, customers, limit)
+        first.withColumn("priority_rank", rank)
         .select(
             "priority_rank",
             "customer_id",
@@ -160,12 +144,13 @@ def weekly_trend(
     if model_version is not None:
         predictions = predictions.filter(F.col("model_version") == model_version)
     daily = (
-        predictions.select("customer_id", "run_date", "churn_prediction")
+        predictions.groupBy("customer_id", "run_date")
+        .agg(F.sum("churn_prediction").alias("churners"))
         .join(customers.select("customer_id", "monthly_charges"), "customer_id")
         .groupBy("run_date")
         .agg(
-            F.sum("churn_prediction").alias("daily_churners"),
-            F.sum(_times("churn_prediction")).alias("daily_revenue_at_risk"),
+            F.sum("churners").alias("daily_churners"),
+            F.sum(_times("churners")).alias("daily_revenue_at_risk"),
         )
     )
     return (
@@ -179,11 +164,17 @@ def weekly_trend(
     )
 
 
+def driver(reason: Column) -> Column:
+    """Feature and direction of a published reason, without its figure: ``tenure (high risk)``."""
+    return F.regexp_replace(reason, ", SHAP=[^)]*", "")
+
+
 def top_drivers(predictions: DataFrame, as_of: date | None = None) -> DataFrame:
+    """At most two rows per feature: every scored customer has a figure of its own in its reason."""
     return (
         of_day(predictions, as_of)
         .filter((F.col("churn_prediction") == 1) & F.col("top_reason_1").isNotNull())
-        .groupBy(F.col("top_reason_1").alias("risk_factor"))
+        .groupBy(driver(F.col("top_reason_1")).alias("risk_factor"))
         .agg(
             F.count("*").alias("times_cited_as_primary"),
             mean("churn_probability", 1, 100).alias("avg_churn_prob_when_primary"),
@@ -226,11 +217,8 @@ def retention_roi(
     predictions: DataFrame,
     customers: DataFrame,
     as_of: date | None = None,
-    accepted: Decimal = ACCEPTED,
-    kept: Decimal = KEPT_AFTER_DISCOUNT,
-    months: int = MONTHS,
 ) -> DataFrame:
-    """What the high tier is worth if a share accepts an offer at a discount."""
+    """What the high tier is worth if 30 per cent accept an offer at a discount of 20 per cent."""
     high = of_day(predictions, as_of).filter(F.col("risk_tier") == "HIGH")
     total = (
         high.groupBy("customer_id")
@@ -249,29 +237,37 @@ def retention_roi(
     return total.select(
         "high_risk_customers",
         "monthly_revenue_at_risk",
-        share(accepted).alias("retained_revenue_30pct_success"),
-        share(accepted * kept).alias("net_retained_revenue_after_20pct_discount"),
-        share(accepted * kept * months).alias("annual_net_retention_value"),
+        share(ACCEPTED).alias("retained_revenue_30pct_success"),
+        share(ACCEPTED * KEPT_AFTER_DISCOUNT).alias("net_retained_revenue_after_20pct_discount"),
+        share(ACCEPTED * KEPT_AFTER_DISCOUNT * MONTHS).alias("annual_net_retention_value"),
     )
 
 
 def model_tracking(predictions: DataFrame, customers: DataFrame) -> DataFrame:
     """Predicted against actual, per run and model version."""
     known = customers.filter(F.col("churn").isNotNull()).select("customer_id", "churn")
-    joined = predictions.select(
-        "customer_id", "run_date", "model_version", "churn_prediction"
-    ).join(known, "customer_id")
     says, left, stayed = F.col("churn_prediction"), F.col("churn") == "Yes", F.col("churn") == "No"
-    right = (says == 1) == left
+    counted = predictions.groupBy("customer_id", "run_date", "model_version").agg(
+        F.count("*").alias("rows"),
+        F.count_if(says == 1).alias("flagged"),
+        F.count_if(says == 0).alias("cleared"),
+        F.count_if(says != 1).alias("not_flagged"),
+    )
+    joined = counted.join(known, "customer_id")
+
+    def rows(count: str, who: Column) -> Column:
+        return F.sum(F.when(who, F.col(count)).otherwise(0))
+
+    right = rows("flagged", left) + rows("not_flagged", ~left)
     return (
         joined.groupBy("run_date", "model_version")
         .agg(
-            F.count("*").alias("total_predictions"),
-            count_if((says == 1) & left).alias("true_positives"),
-            count_if((says == 1) & stayed).alias("false_positives"),
-            count_if((says == 0) & stayed).alias("true_negatives"),
-            count_if((says == 0) & left).alias("false_negatives"),
-            percent(count_if(right), F.count("*")).alias("accuracy_pct"),
+            F.sum("rows").alias("total_predictions"),
+            rows("flagged", left).alias("true_positives"),
+            rows("flagged", stayed).alias("false_positives"),
+            rows("cleared", stayed).alias("true_negatives"),
+            rows("cleared", left).alias("false_negatives"),
+            percent(right, F.sum("rows")).alias("accuracy_pct"),
         )
         .orderBy(F.col("run_date").desc(), "model_version")
     )

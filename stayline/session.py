@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,14 +31,26 @@ def local_session(cpus: int | str = 8, app: str = "stayline", **conf: str) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a folder of its own.
+    What the cluster names is taken at its word: a ``file:`` path may well be a shared mount. Only a
+    session whose tasks run in the driver may go without the setting; it gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = os.path.join(tempfile.gettempdir(), f"stayline-{spark.sparkContext.applicationId}")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that this library has written for its own use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -62,7 +62,7 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
                         WHEN k * {factor} % {modulus} < {below} THEN 'Yes' ELSE 'No' END"""
 
     columns = {
-        "customer_id": "concat('CUST-', lpad(string(k), 8, '0'))",
+        "customer_id": "concat('CUST-', lpad(string(k), greatest(8, length(string(k))), '0'))",
         "gender": "if(k % 2 = 0, 'Male', 'Female')",
         "senior_citizen": "if(k * 17 % 100 < 16, 1, 0)",
         "partner": "if(nation % 2 = 0, 'Yes', 'No')",
@@ -91,7 +91,7 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """As a file delivers them: totals as text with blanks and junk, labels and genders padded."""
-    key = "bigint(substring(customer_id, 6, 8))"
+    key = "bigint(substring(customer_id, 6))"
     changed = {
         "total_charges": f"""CASE WHEN total_charges IS NULL THEN if({key} % 2 = 0, '', '  ')
             WHEN {key} % 89 = 3 THEN 'n/a'
@@ -113,12 +113,14 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
         subscribers(spark, folder)
         .selectExpr(
             "customer_id",
-            "bigint(substring(customer_id, 6, 8)) AS k",
+            "bigint(substring(customer_id, 6)) AS k",
             f"""if({monthly}, 3000, 500) + if({short}, 2500, 0) + if({fiber}, 1200, 0) AS points""",
-            f"""filter(array(if({monthly}, 'contract_month_to_month', NULL),
-                             if({short}, 'tenure', NULL),
-                             if({fiber}, 'internet_fiber_optic', NULL)),
-                       reason -> reason IS NOT NULL) AS reasons""",
+            f"""transform(filter(array(if({monthly}, 'contract_month_to_month', NULL),
+                                       if({short}, 'tenure', NULL),
+                                       if({fiber}, 'internet_fiber_optic', NULL)),
+                                 name -> name IS NOT NULL),
+                          name -> concat(name, ' (high risk, SHAP=+0.',
+                            lpad(string(bigint(substring(customer_id, 6)) % 1000), 3, '0'), ')')) AS reasons""",
             f"explode(sequence(0, {RUNS - 1})) AS d",
         )
         .filter("(k + d) % 3 <> 1")

@@ -2,35 +2,61 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.operators.quality import duplicate_keys
+from stayline.operators.quality import duplicate_keys, require_columns
 from stayline.schemas import (
     CHURN_FEATURES,
     CHURN_PREDICTIONS,
     CUSTOMERS,
     RAW_CUSTOMERS,
+    REQUIRED,
     RUN_KEY,
+    stored_name,
 )
 
 RUN_PARTITIONS = ["run_date", "model_version"]
 
 
 def read_customers_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_CUSTOMERS, strict: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_CUSTOMERS,
+    strict: bool = True,
+    by_position: bool = False,
+    optional: Sequence[str] = ("churn",),
 ) -> DataFrame:
-    """Header skipped, columns taken in file order, empty means null; a bad number aborts if strict."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    """Columns found by their header, in any order; empty means null; a bad number aborts if strict.
+
+    Headers are matched by ``stored_name``. A header that names no column, two that name the same one
+    and a missing column are errors; an ``optional`` column may be missing and is null then. Of
+    several files each must have the header of the first. ``by_position`` ignores the header and
+    takes the columns in the order of the schema.
+    """
+    reader = (
+        spark.read.option("header", True)
         .option("nullValue", "")
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .csv(path)
     )
+    if by_position:
+        return reader.schema(schema).csv(path)
+    found = spark.read.option("header", True).csv(path).columns
+    names = [stored_name(header) for header in found]
+    wanted = {f.name: f for f in schema}
+    unknown = [header for header, name in zip(found, names) if name not in wanted]
+    missing = sorted(set(wanted) - set(names) - set(optional))
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if unknown or missing or twice:
+        raise ValueError(f"{path}: unknown headers {unknown}, missing {missing}, repeated {twice}")
+    in_file = T.StructType([T.StructField(h, wanted[n].dataType) for h, n in zip(found, names)])
+    rows = reader.schema(in_file).option("enforceSchema", False).csv(path)
+    return conform(rows.toDF(*names), schema)
 
 
 def sample_customers(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -41,15 +67,21 @@ def sample_customers(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return conform(frame, business)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The schema's columns in its order and types; a missing column is null."""
+def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """The schema's columns in its order and types; a missing column is null.
+
+    A missing ``required`` column is an error at once, a null in one when the row is written.
+    """
     have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    require_columns(df, required)
+
+    def column(field: T.StructField) -> Column:
+        value = (F.col(field.name) if field.name in have else F.lit(None)).cast(field.dataType)
+        if field.name in required:
+            value = F.coalesce(value, F.raise_error(F.lit(f"null in {field.name}")).cast(field.dataType))
+        return value.alias(field.name)
+
+    return df.select(*[column(f) for f in schema])
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
@@ -65,7 +97,7 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 def store_customers(df: DataFrame, path: str) -> None:
     now = F.current_timestamp()
     full = with_defaults(df, {"senior_citizen": 0, "created_at": now, "updated_at": now})
-    conform(full, CUSTOMERS).write.mode("overwrite").parquet(path)
+    conform(full, CUSTOMERS, REQUIRED["customers"]).write.mode("overwrite").parquet(path)
 
 
 def store_clean(df: DataFrame, path: str) -> None:
@@ -87,20 +119,26 @@ def export_csv(df: DataFrame, path: str, key: str = "customer_id") -> None:
     df.orderBy(key).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _run_rows(scores: DataFrame, run_date: date | None, model_version: str) -> DataFrame:
-    """Published columns, one row per run key: the highest probability wins.
+def _run_of(spark: SparkSession, run_date: date | None, model_version: str) -> tuple[date, str]:
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", model_version):
+        raise ValueError(f"a model version is made of letters, digits, dots, _ and -: {model_version}")
+    return run_date or spark.sql("SELECT current_date()").first()[0], model_version
+
 
+def _run_rows(scores: DataFrame, run_date: date, model_version: str) -> DataFrame:
+    """Published columns of one run, one row per run key: the highest probability wins.
+
+    A required value that is null, or a row that says it belongs to another run, aborts the write.
     A look at the keys alone decides whether whole rows have to be shuffled; normally they do not.
     """
-    stamped = with_defaults(
-        scores,
-        {
-            "run_date": F.lit(run_date) if run_date else F.current_date(),
-            "model_version": model_version,
-        },
+    run = {"run_date": F.lit(run_date), "model_version": F.lit(model_version)}
+    stamped = with_defaults(scores, run)
+    other = F.raise_error(F.lit(f"a row of another run than {run_date} {model_version}"))
+    stamped = stamped.withColumns(
+        {c: F.when(F.col(c) == value, F.col(c)).otherwise(other) for c, value in run.items() if c in scores.columns}
     )
-    rows = conform(stamped, CHURN_PREDICTIONS).drop("created_at")
-    if not duplicate_keys(rows, RUN_KEY).isEmpty():
+    rows = conform(stamped, CHURN_PREDICTIONS, REQUIRED["churn_predictions"]).drop("created_at")
+    if not duplicate_keys(stamped, RUN_KEY).isEmpty():
         values = ["churn_probability"] + [
             c for c in rows.columns if c not in RUN_KEY and c != "churn_probability"
         ]
@@ -118,17 +156,14 @@ def publish_run(
     run_date: date | None = None,
     model_version: str = "gbt_v1",
 ) -> None:
-    """Replace the (run_date, model_version) partitions present in ``scores``, leave all others.
+    """Replace the partition of this run date and model version, leave all others.
 
-    Publishing a run again cannot duplicate rows or flip them.
+    Publishing a run again cannot duplicate rows or flip them, and publishing it without rows
+    leaves it without rows.
     """
-    (
-        _run_rows(scores, run_date, model_version)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RUN_PARTITIONS)
-        .parquet(path)
-    )
+    day, version = _run_of(scores.sparkSession, run_date, model_version)
+    rows = _run_rows(scores, day, version).drop(*RUN_PARTITIONS)
+    rows.write.mode("overwrite").parquet(f"{path}/run_date={day}/model_version={version}")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
@@ -150,18 +185,26 @@ def publish_run_bucketed(
     run_date: date | None = None,
     model_version: str = "gbt_v1",
 ) -> None:
-    """``publish_run`` into a catalog table with the customers' buckets inside each partition."""
+    """``publish_run`` into a catalog table with the customers' buckets inside each partition.
+
+    A bucket holds whole customers. A run has one row per customer, so none of them is large.
+    """
     spark = scores.sparkSession
-    rows = _run_rows(scores, run_date, model_version)
+    day, version = _run_of(spark, run_date, model_version)
     body = [c for c in CHURN_PREDICTIONS.names if c not in RUN_PARTITIONS]
-    ordered = rows.repartition(buckets, "customer_id").select(*body, *RUN_PARTITIONS)
-    if spark.catalog.tableExists(table):
-        ordered.write.insertInto(table, overwrite=True)
-    else:
+    rows = _run_rows(scores, day, version)
+    if not spark.catalog.tableExists(table):
         (
-            ordered.write.option("partitionOverwriteMode", "dynamic")  # kept with the table
-            .partitionBy(*RUN_PARTITIONS)
+            rows.limit(0)
+            .select(*body, *RUN_PARTITIONS)
+            .write.partitionBy(*RUN_PARTITIONS)
             .bucketBy(buckets, "customer_id")
             .sortBy("customer_id")
             .saveAsTable(table)
         )
+    # A fixed partition is replaced even if there are no rows for it.
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (run_date = DATE '{day}', model_version = '{version}')"
+        f" SELECT {', '.join(body)} FROM {{rows}}",
+        rows=rows.repartition(buckets, "customer_id"),
+    )

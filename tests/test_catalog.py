@@ -11,6 +11,8 @@ QUERIES, SQL = catalog(), oracle_sql()
 MODEL_ONLY = {
     "model_compare",
     "gbt_train",
+    "gbt_class_report",
+    "gbt_confusion",
     "feature_importance",
     "score_customers",
     "shap_values",
@@ -43,6 +45,7 @@ def test_model_queries_give_rows(spark, tiny, name):
 def test_models_are_compared(spark, tiny):
     rows = QUERIES["model_compare"](spark, tiny).collect()
     assert len(rows) == 5
+    assert [r["trees"] for r in rows][:4] == [None, 1, 200, 200] and rows[4]["trees"] >= 1
     assert all(0 <= r[c] <= 1 for r in rows for c in ("accuracy", "precision", "recall", "f1"))
     assert all(r["roc_auc"] > 0.5 for r in rows)
 

@@ -39,6 +39,16 @@ def test_auc_equals_all_pairs(outcomes):
         assert found[version] == pytest.approx(wins / (len(pos) * len(neg)), abs=5.1e-5)
 
 
+def test_auc_of_raw_probabilities_is_not_rounded(spark):
+    draw = random.Random(3)
+    rows = [("a", int(draw.random() < 0.5), 0, 0.5 + draw.random() * 1e-5) for _ in range(300)]
+    df = spark.createDataFrame(rows, "model_version string, label int, prediction int, score double")
+    pos, neg = ([r[3] for r in rows if r[1] == k] for k in (1, 0))
+    wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert evaluation.roc_auc(df, digits=8).first()["roc_auc"] == pytest.approx(wins, abs=1e-8)
+    assert evaluation.roc_auc(df, digits=8, score_digits=4).first()["roc_auc"] == 0.5
+
+
 def test_auc_equals_mllib(outcomes):
     _, df = outcomes
     one = df.filter("model_version = 'a'").withColumn("raw", F.col("score").cast("double"))

@@ -26,9 +26,66 @@ def trained(spark, tiny):
 
 
 def test_best_round():
-    assert modeling.best_round([3.0, 2.0, 1.0], 2) == (3, False)
-    assert modeling.best_round([3.0, 1.0, 2.0, 2.0, 0.5], 2) == (2, True)
-    assert modeling.best_round([1.0], 5) == (1, False)
+    assert modeling.best_round([0.1, 0.2, 0.3], 2) == (3, False)
+    assert modeling.best_round([0.1, 0.5, 0.5, 0.4, 0.9], 2) == (2, True)
+    assert modeling.best_round([0.7], 5) == (1, False)
+
+
+def test_the_model_is_cut_to_the_best_area(spark, trained):
+    """The areas are those of the model's first trees, and no more trees are grown than patience asks for."""
+    matrix, model, _ = trained
+    train = modeling.split_frames(matrix).filter("NOT is_test")
+    _, pos_weight = modeling.class_weights(train.filter("NOT is_validation"))
+    train = train.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(1.0))
+    settings = modeling.Boosting(trees=30, depth=3, rate=0.2, patience=4)
+    valid = train.filter("is_validation")
+    trees, areas = modeling.grow(train.filter("NOT is_validation"), valid, settings, modeling.SEED)
+    best, _ = modeling.best_round(areas, settings.patience)
+    assert len(trees) == len(areas) <= best + settings.patience + modeling.CHUNK
+    naive = []
+    for n in range(1, min(len(trees), 8) + 1):
+        first = modeling._as_model(spark, trees[:n], settings.rate)
+        scored = first.transform(valid).select("label", F.round(modeling.probability(), 4).alias("score"))
+        pairs = scored.collect()
+        pos, neg = ([r["score"] for r in pairs if r["label"] == k] for k in (1, 0))
+        naive.append(sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg)))
+    assert areas[: len(naive)] == pytest.approx(naive, abs=1e-9)
+
+
+def test_a_saved_model_is_loaded_for_the_same_rows_only(spark, trained, monkeypatch):
+    matrix, _, _ = trained
+    first = modeling.saved_or_trained(matrix, SMALL)
+    monkeypatch.setattr(modeling, "train_tuned", lambda *a: pytest.fail("trained again"))
+    again = modeling.saved_or_trained(matrix.repartition(3), SMALL)
+    assert first.stages[-1].toDebugString.split("\n")[1:] == again.stages[-1].toDebugString.split("\n")[1:]
+    other = matrix.withColumn("tenure", F.col("tenure") + 1)
+    assert modeling.fingerprint(other, SMALL) != modeling.fingerprint(matrix, SMALL)
+
+
+def test_reports_of_a_trained_model(trained):
+    matrix, model, report = trained
+    test = modeling.split_frames(matrix).filter("is_test")
+    lines, cells = modeling.outcome_report(model, test)
+    by_class = {r["class"]: r for r in lines.collect()}
+    assert by_class["Churn"]["precision"] == report["precision"] and by_class["accuracy"]["f1"] == report["accuracy"]
+    assert sum(r["predicted_stay"] + r["predicted_churn"] for r in cells.collect()) == report["test_rows"]
+
+
+def test_scores_reach_the_reports(spark, tiny, trained, tmp_path):
+    """Raw customers to published scores to the report: reasons group by feature and direction."""
+    from datetime import date
+
+    from stayline.plans import reports
+    from stayline.sources import tables
+
+    _, model, _ = trained
+    scores = pipeline.score(raw_subscribers(spark, tiny), model, order=False)
+    tables.publish_run(scores, str(tmp_path / "runs"), date(2024, 1, 10))
+    found = reports.top_drivers(tables.read_predictions(spark, str(tmp_path / "runs")), date(2024, 1, 10)).collect()
+    assert 1 <= len(found) <= 2 * len(MODEL_FEATURES)
+    names = {f"{f} ({d})" for f in MODEL_FEATURES for d in ("high risk", "low risk")}
+    assert {r["risk_factor"] for r in found} <= names
+    assert sum(r["times_cited_as_primary"] for r in found) == scores.filter("churn_prediction = 1").count()
 
 
 def test_the_parts_are_disjoint_and_complete(trained):
@@ -174,10 +231,24 @@ def test_one_customer(spark, trained):
         pipeline.explain_one(matrix, model, "nobody")
 
 
-def test_large_models_are_refused(spark, trained, monkeypatch):
-    monkeypatch.setattr(explain, "MAX_TABLE_BYTES", 10)
-    with pytest.raises(ValueError, match="leaf tables"):
-        explain.leaf_tables(spark, trained[1].stages[-1])
+def test_large_models_are_explained_in_chunks(spark, trained, monkeypatch):
+    whole = explain.leaf_tables(spark, trained[1].stages[-1])
+    rows = np.array([[r[c] for c in MODEL_FEATURES] for r in trained[0].limit(40).collect()], dtype=float)
+    expected = whole.contributions(rows)
+    monkeypatch.setattr(explain, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(explain, "KEPT_BYTES", 1000)
+    monkeypatch.setattr(explain, "ROWS_PER_BLOCK", 7)
+    chunked = explain.leaf_tables(spark, trained[1].stages[-1])
+    assert len(chunked.groups) > 2 * len(whole.groups)
+    np.testing.assert_allclose(chunked.contributions(rows), expected, atol=1e-12)
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, trained):
+    from stayline.session import shared_folder
+
+    explain.leaf_tables(spark, trained[1].stages[-1])
+    left = [n for n in os.listdir(shared_folder(spark)) if n.startswith(("model-", "boosting-"))]
+    assert left == []
 
 
 def test_workers_do_not_need_the_package(tiny, tmp_path):

@@ -33,3 +33,14 @@ def test_a_cluster_must_name_a_shared_folder():
         session.shared_folder(Cluster(None))
     named = Cluster("hdfs:///shared")
     assert session.shared_folder(named) == "hdfs:///shared" == named.used
+
+
+@pytest.mark.parametrize("master, own", [("local", True), ("local[4]", True), ("local[*]", True), ("local-cluster[2,1,1024]", False)])
+def test_only_tasks_in_the_driver_may_go_without(master, own):
+    there = Cluster(None)
+    there.master, there.applicationId = master, "app"
+    if own:
+        assert "stayline-app" in session.shared_folder(there)
+    else:
+        with pytest.raises(ValueError):
+            session.shared_folder(there)

@@ -23,7 +23,7 @@ def expected(rows, shares, seed=42):
     return {k: sides.get(k) for k, _ in rows}
 
 
-@pytest.mark.parametrize("options", [{}, {"step": 1, "one_task": 2}])
+@pytest.mark.parametrize("options", [{}, {"step": 1}])
 @pytest.mark.parametrize("shares", [{"is_test": 0.2}, {"is_test": 0.2, "is_validation": 0.1}])
 @pytest.mark.parametrize("n", [1, 7, 300])
 def test_equal_to_ranking_every_row(spark, n, shares, options):
@@ -50,7 +50,7 @@ def test_copies_of_one_key_stay_together(spark):
     rows = [("hot", 0)] * 150 + [(f"K{i}", 0) for i in range(300)]
     frame = spark.createDataFrame(rows, "customer_id string, label int")
     for seed in range(4):
-        split = stratified_split(frame, seed=seed, step=1, one_task=5).cache()
+        split = stratified_split(frame, seed=seed, step=1).cache()
         sides = {(r["customer_id"], r["is_test"]) for r in split.collect()}
         assert split.count() == 450
         assert len({side for key, side in sides if key == "hot"}) == 1
@@ -67,3 +67,17 @@ def test_copies_of_one_key_stay_together(spark):
 def test_unlabelled_rows_are_in_no_part(spark):
     frame = spark.createDataFrame([("a", None), ("b", 1)], "customer_id string, label int")
     assert [r["is_test"] for r in stratified_split(frame).collect()] == [False, False]
+
+
+def test_a_thousand_labels(spark):
+    rows = [(f"K{i}", i % 1000) for i in range(10_000)]
+    frame = spark.createDataFrame(rows, "customer_id string, label int")
+    split = stratified_split(frame, {"is_test": 0.2, "is_validation": 0.1})
+    counts = split.groupBy("label").agg(F.count_if("is_test").alias("t"), F.count_if("is_validation").alias("v"))
+    assert {(r["t"], r["v"]) for r in counts.collect()} == {(2, 1)} and counts.count() == 1000
+
+
+def test_a_null_key_is_an_error(spark):
+    frame = spark.createDataFrame([(None, 1), ("b", 1)], "customer_id string, label int")
+    with pytest.raises(Exception, match="null in customer_id"):
+        stratified_split(frame).collect()

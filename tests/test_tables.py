@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from samples import RAW
 
 from stayline.operators.cleaning import clean
 from stayline.operators.features import feature_table, model_matrix
@@ -36,6 +37,66 @@ def test_blank_is_null_and_bad_numbers_abort(spark, tmp_path, raw):
     assert tables.read_customers_csv(spark, str(path), strict=False).first()["tenure"] is None
 
 
+def test_columns_are_found_by_their_headers(spark, tmp_path):
+    header, first, *_ = RAW.splitlines()
+    pairs = list(zip(header.split(","), first.split(",")))
+    swapped = pairs[:3] + [pairs[4], pairs[3]] + pairs[5:][::-1]
+
+    def written(name, columns):
+        path = tmp_path / name
+        path.write_text("\n".join(",".join(p[k] for p in columns) for k in (0, 1)) + "\n")
+        return str(path)
+
+    plain = tables.read_customers_csv(spark, written("plain.csv", pairs)).first()
+    assert tables.read_customers_csv(spark, written("swapped.csv", swapped)).first() == plain
+    assert (plain["partner"], plain["dependents"]) == ("Yes", "No")
+    unlabelled = tables.read_customers_csv(spark, written("unlabelled.csv", pairs[:-1])).first()
+    assert unlabelled["churn"] is None and unlabelled["tenure"] == 1
+    for name, columns, message in (
+        ("missing.csv", pairs[1:], "missing .'customer_id'"),
+        ("unknown.csv", [*pairs, ("Colour", "red")], "unknown headers .'Colour'"),
+        ("twice.csv", [*pairs, ("customer_id", "C9")], "repeated .'customer_id'"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            tables.read_customers_csv(spark, written(name, columns))
+    by_place = tables.read_customers_csv(spark, written("place.csv", [(f"c{i}", v) for i, (_, v) in enumerate(pairs)]), by_position=True)
+    assert by_place.first() == plain
+
+
+def test_every_file_must_have_the_same_header(spark, tmp_path):
+    header, first, second, *_ = RAW.splitlines()
+    names = header.split(",")
+    names[3], names[4] = names[4], names[3]
+    (tmp_path / "a.csv").write_text(f"{header}\n{first}\n")
+    (tmp_path / "b.csv").write_text(f"{','.join(names)}\n{second}\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_customers_csv(spark, str(tmp_path)).collect()
+
+
+def test_required_values_may_not_be_null(spark, tmp_path, sample):
+    with pytest.raises(Exception, match="null in contract"):
+        tables.store_customers(sample.withColumn("contract", F.lit(None).cast("string")), str(tmp_path / "c"))
+    with pytest.raises(ValueError, match="churn_prediction"):
+        tables.publish_run(scores(spark, ("a", 0.9)).drop("churn_prediction"), str(tmp_path / "r"), RUN)
+    unknown = scores(spark, ("a", 0.9)).withColumn("churn_probability", F.lit(None).cast("double"))
+    with pytest.raises(Exception, match="null in churn_probability"):
+        tables.publish_run(unknown, str(tmp_path / "r"), RUN)
+    other = scores(spark, ("a", 0.9)).withColumn("model_version", F.lit("gbt_v9"))
+    with pytest.raises(Exception, match="another run"):
+        tables.publish_run(other, str(tmp_path / "r"), RUN)
+    with pytest.raises(ValueError, match="model version"):
+        tables.publish_run(scores(spark, ("a", 0.9)), str(tmp_path / "r"), RUN, "a/b")
+
+
+def test_a_run_without_rows_empties_its_own_partition(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    first = scores(spark, ("a", 0.9), ("b", 0.2))
+    tables.publish_run(first, path, RUN)
+    tables.publish_run(first, path, date(2024, 1, 11))
+    tables.publish_run(first.limit(0), path, RUN)
+    assert {r[1] for r in stored(spark, path)} == {"2024-01-11"}
+
+
 def test_literal_rows(spark):
     row = ["X1", "Male", 0, "No", "No", 2, "Yes", "No", "DSL"] + ["No"] * 6
     row += ["One year", "Yes", "Mailed check", 50.5, None, None]
@@ -143,6 +204,9 @@ def test_bucketed_tables_join_without_a_shuffle(spark, sample):
             tables.publish_run_bucketed(scored, "bucketed_runs", 4, RUN, version)
         runs = spark.table("bucketed_runs")
         assert runs.count() == 18
+        tables.publish_run_bucketed(scored, "bucketed_runs", 4, date(2024, 1, 11), "gbt_v1")
+        tables.publish_run_bucketed(scored.limit(0), "bucketed_runs", 4, date(2024, 1, 11), "gbt_v1")
+        assert runs.count() == 18
         assert set(runs.columns) == set(CHURN_PREDICTIONS.names)
         report = reports.model_tracking(runs, spark.table("bucketed_customers"))
         plan = report._jdf.queryExecution().executedPlan().toString()
