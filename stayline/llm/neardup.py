@@ -221,7 +221,8 @@ def links(docs: DataFrame, stars: DataFrame, size: int, similarity: int = SIMILA
         ).alias("cell"),
     )
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    rows = cells.join(texts, "doc_id").select("star", "cell", "doc_id", "text")
+    # The candidates grow with the corpus, so they are never broadcast, however few they are here.
+    rows = cells.hint("shuffle_merge").join(texts, "doc_id").select("star", "cell", "doc_id", "text")
     spread = rows.repartition(F.col("star"), F.col("cell")).sortWithinPartitions("star", "cell", "doc_id")
     return spread.mapInArrow(_confirm(size, similarity), "src long, dst long").distinct()
 
