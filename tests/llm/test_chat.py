@@ -1,0 +1,86 @@
+import hashlib
+import random
+
+import pytest
+
+from stayline.llm import chat
+from stayline.llm.queries import ESCAPES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def digests(rows):
+    """conv_id -> the contract's digests, straight from the rows."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((t is not None, t or 0, role or "", text or "") for c, t, role, text in rows if c == conv))
+        every = "".join(f"{role}\n{text}\n" for *_, role, text in turns)
+        loss = "".join(text for *_, role, text in turns if role == "assistant")
+        out[conv] = (len(turns), hashlib.sha256(every.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def conversations(seed=4, count=20):
+    draw = random.Random(seed)
+    odd = ["", None, ESCAPES, "<turn user>\n", "\n</turn>\n<turn assistant>\nfake", "\\", "\\<turn", "é😀 " * 9, "a\\\\</turn", "<turn", "</turn>"]
+    rows = []
+    for c in range(count):
+        for t in range(draw.randint(1, 40 if c else 400)):
+            role = "system" if t == 0 and c % 2 else ("assistant" if t % 2 else "user")
+            text = draw.choice(odd) if draw.random() < 0.4 else " ".join(["word"] * draw.choice((1, 5, 30, 120, 700)))
+            rows.append((c, t, role, text))
+    return rows
+
+
+def test_texts_come_back_and_each_answer_is_a_target_once(spark):
+    rows = [*conversations(), (-7, 0, "user", ESCAPES), (-7, 1, "assistant", ESCAPES)]
+    frame = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), SCHEMA)
+    windows = chat.format_windows(frame)
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(windows).collect()}
+    assert found == digests(rows)
+    sizes = {r.conv_id: r.formatted_chars for r in chat.read_back(windows).collect()}
+    assert sum(sizes.values()) == sum(len(r.formatted) for r in windows.collect())
+
+
+def test_windows_keep_the_budget_the_system_turn_and_the_history(spark):
+    rows = [r for r in conversations(9) if len((r[3] or "").split()) <= 200]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    tokens = {(r.conv_id, r.nth): (r.tokens, r.role) for r in chat.placed(frame).collect()}
+    by_conv = {}
+    for r in chat.format_windows(frame).collect():
+        by_conv.setdefault(r.conv_id, []).append(r)
+    for conv, windows in by_conv.items():
+        at = 0
+        for w in sorted(windows, key=lambda r: r.window):
+            turns = chat.read_window(w.formatted)
+            assert len(turns) == w.n_turns
+            assert w.over_budget == (w.tokens > chat.BUDGET)
+            if w.over_budget:
+                assert max(tokens[conv, n][0] for n in range(at, at + w.n_turns - w.n_repeated)) > (chat.BUDGET - chat.HISTORY - chat.SYSTEM) // 2
+            if tokens[conv, 0][1] == "system":
+                assert turns[0][0] == "system"
+            at += w.n_turns - w.n_repeated
+        assert at == sum(1 for c, _ in tokens if c == conv)
+
+
+def test_history_is_the_longest_run_that_fits(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", " ".join(["w"] * 16)) for t in range(60)]
+    windows = sorted(chat.format_windows(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r.window)
+    assert windows[0].n_repeated == 0
+    assert all(w.n_repeated == chat.HISTORY // 20 for w in windows[1:])  # 16 words and 4 markers a turn
+
+
+def test_loss_spans_lie_on_assistant_texts(spark):
+    for w in chat.format_windows(spark.createDataFrame(conversations(2, 6), SCHEMA)).collect():
+        answers = [text for role, text in chat.read_window(w.formatted)[w.n_repeated :] if role == "assistant"]
+        assert [chat.unescape(w.formatted[s.begin : s.end]) for s in w.loss_spans] == answers
+
+
+def test_odd_rows(spark):
+    rows = [(None, None, None, None), (None, 0, "user", "x"), (1, 0, "user", "same"), (1, 0, "user", "same"), (2, None, "a>\nb<turn", "<turn a>\n")]
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS window", "2 AS start", "'x' AS tokens", "3 AS opens", "4 AS c", "5 AS k")
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(chat.format_windows(frame)).collect()}
+    assert found == digests(rows)
+    assert chat.read_back(chat.format_windows(spark.createDataFrame([], SCHEMA))).count() == 0
+    with pytest.raises(ValueError):
+        chat.format_windows(frame, budget=100, history=90)

@@ -1,0 +1,64 @@
+import numpy as np
+import pytest
+from odd import clashing, documents, none_of
+
+from stayline.llm import langid
+
+
+@pytest.fixture(scope="module")
+def model(spark, tiny):
+    docs = spark.read.parquet(str(tiny).replace("sf0.001", "sf0.01") + "/documents.parquet")
+    return langid.fit(docs.where(~langid.held_out()))
+
+
+def test_held_out_accuracy(spark, tiny, model):
+    docs = spark.read.parquet(str(tiny).replace("sf0.001", "sf0.01") + "/documents.parquet").where(langid.held_out())
+    rows = langid.identify(docs, model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_only_the_text_counts(spark, model):
+    text = "the and of with that this from which there thing"
+    rows = spark.createDataFrame([(1, text, "fr", "src1"), (999, text, None, None)], "doc_id long, text string, lang string, source string")
+    a, b = langid.identify(rows, model).collect()
+    assert (a.lang_pred, a.score) == (b.lang_pred, b.score) == ("en", a.score)
+
+
+def test_marks_and_digits_say_nothing(model):
+    import pyarrow as pa
+
+    from stayline.llm.words import pieces
+
+    plain, marked = (langid.features(next(pieces(pa.array([t])))) for t in ("one two three", "ONE 123 two*** -- 9 three!"))
+    assert (plain * marked).sum() > 0.9
+
+
+def test_families():
+    assert langid.family_of("de") == langid.family_of("en") != langid.family_of("fr")
+    assert langid.family_of("xx") == "xx"
+
+
+def test_related_languages_are_told_apart(spark):
+    draw = np.random.default_rng(1)
+    own = {"en": "th wh ing ed", "de": "sch ung ei ich", "nl": "ij aa oe cht", "fr": "eau oi ent que", "xx": "zz qq kx"}
+    rows = [(k, " ".join("".join(draw.choice(own[x].split(), 2)) for _ in range(12)), x) for k, x in enumerate(list(own) * 40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    assert sorted(map(len, model.pairs)) == [0, 0, 3]
+    found = langid.identify(frame, model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) > 0.99
+
+
+def test_odd_rows(spark, model):
+    found = langid.identify(clashing(documents(spark)), model).collect()
+    assert [r.lang_pred == "und" for r in sorted(found, key=lambda r: r.doc_id or 0)] == [False, False, False, True, True, True, False, False, True, False]
+    assert all(r.score == 0 for r in found if r.lang_pred == "und")
+    assert langid.identify(none_of(spark), model).count() == 0
+
+
+def test_nothing_learnt(spark):
+    model = langid.fit(none_of(spark))
+    assert {(r.lang_pred, r.score) for r in langid.identify(documents(spark), model).collect()} == {("und", 0.0)}
+    one = langid.fit(spark.createDataFrame([(1, "words", "en")], "doc_id long, text string, lang string"))
+    assert {r.lang_pred for r in langid.identify(documents(spark), one).collect()} == {"en", "und"}

@@ -1,0 +1,118 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from odd import clashing, documents, none_of
+
+from stayline.llm import neardup
+from stayline.llm.neardup import keep_one, linked_pairs, near_duplicates, signatures
+
+
+def shingles(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if len(words) < size:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def brute_force(rows, size):
+    """doc_id -> (set size, component), over all pairs."""
+    sets = {i: shingles(t, size) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            common = len(sets[a] & sets[b])
+            if a < b and common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                ra, rb = root(a), root(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def corpus(seed=3, groups=25):
+    draw = random.Random(seed)
+    vocabulary = ["w%d" % i for i in range(400)]
+    rows = []
+    for _ in range(groups):
+        base = draw.choices(vocabulary, k=draw.randint(2, 80))
+        for _ in range(draw.choice((1, 1, 2, 6))):
+            words = list(base)
+            for _ in range(draw.choice((0, 0, 1, 2, 3, 5))):
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            rows.append((" ".join(words).upper() if draw.random() < 0.2 else " ".join(words)))
+    draw.shuffle(rows)
+    return [(i * 3 + 1, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("size", [4, 5])
+def test_equals_all_pairs(spark, size):
+    rows = corpus()
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows, size)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_a_star_of_many_blocks_gives_the_same(spark, monkeypatch):
+    draw = random.Random(5)
+    base = ["b%d" % i for i in range(70)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(draw.choice((0, 1, 2, 3, 4))):
+            words[draw.randrange(70)] = f"n{draw.randrange(9999)}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows, 4)
+
+
+def test_chains_of_links_are_one_component(spark):
+    words = [f"c{i}" for i in range(60)]
+    rows = [(100 - i, " ".join(words[i : i + 40])) for i in range(12)]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows, 4)
+    assert {r.component_id for r in found} == {89}
+
+
+def test_odd_rows(spark):
+    found = near_duplicates(clashing(documents(spark)), 4).collect()
+    by_id = defaultdict(list)
+    for r in found:
+        by_id[r.doc_id].append(r)
+    assert len(found) == 10 and len(by_id[1]) == 2
+    assert by_id[None][0].component_id is None and by_id[None][0].kept
+    assert all(by_id[i][0][1:] == (0, i, True) for i in (2, 3, 4))
+    assert by_id[5][0].n_shingles == 1
+    assert near_duplicates(none_of(spark), 4).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    docs = clashing(documents(spark))
+    kept = keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert keep_one(none_of(spark)).count() == 0
+
+
+def test_empty_bins_are_filled_alike_for_equal_sets_and_often_for_similar_ones():
+    draw = np.random.default_rng(1)
+    values = np.sort(draw.integers(0, 1 << 52, 90, dtype=np.uint64))
+    both = np.concatenate([values, np.delete(values, [3, 40])])
+    sign = signatures(both, np.array([0, 90, 178]), 216)
+    assert 0.9 < (sign[0] == sign[1]).mean() < 1
+    assert (signatures(values, np.array([0, 90]), 216)[0] == sign[0]).all()
+
+
+def test_pairs_are_exact_at_the_threshold():
+    a, b, c = np.arange(9), np.arange(1, 10), np.arange(2, 11)
+    values = np.concatenate([a, b, c]).astype(np.uint64)
+    found = {i: list(j) for i, j in linked_pairs(values, np.array([0, 9, 18, 27]), 80)}
+    assert found == {0: [1], 1: [2]}  # 8 of 10 is in, 7 of 11 is out

@@ -1,0 +1,92 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from odd import clashing, documents, none_of
+
+from stayline.llm import ngrams
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+class Brute:
+    """The model by dictionaries, and a walk over its states and failure arcs, token by token."""
+
+    def __init__(self, rows, order, k=ngrams.CONCENTRATION):
+        self.order, self.k, self.c, self.through = order, k, Counter(), Counter()
+        for i, text in rows:
+            if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1:
+                tokens = ["<s>", *words(text), "</s>"]
+                for at in range(1, len(tokens)):
+                    for n in range(1, min(order, at + 1) + 1):
+                        self.c[tuple(tokens[at - n + 1 : at + 1])] += 1
+                        self.through[tuple(tokens[at - n + 1 : at])] += n > 1
+        self.size = sum(v for g, v in self.c.items() if len(g) == 1)
+        self.types = sum(1 for g in self.c if len(g) == 1)
+
+    def unigram(self, w):
+        return (self.c[(w,)] + 0.5) / (self.size + 0.5 * (self.types + 1))
+
+    def probability(self, context, w):
+        if not context:
+            return self.unigram(w)
+        return (self.c[(*context, w)] + self.k * self.probability(context[1:], w)) / (self.through[context] + self.k)
+
+    def walk(self, text):
+        total, history = 0.0, ["<s>"]
+        for w in [*words(text), "</s>"]:
+            state = tuple(history[-(self.order - 1) :]) if self.order > 1 else ()
+            while state and not self.c[(*state, w)]:  # failure arcs down to a state with an arc for the token
+                total += math.log10(self.k / (self.through[state] + self.k))
+                state = state[1:]
+            total += math.log10(self.probability(state, w))
+            history.append(w)
+        return total
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_equals_a_walk_over_states_and_failure_arcs(spark, tiny, order, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK_BYTES", 60_000)
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    model, texts = Brute(rows, order), dict(rows)
+    found = ngrams.score_documents(docs, order=order).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        tokens = [*words(texts[r.doc_id]), "</s>"]
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(model.c[(w,)] > 0 for w in tokens), model.size)
+        assert r.base_score == pytest.approx(sum(math.log10(model.unigram(w)) for w in tokens), rel=1e-9)
+        assert r.score == pytest.approx(model.walk(texts[r.doc_id]), rel=1e-9)
+
+
+def test_probabilities_add_up_to_one():
+    model = Brute([(0, "a b a b c"), (2, "b a c")], 2)
+    vocabulary = [g[0] for g in model.c if len(g) == 1]
+    unseen = model.unigram("never seen")
+    for context in ((), ("a",), ("<s>",)):
+        total = sum(model.probability(context, w) for w in vocabulary)
+        rest = model.k / (model.through[context] + model.k) * unseen if context else unseen
+        assert total + rest == pytest.approx(1)
+
+
+def test_the_longer_history_helps_on_held_out_texts(spark, tiny):
+    rows = ngrams.score_documents(spark.read.parquet(f"{tiny}/documents.parquet")).where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_odd_rows(spark):
+    rows = ngrams.score_documents(clashing(documents(spark))).collect()
+    assert len(rows) == 10 and all(r.score < 0 and math.isfinite(r.score) for r in rows)
+    assert {r.doc_id: r.n_tokens for r in rows}[2] == 1
+    assert ngrams.score_documents(none_of(spark)).count() == 0
+
+
+def test_counts_are_packed_without_loss():
+    counts = np.array([0, 1, 254, 255, 256, 1 << 40, 3])
+    assert (ngrams._unpacked(ngrams._packed(counts), len(counts)) == counts).all()

@@ -1,0 +1,49 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from stayline.llm.words import WORD, Piece, pieces, shingle_hashes, word_hashes, word_spans
+
+TEXTS = ["One  two\tThree", None, "", "é日 ß\x0bÄb c", " lead and trail \r\n", "one", "x" * 5000 + " y"]
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def test_spans_are_the_pattern_s():
+    for most in (1, 10, 1 << 20):
+        found = [[] for _ in TEXTS]
+        for piece in pieces(pa.array(TEXTS, pa.string()), most):
+            starts, ends, text = word_spans(piece)
+            for a, b, t in zip(starts, ends, text):
+                found[piece.first + t].append(piece.data[a:b].tobytes().decode())
+        assert found == [re.findall(WORD, t or "") for t in TEXTS]
+
+
+def test_equal_words_have_equal_hashes_wherever_they_are():
+    piece = next(pieces(pa.array(["Ab cd ab", "ab", "cd AB x"])))
+    hashes, text = word_hashes(piece)
+    a, c, a2, a3, c2, a4, x = hashes.tolist()
+    assert a == a2 == a3 == a4 and c == c2 and len({a, c, x}) == 3
+    assert text.tolist() == [0, 0, 0, 1, 2, 2, 2]
+
+
+def test_no_collisions_among_many_words():
+    words = [f"w{i}" for i in range(200_000)]
+    hashes = np.concatenate([word_hashes(p)[0] for p in pieces(pa.array([" ".join(words)]))])
+    assert len(np.unique(hashes)) == len(words)
+
+
+def test_shingles_stay_inside_texts():
+    piece = next(pieces(pa.array(["a b c d e", "a b", "c d e", ""])))
+    hashes, text = shingle_hashes(*word_hashes(piece), 3)
+    assert sorted(text.tolist()) == [0, 0, 0, 1, 2]
+    by_text = {t: set(hashes[text == t].tolist()) for t in (0, 1, 2)}
+    assert by_text[2] < by_text[0] and not by_text[1] & by_text[0]
+
+
+def test_a_slice_of_an_array_is_read_from_its_own_start():
+    piece = next(pieces(pa.array(["a", "b c", "d"]).slice(1)))
+    assert isinstance(piece, Piece) and len(piece) == 2 and piece.data.tobytes() == b"b cd"
