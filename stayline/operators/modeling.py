@@ -402,14 +402,16 @@ def fingerprint(matrix: DataFrame, settings: Boosting) -> str:
     return hashlib.md5(text.encode()).hexdigest()
 
 
-def saved_or_trained(matrix: DataFrame, settings: Boosting = TUNED) -> PipelineModel:
-    """The model that was saved for exactly these rows and settings, or a new one, then saved.
+def saved_path(matrix: DataFrame, settings: Boosting = TUNED) -> str:
+    """Where the model of these rows and settings is kept: other data means another model."""
+    return f"{shared_folder(matrix.sparkSession)}/tuned-{fingerprint(matrix, settings)}"
 
-    It lies in the shared folder under the fingerprint of both, so other data means another model.
-    """
-    spark = matrix.sparkSession
-    path = f"{shared_folder(spark)}/tuned-{fingerprint(matrix, settings)}"
-    if not folder_exists(spark, f"{path}/metadata/_SUCCESS"):
+
+def saved_or_trained(matrix: DataFrame, settings: Boosting = TUNED) -> PipelineModel:
+    """The model that was saved for exactly these rows and settings, or a new one, then saved."""
+    path = saved_path(matrix, settings)
+    # The stages are written last.
+    if not folder_exists(matrix.sparkSession, f"{path}/stages"):
         model, _ = train_tuned(matrix, settings)
         save_model(model, path)
     return load_model(path)

@@ -156,8 +156,10 @@ def model_compare(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gbt_train(spark: SparkSession, folder: str) -> DataFrame:
-    """Trains anew each time, with the library's settings."""
-    _, report = modeling.train_tuned(_matrix(spark, folder))
+    """Trains anew each time, with the library's settings, and saves the model for the other queries."""
+    matrix = _matrix(spark, folder)
+    model, report = modeling.train_tuned(matrix)
+    modeling.save_model(model, modeling.saved_path(matrix))
     names = ["model", "trees", "train_rows", "validation_rows", "test_rows"]
     scores = ["accuracy", "precision", "recall", "f1", "roc_auc"]
     return spark.createDataFrame(
