@@ -47,28 +47,33 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tagged(hashes: np.ndarray, tag: int) -> np.ndarray:
-    """The lowest two bits tell words (1), longer n-grams (2) and contexts (3) apart."""
-    return (mix(hashes) & ~np.uint64(3)) | np.uint64(tag)
+    """The lowest bit tells words (1) from longer n-grams (0)."""
+    return (mix(hashes) & ~np.uint64(1)) | np.uint64(tag)
 
 
 def entries(words: np.ndarray, text: np.ndarray, order: int) -> list[np.ndarray]:
-    """The model's entries at every token: the word, then for n = 2 .. order its n-gram and context.
+    """The model's entries at every token: for n = 1 .. order the n-gram that ends there.
 
     Before the first token stands one start. An n-gram that would reach beyond it is marked by 0.
+    Contexts need no entries: a token follows every word, so a context was seen as often as the
+    n-gram of its words, which ends one token earlier.
     """
-    n = len(words)
-    place = np.arange(n) - np.searchsorted(text, text)
+    n, place = len(words), places(text)
     out, total = [_tagged(words, 1)], np.zeros(n, dtype=np.uint64)
     for back in range(1, order):
         earlier = np.zeros(n, dtype=np.uint64)
         earlier[back:] = words[: max(0, n - back)]
         total = total * np.uint64(0x9E3779B97F4A7C15) + np.where(place >= back, earlier, START) + np.uint64(back)
-        there = place >= back - 1
-        for hashes, tag in ((total * np.uint64(0xD6E8FEB86659FD93) + words, 2), (total, 3)):
-            out.append(np.where(there, _tagged(hashes, tag), np.uint64(0)))
+        hashes = _tagged(total * np.uint64(0xD6E8FEB86659FD93) + words, 0)
+        out.append(np.where(place >= back - 1, hashes, np.uint64(0)))
     return out
 
 
+def places(text: np.ndarray) -> np.ndarray:
+    """The place of every token in its text, from 0."""
+    return np.arange(len(text)) - np.searchsorted(text, text)
+
+
 def _messages(order: int, shard_bits: int):
     def send(key: tuple, group: pa.Table) -> pa.Table:
         """A block in; shard, block, hashes and counts out."""
@@ -118,7 +123,7 @@ def _answer(key: tuple, group: pa.Table) -> pa.Table:
     counts = [_unpacked(b, len(h)) for b, h in zip(group.column("counts").to_pylist(), hashes, strict=True)]
     every, which = np.unique(np.concatenate(hashes), return_inverse=True)
     totals = np.bincount(which, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
-    of_words = totals[(every & np.uint64(3)) == 1]
+    of_words = totals[(every & np.uint64(1)) == 1]
     ends = np.cumsum([len(h) for h in hashes])
     replies = [_packed(totals[which[e - len(h) : e]]) for e, h in zip(ends, hashes, strict=True)]
     once = np.zeros((2, len(hashes)), dtype=np.int64)
@@ -135,14 +140,21 @@ def _answer(key: tuple, group: pa.Table) -> pa.Table:
     )
 
 
-def automaton_paths(counts: list[np.ndarray], size: int, vocabulary: int, concentration: float) -> np.ndarray:
+def automaton_paths(
+    counts: list[np.ndarray], place: np.ndarray, size: int, vocabulary: int, concentration: float
+) -> np.ndarray:
     """log10 weight of the path that reads each token, from the training counts of its entries.
 
-    The path takes failure arcs from the state, the longest seen context, down to the first context
-    that has an arc for the token. An unseen context is no state: its failure arc weighs 1.
+    Tokens stand in the order of reading, so the state at a token is what was read before it. The path
+    takes failure arcs from the state, the longest seen context, down to the first context that has
+    an arc for the token. An unseen context is no state: its failure arc weighs 1. The start was
+    seen once in every training text, as often as the end, which is the last token here.
     """
     path = np.log10((counts[0] + 0.5) / (size + 0.5 * (vocabulary + 1)))
-    for seen, through in zip(counts[1::2], counts[2::2], strict=True):
+    for n, seen in enumerate(counts[1:]):
+        through = np.empty(len(seen))
+        through[1:] = counts[n][:-1]
+        through[place == 0] = counts[0][-1] if n == 0 and len(seen) else 0
         failure = np.log10(concentration / (through + concentration))
         arc = np.log10(seen + concentration * 10.0**path) - np.log10(through + concentration)
         path = np.where(seen > 0, arc, failure + path)
@@ -159,7 +171,7 @@ def _score(order: int, size: int, vocabulary: int, concentration: float):
         mark = len(every) - len(_without_mark(every))
         totals = np.concatenate([np.zeros(mark, np.int64), *(_unpacked(packed[i], sizes[i]) for i in by_shard)])
         counts = np.split(totals[where].astype(np.float64), len(parts))
-        path = automaton_paths(counts, size, vocabulary, concentration)
+        path = automaton_paths(counts, places(text), size, vocabulary, concentration)
         base = np.log10((counts[0] + 0.5) / (size + 0.5 * (vocabulary + 1)))
         n = len(docs)
         add = lambda w: np.bincount(text, weights=w, minlength=n)
