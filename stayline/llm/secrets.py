@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.llm.store import hashed_sample
 from stayline.llm.words import pieces
 
 # The patterns and least lengths. Only the key words match in either case.
@@ -122,7 +123,7 @@ def corpus_samples(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
                 labels += [1] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(labels, pa.int64())], names=["text", "label"])
 
-    first = docs.select("text", F.xxhash64("doc_id", "text").alias("order")).orderBy("order").limit(most).select("text")
+    first = hashed_sample(docs.select("doc_id", "text"), most, ["doc_id", "text"]).select("text")
     rows = first.mapInArrow(label, "text string, label long")
     made = docs.sparkSession.createDataFrame([(s, 1) for s in random_samples()], "text string, label long")
     return rows.unionByName(made)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from stayline.session import shared_folder
 
@@ -23,3 +24,24 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def hashed_sample(rows: DataFrame, most: int, key: list[str], by: str | None = None) -> DataFrame:
+    """The ``most`` rows, of each class ``by`` if given, that come first by a hash of the key columns.
+
+    Counts come first, so that only about three times as many rows as are wanted are moved at all,
+    however many tasks read the table. Equal keys go by the rest of the row.
+    """
+    order = F.xxhash64(*key)
+    unit = F.shiftrightunsigned(order, 11) / float(1 << 53)
+    if by is None:
+        some = rows.where(unit * rows.count() < 3 * most) if most else rows.limit(0)
+        return some.withColumn("_order", order).orderBy("_order", *key).limit(most).drop("_order")
+    # One line per value; a classifier keeps far more than that for each of its classes.
+    counts = [c for r in rows.where(F.col(by).isNotNull()).groupBy(by).count().collect() for c in (F.lit(r[0]), F.lit(r[1]))]
+    if not counts:
+        return rows.limit(0)
+    some = rows.where(unit * F.try_element_at(F.create_map(*counts), F.col(by)) < 3 * most)
+    first = Window.partitionBy(by).orderBy("_order", *key)
+    some = some.withColumn("_order", order).withColumn("_k", F.row_number().over(first))
+    return some.where(F.col("_k") <= most).select(rows.columns)
