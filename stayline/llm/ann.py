@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.llm.store import hashed_sample
+
 BITS = 64
 SUBSTRING_BITS = 8
 SAMPLE = 4096
@@ -198,7 +200,7 @@ def nearest(
     if lengths is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vec") == lengths["size"])
-    sample = rows.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).toArrow()
+    sample = hashed_sample(rows.select("vec"), SAMPLE * 3, ["vec"]).distinct().orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).toArrow()
     codes = fit(_matrix(sample.column("vec")), neighbours)
     n_rows = lengths["count"]
     row_blocks, query_blocks = -(-n_rows // INDEX_BLOCK), -(-n_rows // (QUERY_BLOCK * every_nth))
