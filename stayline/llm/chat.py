@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.mixing import words
+from stayline.llm.store import small_batches
 
 BUDGET = 512
 HISTORY = 96
@@ -171,7 +172,7 @@ def read_back(windows: DataFrame) -> DataFrame:
     A digest of a whole conversation is one pass over its windows in order, so they meet in one task,
     which holds one window at a time.
     """
-    rows = windows.select("conv_id", "window", "n_repeated", "formatted", "loss_spans")
+    rows = small_batches(windows).select("conv_id", "window", "n_repeated", "formatted", "loss_spans")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
     kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return rows.mapInArrow(_read_back, kinds)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.llm.store import keep, small_batches
 from stayline.llm.words import LOWER, Piece, mix, pieces, span_hashes, word_spans
 
 WINDOW = 8
@@ -76,7 +77,7 @@ def tokens(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     number = (data[first] >= 48) & (data[first] <= 57)
     after_number = np.concatenate([[False], number[:-1] & (text[1:] == text[:-1])])
     unit = after_number & np.isin(value, _UNIT_HASHES)
-    name = head & ~opens & (upper[last] - upper[first] == 1) & (last - first > 1)
+    name = head & ~opens & (upper[last] - upper[first] == 1) & (last - first > 1 + (data[first] == 0xC3))
     slot = number | unit | name
     template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
     return template, value, slot, text
@@ -161,12 +162,13 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, needed: int =
     share id and text count as one document. Other columns are ignored.
     """
     found, lengths = benchmark_windows(items, window)
+    found = keep(found, "benchmark")
     word = F.expr(f"shiftrightunsigned(window, {64 - BITMAP_BITS + 6})")
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(window, {64 - BITMAP_BITS}) & 63 as int))")
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
-    for at, bits in found.groupBy(word.alias("at")).agg(F.bit_or(bit)).collect():  # at most 65,536 rows
-        bitmap[at] = bits
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
+    words = found.groupBy(word.alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()  # at most 65,536 rows
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
     hits = rows.mapInArrow(_find(lengths, bitmap.view(np.uint64)), _ROW)
     hits = hits.withColumnsRenamed({"row_id": "doc_id", "row_key": "doc_key", "slots": "doc_slots"})
     matched = hits.join(found, ["size", "window"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
@@ -195,6 +197,6 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, needed: int =
 
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The documents without those that leak a benchmark item; columns and other rows stay as they are."""
-    found = leaks(docs, items, **settings).select(F.col("doc_id").alias("_leak"), "doc_key").distinct()
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")) & (F.xxhash64("text") == F.col("doc_key"))
+    found = leaks(docs, items, **settings).select(F.col("doc_id").alias("_leak_id"), F.col("doc_key").alias("_leak_key")).distinct()
+    on = docs["doc_id"].cast("long").eqNullSafe(F.col("_leak_id")) & (F.xxhash64(docs["text"]) == F.col("_leak_key"))
     return docs.join(found, on, "left_anti")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.llm.store import small_batches
+
 PAGES = 500
 STEPS = 120
 
@@ -428,5 +430,5 @@ def main_texts(pages: DataFrame, chain: Chain) -> DataFrame:
             yield pa.array([extract(page, chain) for page in batch.to_pylist()], pa.string())
 
     text = F.arrow_udf(read, "string")
-    found = pages.select("page_id", "url", text(F.col("html")).alias("text"))
+    found = small_batches(pages).select("page_id", "url", text(F.col("html")).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))

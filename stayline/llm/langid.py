@@ -1,27 +1,29 @@
 """Language identification in two steps: the family first, then one-versus-one linear SVMs within it.
 
 Features are byte 1- to 4-grams of the whole text, hashed to ``DIMS`` columns. A-Z are lower-cased, other
-ASCII characters count as one space, so that digits, marks and layout say nothing. The classifiers are
+ASCII characters, and runs of them, count as one space, so that digits, marks and layout say nothing. The classifiers are
 fitted on at most ``PER_LANGUAGE`` labelled texts per language (a documented bound, chosen by a hash
 of the id); prediction covers every text.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.llm.store import hashed_sample, small_batches
 from stayline.llm.words import LOWER, Piece, pieces
 
 DIMS = 4096
 GRAMS = (1, 2, 3, 4)
-PER_LANGUAGE = 300
-ROWS_AT_ONCE = 1024
+PER_LANGUAGE = 200
+ROWS_AT_ONCE = 256
 UNKNOWN = "und"
 TRAINING_CHARS = 20_000  # of a labelled text; prediction reads all of it
 
@@ -47,11 +49,13 @@ def family_of(lang: str) -> str:
 
 def features(piece: Piece) -> np.ndarray:
     """[texts, DIMS] unit vectors of the square roots of hashed n-gram counts."""
-    data, n = _KEPT[piece.data].astype(np.uint64), len(piece)
+    data, n = _KEPT[piece.data], len(piece)
     out = np.zeros((n, DIMS), dtype=np.float32)
-    size = np.diff(piece.offsets)
-    text = np.repeat(np.arange(n), size)
+    text = np.repeat(np.arange(n), np.diff(piece.offsets))
     letter = data != 0x20
+    use = letter.copy()
+    use[1:] |= letter[:-1] & (text[1:] == text[:-1])  # of a run of spaces, the first
+    data, text, letter = data[use].astype(np.uint64), text[use], letter[use]
     run = np.zeros(len(data), dtype=np.uint64)
     for k in range(1, max(GRAMS) + 1):
         if len(data) < k:
@@ -81,7 +85,8 @@ def linear_svm(rows: np.ndarray, signs: np.ndarray, penalty: float = 1e-4, steps
 
     Both classes weigh the same, whatever their sizes.
     """
-    x = np.hstack([rows, np.ones((len(rows), 1))]).astype(np.float32)
+    x = np.ones((len(rows), rows.shape[1] + 1), np.float32)
+    x[:, :-1] = rows
     share = np.where(signs > 0, 0.5 / max(1, (signs > 0).sum()), 0.5 / max(1, (signs < 0).sum())).astype(np.float32)
     signs = signs.astype(np.float32)
     rate = 1 / (2 * 2.0 + penalty)  # rows and bias have norm 2 together, the shares add up to 1
@@ -140,17 +145,23 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     Rows without a language or without a letter are left out. Of each language the ``per_language``
     rows that come first by a hash of the id are used, the first ``TRAINING_CHARS`` characters of each.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(
-        "lang", F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("doc_id", "lang").alias("order")
-    )
-    # Two steps, so that a language with a third of all rows is not ranked in one task.
-    spread = Window.partitionBy("lang", "part").orderBy("order", "text")
-    rows = rows.withColumn("part", F.expr("pmod(order, 64)"))
-    rows = rows.withColumn("k", F.row_number().over(spread)).where(F.col("k") <= per_language)
-    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
-    sample = rows.where(F.col("k") <= per_language).select("lang", "text").toArrow()
+    rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    rows = rows.select("doc_id", "lang", F.substring("text", 1, TRAINING_CHARS).alias("text"))
+    sample = hashed_sample(rows, per_language, ["doc_id", "text"], by="lang").select("lang", "text")
+    fitted = small_batches(sample).repartition(1).mapInArrow(_train, "model binary").collect()
+    return LanguageModel(*pickle.loads(fitted[0][0])) if fitted else LanguageModel([], [], np.zeros((0, DIMS + 1)), [])
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bounded sample in, the model's plain parts out; runs in one task, so the driver stays small."""
+    sample = pa.Table.from_batches(list(batches), pa.schema([("lang", pa.string()), ("text", pa.string())]))
     langs = np.array(sample.column("lang").to_pylist(), dtype=object)
-    x = np.vstack([features(p) for p in pieces(sample.column("text"), rows=ROWS_AT_ONCE)]) if len(langs) else np.zeros((0, DIMS))
+    if not len(langs):
+        return
+    x = np.vstack([features(p) for p in pieces(sample.column("text"), rows=ROWS_AT_ONCE)])
+    # In the order of the rows' contents, not of their arrival: reruns give the same weights.
+    order = np.lexsort((x.sum(axis=1), langs.astype(str)))
+    x, langs = x[order], langs[order]
     known = sorted(set(langs))
     families = sorted({family_of(x) for x in known})
     members = [[x for x in known if family_of(x) == f] for f in families]
@@ -164,7 +175,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
                 mine = (langs == names[a]) | (langs == names[b])
                 found.append((a, b, linear_svm(x[mine], np.where(langs[mine] == names[a], 1.0, -1.0))))
         pairs.append(found)
-    return LanguageModel(families, members, np.array(weights).reshape(len(families), DIMS + 1), pairs)
+    model = (families, members, np.array(weights).reshape(len(families), DIMS + 1), pairs)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -190,7 +202,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     known = has_letter(F.col("text"))
     udf = F.arrow_udf(predict, "lang string, score double")
-    found = docs.withColumn("_found", udf(F.col("text")))
+    found = small_batches(docs).withColumn("_found", udf(F.col("text")))
     return found.withColumns(
         {
             "lang_pred": F.when(known, F.coalesce("_found.lang", F.lit(UNKNOWN))).otherwise(UNKNOWN),

@@ -165,7 +165,8 @@ def mix(
     sizes = keep(sized(docs), "sizes")
     goals = keep(targets(sizes, weights, most_repeats), "targets")
     spans = keep(streams(sizes, goals), "streams")
-    return spans, pieces(spans, goals, schedule(goals, block_words), most_repeats)
+    slots = keep(schedule(goals, block_words), "slots")
+    return spans, pieces(spans, goals, slots, most_repeats)
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:

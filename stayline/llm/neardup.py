@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.store import keep
+from stayline.llm.store import keep, small_batches
 from stayline.llm.words import mix, pieces, shingle_hashes, word_hashes
 
 BANDS = 36
@@ -118,7 +118,7 @@ def signed(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) ->
                     schema=schema,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, _SIGNED)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(sign, _SIGNED)
 
 
 def linked_pairs(values: np.ndarray, offsets: np.ndarray, similarity: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -167,6 +167,15 @@ def _forest(ids: np.ndarray, links: Iterator[tuple[int, np.ndarray]]) -> list[tu
     return [(int(ids[r]), int(ids[i])) for i, r in enumerate(roots) if ids[r] != ids[i]]
 
 
+def _runs(cuts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Cells that lie together and have at most ``most`` rows, or a single one that has more."""
+    first = 0
+    while first < len(cuts) - 1:
+        last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + most, side="right")) - 1)
+        yield first, last
+        first = last
+
+
 def _confirm(size: int, similarity: int):
     def solve(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
         """The edges of every cell; cell k holds the rows from cuts[k] to cuts[k + 1]."""
@@ -194,7 +203,9 @@ def _confirm(size: int, similarity: int):
             cuts = np.flatnonzero((star[1:] != star[:-1]) | (cell[1:] != cell[:-1])) + 1
             cuts = np.concatenate([[0], cuts])
             rest = table.slice(cuts[-1])  # may go on in the next batch
-            yield solve(table.slice(0, cuts[-1]), cuts)
+            for first, last in _runs(cuts, 2 * BLOCK):
+                own = cuts[first : last + 1]
+                yield solve(table.slice(own[0], own[-1] - own[0]), own - own[0])
         if rest is not None:
             yield solve(rest, np.array([0, len(rest)]))
 
@@ -224,7 +235,7 @@ def links(docs: DataFrame, stars: DataFrame, size: int, similarity: int = SIMILA
     # The candidates grow with the corpus, so they are never broadcast, however few they are here.
     rows = cells.hint("shuffle_merge").join(texts, "doc_id").select("star", "cell", "doc_id", "text")
     spread = rows.repartition(F.col("star"), F.col("cell")).sortWithinPartitions("star", "cell", "doc_id")
-    return spread.mapInArrow(_confirm(size, similarity), "src long, dst long").distinct()
+    return small_batches(spread).mapInArrow(_confirm(size, similarity), "src long, dst long").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.store import hashed_sample
+from stayline.llm.store import hashed_sample, small_batches
 from stayline.llm.words import pieces
 
 # The patterns and least lengths. Only the key words match in either case.
@@ -124,7 +124,7 @@ def corpus_samples(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(labels, pa.int64())], names=["text", "label"])
 
     first = hashed_sample(docs.select("doc_id", "text"), most, ["doc_id", "text"]).select("text")
-    rows = first.mapInArrow(label, "text string, label long")
+    rows = small_batches(first).mapInArrow(label, "text string, label long")
     made = docs.sparkSession.createDataFrame([(s, 1) for s in random_samples()], "text string, label long")
     return rows.unionByName(made)
 
@@ -167,8 +167,8 @@ def _scan(ratio: np.ndarray, consume):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            rows = []
             for piece in pieces(texts):
+                rows = []
                 starts, ends, which = scored_runs(piece, ratio)
                 runs: dict[int, list[tuple[int, int]]] = {}
                 for a, b, i in zip(starts.tolist(), ends.tolist(), which.tolist(), strict=True):
@@ -178,7 +178,7 @@ def _scan(ratio: np.ndarray, consume):
                     runs.setdefault(i, []).append((at, at + b - a))
                 for i, text in enumerate(texts.slice(piece.first, len(piece)).to_pylist()):
                     rows.append(consume(text, all_spans(text or "", runs.get(i, []))))
-            yield consume.batch(batch, rows)
+                yield consume.batch(batch.slice(piece.first, len(piece)), rows)
 
     return scan
 
@@ -224,7 +224,7 @@ def scan(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     is over the patterns' spans alone. A null text counts as empty. Other columns are ignored.
     """
     kinds = ", ".join(f"{n} {'long' if n.startswith('n_') else 'string'}" for n in _Spans.names)
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(_scan(ratio, _Spans()), f"doc_id long, {kinds}")
 
 
@@ -234,5 +234,5 @@ def redact(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     An assignment is replaced whole, its key word included. A null text stays null.
     """
     others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*others, "text")
+    rows = small_batches(docs).select(*others, "text")
     return rows.mapInArrow(_scan(ratio, _Redacted()), rows.schema).select(docs.columns)

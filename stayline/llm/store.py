@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from stayline.session import shared_folder
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def keep(frame: DataFrame, name: str) -> DataFrame:
     """Writes the frame to the shared folder and reads it back: a cut in the lineage.
@@ -22,6 +25,16 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """Holds the session to Arrow batches of at most ``BATCH_ROWS`` rows: a task keeps several at a time,
+    in the JVM and in Python, and documents are long. A smaller setting stays as it is."""
+    conf = frame.sparkSession.conf
+    rows = int(conf.get(_BATCH))
+    if rows <= 0 or rows > BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return frame
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
