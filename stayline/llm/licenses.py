@@ -3,8 +3,9 @@ from the nearest directory above that holds a licence file. DataFrame operations
 
 A term's weight is (1 + ln tf) * idf, with idf = ln((1 + T) / (1 + df)) + 1 over the T notices. A segment can
 only reach the threshold if it shares a *key term* with a notice: a notice's other terms, the commonest
-first, are so light together that they cannot reach it alone. Texts without a key term are settled by
-one narrow pass; only the rest are cut into segments and joined with the notices by term.
+first, are so light together that they cannot reach it alone. Nor can it if too many of its terms
+occur in no notice. Both bounds are exact; what they rule out is settled by one narrow pass, and only
+the rest is joined with the notices by term.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayline.llm.store import keep
+
 THRESHOLD = 0.6
 FILE_THRESHOLD = 0.5  # of a whole file: then its licence covers its directory
 
@@ -50,14 +53,15 @@ NOTICES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Proprietary", "All rights reserved."),
 )
-TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
+TERM = r"\p{L}+|[0-9]+(?:\.[0-9]+)*"
+_PYTHON_TERM = r"[^\W\d_]+|[0-9]+(?:\.[0-9]+)*"
 # Words that say nothing about a licence; they are no terms.
 STOP_WORDS = tuple("a all an and any are as at be by can for from in is it may not of on or that the this to under use was with without you".split())
 
 
 def notice_weights() -> tuple[dict[str, float], list[tuple[str, int, str, float]]]:
     """idf by term, and (term, notice, licence, weight in the notice's unit vector)."""
-    counts = [Counter(t for t in re.findall(TERM, text.lower()) if t not in STOP_WORDS) for _, text in NOTICES]
+    counts = [Counter(t for t in re.findall(_PYTHON_TERM, text.lower()) if t not in STOP_WORDS) for _, text in NOTICES]
     df = Counter(term for c in counts for term in c)
     idf = {term: math.log((1 + len(counts)) / (1 + n)) + 1 for term, n in df.items()}
     rows = []
@@ -81,6 +85,20 @@ def key_terms(threshold: float) -> list[str]:
     return sorted(keys)
 
 
+def may_reach(found: Column, threshold: float) -> Column:
+    """Whether enough terms of a segment occur in notices for it to reach the threshold at all.
+
+    The cosine's square is at most known / (known + unknown) of the segment's squared weights. As
+    (1 + ln tf)**2 <= 1.48 tf, the known part is at most 1.48 * idf**2 for every known term, counted
+    as often as it occurs; the unknown part is at least idf**2 for every different unknown one.
+    """
+    idf, _ = notice_weights()
+    most, unknown = 1.48 * max(idf.values()) ** 2, (math.log(1 + len(NOTICES)) + 1) ** 2
+    known = F.size(F.filter(found, lambda t: t.isin(*idf)))
+    others = F.size(F.array_distinct(F.filter(found, lambda t: ~t.isin(*idf, *STOP_WORDS))))
+    return known * most * (1 - threshold**2) >= others * unknown * threshold**2 * (1 - 1e-9)
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
@@ -109,7 +127,8 @@ def file_scores(files: DataFrame, threshold: float = THRESHOLD, file_threshold:
     segment = ["path", "text_key", "pos", "whole"]
     cut = stated.select("path", "text_key", F.posexplode(F.array_distinct(cuts)).alias("pos", "cut"))
     cut = cut.select("path", "text_key", "pos", "cut.whole", terms(F.col("cut.words")).alias("terms"))
-    found = cut.where(F.arrays_overlap("terms", keys)).select(*segment, F.explode("terms").alias("term"))
+    cut = cut.where(F.arrays_overlap("terms", keys) & may_reach(F.col("terms"), min(threshold, file_threshold)))
+    found = cut.select(*segment, F.explode("terms").alias("term"))
     found = found.where(~F.col("term").isin(*STOP_WORDS)).groupBy(*segment, "term").agg((1 + F.log(F.count("*"))).alias("tf"))
     unknown = math.log(1 + len(NOTICES)) + 1
     idfs = _table(spark, "term, idf", list(idf.items()))
@@ -142,7 +161,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, file_threshold: float =
     directory. Null and blank texts state nothing; rows that share a path and text give equal rows.
     """
     named = files.withColumn("_key", F.xxhash64("text")).withColumn("_dir", directory(F.col("path")))
-    scores = file_scores(files.where("path is not null"), threshold, file_threshold)
+    scores = keep(file_scores(files.where("path is not null"), threshold, file_threshold), "licences")
     covering = scores.where("file_licence is not null").groupBy(directory(F.col("path")).alias("above"))
     covering = covering.agg(F.min(F.struct((-F.col("file_score")).alias("minus"), F.col("file_licence").alias("licence"))).alias("best"))
     covering = covering.select("above", F.col("best.licence").alias("inherited"))
