@@ -5,6 +5,8 @@ first word, p(w | h) = (c(hw) + K p(w | h')) / (c(h) + K), down to the unigram (
 As an automaton: a state is a context that was seen; a seen n-gram is an arc with that weight; the
 failure arc of a state leads to its shorter context with weight K / (c(h) + K). Reading a text from left
 to right the state is the longest seen context, and the log weights of arcs and failure arcs add up.
+States and arcs are never objects: ``automaton_paths`` works out the weights for all tokens of a block
+as arrays, one order after the other, which gives the same sums as the walk.
 
 The corpus's n-grams do not fit into one process, so every block of documents gets its own part:
 1. A block's distinct n-gram hashes go, with their training counts in the block, to the shards of the
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from stayline.llm.store import keep
 from stayline.llm.words import mix, pieces, word_hashes
 
-ORDER = 2
+ORDER = 3  # words in the longest n-gram
 CONCENTRATION = 4.0  # K
 BLOCK_BYTES = 8 << 20
 

@@ -8,6 +8,7 @@ import pytest
 from odd import clashing, documents, none_of
 
 from stayline.llm import ngrams
+from stayline.llm.queries import queries
 
 
 def words(text):
@@ -90,3 +91,12 @@ def test_odd_rows(spark):
 def test_counts_are_packed_without_loss():
     counts = np.array([0, 1, 254, 255, 256, 1 << 40, 3])
     assert (ngrams._unpacked(ngrams._packed(counts), len(counts)) == counts).all()
+
+
+def test_the_query_reads_more_than_one_word_of_history(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    model = Brute([(r.doc_id, r.text) for r in docs.collect()], 3)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert ngrams.ORDER >= 3
+    for r in queries()["op7_lm_score"](spark, tiny).limit(20).collect():
+        assert r.score == pytest.approx(model.walk(texts[r.doc_id]), rel=1e-9)
