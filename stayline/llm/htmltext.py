@@ -26,8 +26,9 @@ STEPS = 120
 
 # HTML's elements without content, elements whose text is not text, and those that break lines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript head svg math iframe object canvas".split())
+SILENT = frozenset("script style template noscript head title svg math iframe object canvas".split())
 RAW = frozenset("script style textarea title".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())  # all others close an open head
 BREAKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary "
@@ -110,6 +111,8 @@ def blocks(page: str) -> list[Block]:
         kind = m.lastgroup
         if kind == "text":
             raw = m["text"]
+            if stack[-1].tag == "head" and not raw.isspace():
+                stack.pop()
             say(entities.unescape(raw) if "&" in raw else raw)
             continue
         if kind == "cdata":
@@ -127,6 +130,11 @@ def blocks(page: str) -> list[Block]:
                     del stack[i:]
                     break
             continue
+        # The end tag of a head may be left out.
+        if tag == "body" and any(e.tag == "head" for e in stack):
+            del stack[[e.tag for e in stack].index("head") :]
+        elif stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
         for i in range(len(stack) - 1, 0, -1):
             if tag in CLOSED_BY.get(stack[i].tag, ()):
                 del stack[i:]

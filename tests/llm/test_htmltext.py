@@ -78,3 +78,12 @@ def test_odd_rows(spark, chain):
     found = htmltext.main_texts(frame, chain).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in found) == [(0, 47), (1, 0), (2, 0), (2, 0)]
     assert htmltext.main_texts(frame.limit(0), chain).count() == 0
+
+
+def test_a_head_without_its_end_tag(chain):
+    assert extract(PAGE.replace("</head>", ""), chain) == extract(PAGE, chain)
+    assert extract(PAGE.replace("</head><body>", ""), chain) == extract(PAGE, chain)
+    assert [b.text for b in blocks("<head><title>T</title><meta name=a>plain <b>text</b><p>more")] == ["plain text", "more"]
+    assert [b.text for b in blocks("<html><head><title>T</title><span>a</span>")] == ["a"]
+    assert [b.text for b in blocks("<head><noscript><div>x</div></noscript><title>T</title></head><body>y")] == ["y"]
+    assert [b.text for b in blocks("<head><noscript><div>x</div><body>y")] == ["y"]
