@@ -57,3 +57,26 @@ def test_odd_rows(spark):
     more = spark.createDataFrame([(None, "Released under the MIT License."), ("/a", None), ("/a", None), ("b", "All rights reserved.")], "path string, text string")
     found = sorted((r.path or "", r.own_licence or "") for r in licenses.scan(clashing(more.withColumnRenamed("text", "t")).withColumnRenamed("t", "text").drop("path_")).collect())
     assert found == [("", ""), ("/a", ""), ("/a", ""), ("b", "Proprietary")]
+
+
+def test_genuine_licence_files_cover_their_directories(spark):
+    texts = dict(licenses.full_texts())
+    holder = lambda text: text.replace("Copyright (c)", "Copyright (c) 2016-2019, Jane Roe and the frobnicate contributors. All rights reserved.")
+    bsd = texts["BSD-3-Clause"]
+    short = holder(bsd[: bsd.index("THIS SOFTWARE IS")]) + 'THIS SOFTWARE IS PROVIDED "AS IS" WITHOUT WARRANTY OF ANY KIND.\n'
+    files = [(f"/{name}/LICENSE", holder(text)) for name, text in texts.items()] + [("/short/LICENSE", short), ("/two/COPYING", texts["GPL-3.0"] + "more"), ("/two/NOTICE", "All rights reserved.")]
+    below = [(f"{path.rsplit('/', 1)[0]}/src/x.py", "print(1)") for path, _ in files]
+    found = scanned(spark, files + below)
+    for name in texts:
+        assert found[f"/{name}/LICENSE"] == (name, name, f"/{name}/LICENSE")
+        assert found[f"/{name}/src/x.py"] == (None, name, f"/{name}")
+    assert found["/short/src/x.py"] == (None, "BSD-3-Clause", "/short") and found["/short/LICENSE"][0] == "BSD-3-Clause"
+    assert found["/two/src/x.py"] == (None, "GPL-3.0", "/two") and found["/two/NOTICE"][0] == "Proprietary"
+    assert {"MIT", "GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "Apache-2.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC"} <= set(texts)
+
+
+def test_a_file_with_fewer_terms_is_not_similar_enough():
+    _, rows = licenses.notice_weights(licenses.full_texts())
+    for k, (words, least) in enumerate(licenses.least_terms(0.5)):
+        parts = sorted((w * w for _, n, _, w in rows if n == k), reverse=True)
+        assert len(words) == len(parts) and sum(parts[: least - 1]) < 0.25 <= sum(parts[:least]) + 1e-6
