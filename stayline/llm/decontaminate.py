@@ -6,6 +6,11 @@ word is itself, lower-cased. Windows of ``WINDOW`` tokens of benchmark items and
 by hash. Along one alignment of a document with an item every value of the item must have become one
 and the same value of the document; windows with a value that breaks this do not count.
 
+A window with few plain words says too little without its values: it is joined on the hash of its
+tokens as they are, so exact copies are found and other values are not. A capitalised word is a name
+only inside a sentence, and where a text is cut or quoted its first word may be either; so the first
+token of every window, if capitalised, stands both as the word and as a name, on both sides.
+
 Documents first pass a bitmap of the benchmark's window hashes, of fixed size however large the
 benchmark: what it lets through by chance the join drops.
 """
@@ -23,8 +28,8 @@ from stayline.llm.store import keep, small_batches
 from stayline.llm.words import LOWER, Piece, mix, pieces, span_hashes, word_spans
 
 WINDOW = 8
-LITERALS = 4  # least plain words in a window
-SHORTEST = 5  # an item of fewer tokens is not searched for
+LITERALS = 4  # least plain words in a window; with fewer its tokens are compared as they are
+SHORTEST = 5  # an item of fewer tokens is compared as it is, if it has a value and another token
 NEEDED = 3  # windows that make a leak, or all of a shorter item
 BITMAP_BITS = 22
 
@@ -45,15 +50,22 @@ _STOP[[ord(c) for c in ".!?:"]] = True
 _UNIT_HASHES = np.sort(
     np.concatenate([span_hashes(b, np.array([0]), np.array([len(b)])) for b in (np.frombuffer(u.encode(), np.uint8) for u in UNITS)])
 )
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_EXACT = np.uint64(0x5A5A5A5A5A5A5A5A)  # tells hashes of tokens as they are from hashes of templates
 NUMBER, NAME, UNIT = (np.uint64(0x1111), np.uint64(0x2222), np.uint64(0x3333))
 
 
 def tokens(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every word that holds a letter or digit: template hash, value hash, whether a slot, text."""
+    return _typed(piece)[:4]
+
+
+def _typed(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and whether a word would be a name inside a sentence."""
     none = np.empty(0, np.uint64)
     starts, ends, text = word_spans(piece)
     if not len(starts):
-        return none, none, np.empty(0, bool), np.empty(0, np.int64)
+        return none, none, np.empty(0, bool), np.empty(0, np.int64), np.empty(0, bool)
     data = piece.data
     where = np.arange(len(data))
     alnum = _ALNUM[data]
@@ -66,7 +78,7 @@ def tokens(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     use = first < last
     first, last, text, opens = first[use], last[use], text[use], opens[use]
     if not len(first):
-        return none, none, np.empty(0, bool), np.empty(0, np.int64)
+        return none, none, np.empty(0, bool), np.empty(0, np.int64), np.empty(0, bool)
     low = LOWER[data]
     accented = np.zeros(len(data), dtype=bool)  # the second byte of an upper-case Latin-1 letter
     accented[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
@@ -77,25 +89,45 @@ def tokens(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     number = (data[first] >= 48) & (data[first] <= 57)
     after_number = np.concatenate([[False], number[:-1] & (text[1:] == text[:-1])])
     unit = after_number & np.isin(value, _UNIT_HASHES)
-    name = head & ~opens & (upper[last] - upper[first] == 1) & (last - first > 1 + (data[first] == 0xC3))
+    capital = head & (upper[last] - upper[first] == 1) & (last - first > 1 + (data[first] == 0xC3))
+    name = capital & ~opens
     slot = number | unit | name
     template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
-    return template, value, slot, text
+    return template, value, slot, text, capital & ~number & ~unit
+
 
+_ODD = np.uint64(0xD6E8FEB86659FD93)
 
-def windows(piece: Piece, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For every length: length, first token, window hash, text, and all tokens' values and slots."""
-    template, value, slot, text = tokens(piece)
+
+def windows(piece: Piece, lengths: list[int], every: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every length: length, first token, form, window hash, text, and all tokens' values and slots.
+
+    The forms: 0 the template, 1 the template with its capitalised first token taken the other way, 2
+    the tokens as they are. Items have form 2 where the plain words are too few in form 0 or 1, which
+    depends on the words around; documents have it for every window.
+    """
+    template, value, slot, text, capital = _typed(piece)
     before = np.concatenate([[0], np.cumsum(slot)])
     for size in lengths:
         n = len(template) - size + 1
         if n <= 0:
             continue
-        total = np.full(n, size, dtype=np.uint64)
+        total, same = np.full(n, size, dtype=np.uint64), np.full(n, size, dtype=np.uint64)
         for k in range(size):
-            total = total * np.uint64(0xD6E8FEB86659FD93) + template[k : n + k]
-        at = np.flatnonzero((text[size - 1 :] == text[:n]) & (size - (before[size:] - before[:n]) >= min(LITERALS, size)))
-        yield size, at, mix(total[at]), text[at], value, slot
+            total = total * _ODD + template[k : n + k]
+            same = same * _ODD + value[k : n + k]
+        inside = text[size - 1 :] == text[:n]
+        literals = size - (before[size:] - before[:n])
+        least = min(LITERALS, size) if size >= SHORTEST else size + 1
+        own = np.flatnonzero(inside & (literals >= least))
+        other = np.flatnonzero(inside & capital[:n] & (literals + np.where(slot[:n], 1, -1) >= least))
+        turned = np.where(slot[other], value[other], NAME) - template[other]
+        turned = total[other] + turned * np.uint64(pow(int(_ODD), size - 1, 1 << 64))
+        few = literals - (capital[:n] & ~slot[:n]) < least if size >= SHORTEST else (literals < size) & (size > 1)
+        exact = np.flatnonzero(inside & (every | few))
+        at = np.concatenate([own, other, exact])
+        form = np.repeat([0, 1, 2], [len(own), len(other), len(exact)])
+        yield size, at, form, np.concatenate([mix(total[own]), mix(turned), mix(same[exact] ^ _EXACT)]), text[at], value, slot
 
 
 _ROW = "row_id long, row_key long, pos long, size int, window long, slots array<long>"
@@ -111,15 +143,16 @@ def _find(lengths: list[int], bitmap: np.ndarray | None):
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
             for piece in pieces(batch.column(2)):
-                for size, at, window, text, value, slot in windows(piece, lengths):
+                for size, at, form, window, text, value, slot in windows(piece, lengths, bitmap is not None):
                     if bitmap is not None:
                         bit = window >> np.uint64(64 - BITMAP_BITS)
                         hit = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                        at, window, text = at[hit], window[hit], text[hit]
+                        at, form, window, text = at[hit], form[hit], window[hit], text[hit]
                     if not len(at):
                         continue
                     grid = at[:, None] + np.arange(size)
-                    is_slot = slot[grid]
+                    is_slot = slot[grid] | (form == 2)[:, None]
+                    is_slot[form == 1, 0] ^= True
                     edges = np.concatenate([[0], np.cumsum(is_slot.sum(axis=1))])
                     lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(value[grid][is_slot].view(np.int64)))
                     which = pa.array(piece.first + text)
@@ -140,17 +173,22 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, list[int]]:
     """item_id, item_pos, size, window, item_slots, item_windows; and the sizes there are.
 
-    An item of fewer tokens than a window is one window as a whole; below ``SHORTEST`` it is left out.
+    An item of fewer tokens than a window is one window as a whole; below ``SHORTEST`` it is compared as it
+    is if it has a value and another token, and left out if not. ``item_windows`` counts places with a
+    template, or all places of an item that has none.
     """
     named = items.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
     counts = named.mapInArrow(_token_counts, "item_id long, n_tokens long").groupBy("item_id").agg(F.max("n_tokens").alias("n"))
-    short = [r[0] for r in counts.where(f"n >= {SHORTEST} and n < {window}").select(F.col("n").cast("int")).distinct().collect()]
+    short = [r[0] for r in counts.where(f"n >= 2 and n < {window}").select(F.col("n").cast("int")).distinct().collect()]
     lengths = sorted({*short, window})
     rows = named.select("item_id", F.lit(0).cast("long").alias("key"), "text")
     found = rows.mapInArrow(_find(lengths, None), _ROW).withColumnRenamed("row_id", "item_id")
     found = found.join(counts, "item_id").where(f"size = {window} or (size = n and pos >= 0)")
     found = found.select("item_id", F.col("pos").alias("item_pos"), "size", "window", F.col("slots").alias("item_slots")).distinct()
-    total = found.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
+    # Of a window that is compared as it is every token is a slot; a template has plain words.
+    places = F.countDistinct(F.when(F.size("item_slots") < F.col("size"), F.col("item_pos")))
+    total = found.groupBy("item_id").agg(places.alias("places"), F.countDistinct("item_pos").alias("every"))
+    total = total.select("item_id", F.when(F.col("places") > 0, F.col("places")).otherwise(F.col("every")).alias("item_windows"))
     return found.join(total, "item_id"), lengths
 
 
@@ -158,8 +196,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, needed: int =
     """doc_id, doc_key, item_id, n_windows, item_windows, reparameterised: one row per leak.
 
     ``doc_key`` is xxhash64 of the text, which tells rows without an id apart. Null and blank texts,
-    and items that are null, blank or shorter than ``SHORTEST`` tokens, match nothing. Rows that
-    share id and text count as one document. Other columns are ignored.
+    and items that are null, blank or left out by ``benchmark_windows``, match nothing. Rows that share id and text count as one document. Other columns are ignored.
     """
     found, lengths = benchmark_windows(items, window)
     found = keep(found, "benchmark")

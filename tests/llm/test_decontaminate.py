@@ -77,3 +77,22 @@ def test_tokens():
     assert slot.tolist() == [False, False, True, False, True, False, True, True, False, False, False, False, False]
     assert text.tolist() == [0] * 11 + [1, 1]
     assert template[1] == template[12] and value[2] == template[11]
+
+
+def test_items_of_few_plain_words_are_found_as_they_are(spark):
+    items = [(1, "Compute 12 + 45 - 7 * 3 + 99 - 18 + 4"), (2, "Anna Smith paid 20 dollars, Bob Jones paid 30 dollars"), (3, "What is 12 + 30?"), (4, "Add 5 kg to 7 kg")]
+    for i, text in items:
+        other = text.translate(str.maketrans("0123456789", "1234567890"))
+        want = {(d, i): False for d in (0, 1, 2)}
+        got = found(spark, [text, f"{CLEAN} {text} {CLEAN}", f"Q1) {text}", other, CLEAN], items)
+        assert got == want, (text, got)
+
+
+def test_the_first_word_may_be_a_word_or_a_name(spark):
+    items = [(1, "What is the sum of 12 and 45"), (2, "Anna has a bag of 12 red apples")]
+    texts = ["Q1) What is the sum of 12 and 45", ", What is the sum of 13 and 44", "Now Peter has a bag of 7 red apples", "Peter has a bag of 7 red apples", "it is the sum of 12 and 45"]
+    assert found(spark, texts, items) == {(0, 1): False, (1, 1): True, (2, 2): True, (3, 2): True}
+
+
+def test_a_bare_value_is_no_item(spark):
+    assert found(spark, ["the year 2020 was long", "2020"], [(1, "2020"), (2, "yes")]) == {}
