@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from stayline.llm import decontaminate, langid, mixing, neardup, secrets
 from stayline.llm.store import keep
 
-# The classifiers' confidence and the scanners' models have no SQL; tests hold them against brute force.
+# The classifiers and the scanners' models have no SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones have taught; those without a letter go."""
+    """Documents with a letter; all of them if none is labelled. No decision of the classifiers drops a row."""
     model = langid.fit(docs.where(~langid.held_out()))
+    if not model.families:
+        return docs
     # Rows are told apart by their place, so that input columns of the same names stay as they are.
     whole = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = langid.identify(whole, model).where(F.col("lang_pred") != langid.UNKNOWN)

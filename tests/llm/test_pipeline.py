@@ -83,3 +83,9 @@ def test_the_rest_imports_without_this_package(tmp_path):
             shutil.copy(source, tmp_path / name)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'report_call_list' in q and not [n for n in q if n.startswith('op')]; assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_documents_without_any_label_all_stay(spark, tiny):
+    rows = [(1, "some words", None, "a", 10), (2, "12 34", None, "a", 5), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    assert sorted(map(str, corpus_pipeline.language(spark, docs, tiny).collect())) == sorted(map(str, docs.collect()))
