@@ -22,10 +22,9 @@ from stayline.llm.words import LOWER, Piece, pieces
 
 DIMS = 4096
 GRAMS = (1, 2, 3, 4)
-PER_LANGUAGE = 200
+PER_LANGUAGE = 300
 ROWS_AT_ONCE = 256
 UNKNOWN = "und"
-TRAINING_CHARS = 20_000  # of a labelled text; prediction reads all of it
 
 # Families of common ISO 639-1 codes; a language not listed is a family of its own.
 FAMILIES = {
@@ -143,10 +142,10 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """A model from rows with doc_id, text and lang.
 
     Rows without a language or without a letter are left out. Of each language the ``per_language``
-    rows that come first by a hash of the id are used, the first ``TRAINING_CHARS`` characters of each.
+    rows that come first by a hash of the id are used, whole.
     """
     rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    rows = rows.select("doc_id", "lang", F.substring("text", 1, TRAINING_CHARS).alias("text"))
+    rows = rows.select("doc_id", "lang", "text")
     sample = hashed_sample(rows, per_language, ["doc_id", "text"], by="lang").select("lang", "text")
     fitted = small_batches(sample).repartition(1).mapInArrow(_train, "model binary").collect()
     return LanguageModel(*pickle.loads(fitted[0][0])) if fitted else LanguageModel([], [], np.zeros((0, DIMS + 1)), [])

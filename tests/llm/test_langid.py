@@ -62,3 +62,13 @@ def test_nothing_learnt(spark):
     assert {(r.lang_pred, r.score) for r in langid.identify(documents(spark), model).collect()} == {("und", 0.0)}
     one = langid.fit(spark.createDataFrame([(1, "words", "en")], "doc_id long, text string, lang string"))
     assert {r.lang_pred for r in langid.identify(documents(spark), one).collect()} == {"en", "und"}
+
+
+def test_whole_texts_are_learnt_from(spark):
+    from stayline.llm import langid
+
+    rows = [(i, "12 " * 8_000 + words, lang) for i, (words, lang) in enumerate([("the house and the garden", "en"), ("das Haus und der Garten", "de")] * 3)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "the garden and the house"), (2, "der Garten und das Haus")], "doc_id long, text string")
+    assert langid.PER_LANGUAGE == 300
+    assert {r.doc_id: r.lang_pred for r in langid.identify(asked, model).collect()} == {1: "en", 2: "de"}
