@@ -4,9 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm import ann, chat, decontaminate, htmltext, langid, licenses, mixing, neardup, ngrams, secrets
+from stayline.llm import (
+    ann,
+    chat,
+    decontaminate,
+    htmltext,
+    langid,
+    lexical,
+    licenses,
+    mixing,
+    neardup,
+    ngrams,
+    repair,
+    secrets,
+    tokencount,
+)
 from stayline.llm.store import documents
 
 
@@ -141,6 +156,104 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_texts(pages, htmltext.fit(htmltext.labelled_pages()))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+# The search as a walk over all states, row by row. An insertion costs more than deleting the row that
+# stands alone without it, so the cheapest edits have none.
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t
+), src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), faults AS (
+  SELECT src.*, xor(list_reduce(list_transform(range(1, length(name) + 1), lambda i: ascii(name[i])::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS fault
+  FROM src, bits
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
+  FROM faults, (VALUES (1), (2)) AS c(copy) WHERE fault <> 0 AND (copy = 1 OR fault = 3)
+), placed AS (
+  SELECT *, md5(length(role)::VARCHAR || ':' || role || text) AS key, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed,
+    CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial
+  FROM damaged
+), marked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+  FROM placed
+), r AS (
+  SELECT *, trimmed = '' AS blank, trimmed <> '' AND seen > 1 AS duplicate,
+    trimmed <> '' AND seen = 1 AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated,
+    initial || lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS pair
+  FROM marked
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id
+), moves AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS m(p, role, q)
+), edits AS (
+  SELECT conv_id, i, p, p AS q, 2 AS price, 'D' AS edit FROM r, range(4) AS s(p)
+  UNION ALL SELECT conv_id, i, p, q, 5 * truncated::INT, 'K' FROM r JOIN moves ON moves.role = r.initial WHERE NOT blank AND NOT duplicate
+  UNION ALL SELECT conv_id, i, p, q, 1 + 5 * truncated::INT, 'R' FROM r, moves WHERE moves.role <> 's' AND NOT blank AND NOT duplicate
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, 0::BIGINT AS q, lpad('', 12, '0') AS label FROM sums
+  UNION ALL
+  SELECT w.conv_id, e.i, e.q, min(lpad((left(w.label, 12)::BIGINT + e.price)::VARCHAR, 12, '0') || substr(w.label, 13) || e.edit)
+  FROM walk w JOIN edits e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = w.i + 1 AND e.p = w.q GROUP BY w.conv_id, e.i, e.q
+), best AS (
+  SELECT w.conv_id, min(label) AS label FROM walk w JOIN sums s ON w.conv_id IS NOT DISTINCT FROM s.conv_id
+  WHERE w.i = s.n AND w.q IN (0, 3) GROUP BY w.conv_id
+), kept AS (
+  SELECT r.conv_id, r.i, r.role, r.text, substr(b.label, 12 + r.i::INT, 1) AS edit, r.initial,
+    sum(CASE WHEN substr(b.label, 12 + r.i::INT, 1) = 'K' AND r.initial = 's' THEN 0 ELSE 1 END) OVER (PARTITION BY r.conv_id ORDER BY r.i) AS nth
+  FROM r JOIN best b ON r.conv_id IS NOT DISTINCT FROM b.conv_id WHERE substr(b.label, 12 + r.i::INT, 1) <> 'D'
+), said AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS repaired
+  FROM kept GROUP BY conv_id
+), every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate, coalesce(s.truncated, 0) AS truncated,
+  coalesce(s.illegal, 0) AS illegal, coalesce(left(b.label, 12)::BIGINT, 0) AS cost, coalesce(substr(b.label, 13), '') AS audit,
+  sha256(coalesce(k.repaired, '')) AS repaired_sha256
+FROM every e LEFT JOIN sums s ON e.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN best b ON e.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN said k ON e.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '__TERM__') AS terms
+  FROM documents
+), sizes AS (SELECT doc, doc_id, len(terms)::BIGINT AS n FROM words WHERE len(terms) > 0
+), totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS every FROM sizes
+), tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM words) GROUP BY ALL
+), w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, docs
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '__TERM__')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), scored AS (
+  SELECT item_id, doc_id, doc, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // every))))::BIGINT AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN sizes USING (doc), totals GROUP BY item_id, doc_id, doc
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0
+) WHERE rank <= 20
+"""
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -155,6 +268,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_language_id,
             op9_minhash_near_dedup,
             op10_main_text,
+            op11_token_counts,
+            op12_conversation_repair,
+            op13_ranked_search,
         )
     }
 
@@ -163,4 +279,9 @@ def oracle_sql() -> dict[str, str]:
     notices = ", ".join(f"({k}, '{name}', '{words}')" for k, (name, words) in enumerate(licenses.NOTICES))
     op1 = OP1_SQL.replace("__NOTICES__", notices).replace("__TERM__", licenses.TERM)
     op1 = op1.replace("__STOPS__", ", ".join(f"'{w}'" for w in licenses.STOP_WORDS))
-    return {"op1_license_scan": op1, "op2_source_mix": OP2_SQL}
+    return {
+        "op1_license_scan": op1,
+        "op2_source_mix": OP2_SQL,
+        "op12_conversation_repair": OP12_SQL,
+        "op13_ranked_search": OP13_SQL.replace("__TERM__", TERM),
+    }
