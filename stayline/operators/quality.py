@@ -41,6 +41,19 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> Da
     return counted.join(parent.select(key), key, "left_anti")
 
 
+def unknown_parents(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Rows of the child whose key the parent does not have: a foreign key that is checked.
+
+    Written as an outer join, so that Spark may put its own Bloom filter of the child's keys in front of the
+    parent's shuffle: where a few rows are checked against a large table, only parents that may be asked
+    for are moved. The join behind it is exact, whatever the filter lets through. The comparison
+    is true of every text; it tells the optimizer that the child is worth a filter.
+    """
+    known = parent.select(F.col(key).alias("_parent"))
+    asked = child.filter(F.col(key) >= "") if child.schema[key].dataType.simpleString() == "string" else child
+    return asked.join(known, F.col(key) == F.col("_parent"), "left").filter("_parent IS NULL").drop("_parent")
+
+
 def orphan_summary(
     children: Mapping[str, DataFrame], parent: DataFrame, key: str = "customer_id"
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.operators.quality import duplicate_keys, require_columns
+from stayline.operators.quality import duplicate_keys, require_columns, unknown_parents
 from stayline.schemas import (
     CHURN_FEATURES,
     CHURN_PREDICTIONS,
@@ -20,6 +20,7 @@ from stayline.schemas import (
     RUN_KEY,
     stored_name,
 )
+from stayline.sources import versions
 
 RUN_PARTITIONS = ["run_date", "model_version"]
 
@@ -97,21 +98,37 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 def store_customers(df: DataFrame, path: str) -> None:
     now = F.current_timestamp()
     full = with_defaults(df, {"senior_citizen": 0, "created_at": now, "updated_at": now})
-    conform(full, CUSTOMERS, REQUIRED["customers"]).write.mode("overwrite").parquet(path)
+    versions.replace(conform(full, CUSTOMERS, REQUIRED["customers"]), path)
 
 
 def store_clean(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    versions.replace(df, path)
 
 
-def refresh_features(features: DataFrame, path: str) -> None:
-    """Full refresh: the new table replaces the old one."""
+def refresh_features(features: DataFrame, path: str, customers: DataFrame | None = None) -> None:
+    """Full refresh: the new table replaces the old one, at once.
+
+    With ``customers``, a row of an unknown customer aborts the refresh and the old table stays.
+    """
+    spark = features.sparkSession
     stamped = with_defaults(features, {"created_at": F.current_timestamp()})
-    conform(stamped, CHURN_FEATURES).write.mode("overwrite").parquet(path)
+    staged = versions.stage(conform(stamped, CHURN_FEATURES), path)
+    try:
+        if customers is not None:
+            _reject(unknown_parents(versions.read_version(spark, path, "", staged, CHURN_FEATURES), customers))
+        versions.publish(spark, path, "", staged)
+    except BaseException:
+        versions.discard(spark, path, "", staged)
+        raise
 
 
 def store_matrix(matrix: DataFrame, path: str) -> None:
-    matrix.write.mode("overwrite").parquet(path)
+    versions.replace(matrix, path)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table as it was last stored in full, also while it is being stored again."""
+    return versions.read_current(spark, path, schema)
 
 
 def export_csv(df: DataFrame, path: str, key: str = "customer_id") -> None:
@@ -126,49 +143,83 @@ def _run_of(spark: SparkSession, run_date: date | None, model_version: str) -> t
 
 
 def _run_rows(scores: DataFrame, run_date: date, model_version: str) -> DataFrame:
-    """Published columns of one run, one row per run key: the highest probability wins.
-
-    A required value that is null, or a row that says it belongs to another run, aborts the write.
-    A look at the keys alone decides whether whole rows have to be shuffled; normally they do not.
-    """
+    """Published columns of one run. A required value that is null, or a row that says it belongs to
+    another run, aborts the write."""
     run = {"run_date": F.lit(run_date), "model_version": F.lit(model_version)}
     stamped = with_defaults(scores, run)
+    # On the key, which is always written: the run's own columns are its folders.
     other = F.raise_error(F.lit(f"a row of another run than {run_date} {model_version}"))
-    stamped = stamped.withColumns(
-        {c: F.when(F.col(c) == value, F.col(c)).otherwise(other) for c, value in run.items() if c in scores.columns}
-    )
-    rows = conform(stamped, CHURN_PREDICTIONS, REQUIRED["churn_predictions"]).drop("created_at")
-    if not duplicate_keys(stamped, RUN_KEY).isEmpty():
-        values = ["churn_probability"] + [
-            c for c in rows.columns if c not in RUN_KEY and c != "churn_probability"
-        ]
-        rows = (
-            rows.groupBy(*RUN_KEY)
-            .agg(F.max(F.struct(*values)).alias("kept"))
-            .select(*RUN_KEY, "kept.*")
-        )
+    for name in [c for c in run if c in scores.columns]:
+        mine = F.when(F.col(name) == run[name], F.col("customer_id")).otherwise(other.cast("string"))
+        stamped = stamped.withColumn("customer_id", mine)
+    rows = conform(stamped, CHURN_PREDICTIONS, REQUIRED["churn_predictions"])
     return rows.withColumn("created_at", F.current_timestamp())
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """One row per customer of a run: the highest probability wins."""
+    first = ["churn_probability"]
+    values = first + [c for c in rows.columns if c not in (*first, "customer_id")]
+    kept = rows.groupBy("customer_id").agg(F.max(F.struct(*values)).alias("kept"))
+    return kept.select("customer_id", "kept.*").select(*rows.columns)
+
+
+def _reject(unknown: DataFrame) -> None:
+    """An error that names some of the unknown customers, if there are any."""
+    some = [r["customer_id"] for r in unknown.select("customer_id").limit(5).collect()]
+    if some:
+        raise ValueError(f"unknown customers, such as {some}")
+
+
+RUN_BODY = T.StructType([f for f in CHURN_PREDICTIONS if f.name not in RUN_PARTITIONS])
+
+
 def publish_run(
     scores: DataFrame,
     path: str,
     run_date: date | None = None,
     model_version: str = "gbt_v1",
+    customers: DataFrame | None = None,
+    quarantine: str | None = None,
 ) -> None:
-    """Replace the partition of this run date and model version, leave all others.
-
-    Publishing a run again cannot duplicate rows or flip them, and publishing it without rows
-    leaves it without rows.
+    """Replace the rows of this run date and model version, leave all others.
+
+    The scores are computed once, into files that nobody reads yet. Their keys are then looked at: of a
+    customer's rows one stays, and with ``customers`` each has to be one of them, else
+    nothing is published. With ``quarantine`` the rows of unknown customers are stored there instead, as
+    this run's, and the rest is published. Only then do readers see the run, all of it at once; a
+    job that dies before leaves the run as it was. Publishing a run again cannot duplicate rows or flip
+    them, and publishing it without rows leaves it without rows.
     """
-    day, version = _run_of(scores.sparkSession, run_date, model_version)
-    rows = _run_rows(scores, day, version).drop(*RUN_PARTITIONS)
-    rows.write.mode("overwrite").parquet(f"{path}/run_date={day}/model_version={version}")
+    spark = scores.sparkSession
+    day, version = _run_of(spark, run_date, model_version)
+    part = f"run_date={day}/model_version={version}"
+    staged = versions.stage(_run_rows(scores, day, version).drop(*RUN_PARTITIONS), path, part)
+    try:
+        rows = versions.read_version(spark, path, part, staged, RUN_BODY)
+        unknown = None if customers is None else unknown_parents(rows, customers)
+        if unknown is not None and quarantine is None:
+            _reject(unknown)
+        repeated = not duplicate_keys(rows, ["customer_id"]).isEmpty()
+        refused = unknown is not None and not unknown.isEmpty()
+        if quarantine is not None:
+            # Written even if empty: it replaces what this run left there before.
+            versions.replace(rows.limit(0) if unknown is None else _once(unknown), quarantine, part)
+        if repeated or refused:
+            known = rows.join(unknown.select("customer_id").distinct(), "customer_id", "left_anti") if refused else rows
+            better = versions.stage(_once(known).select(*RUN_BODY.names), path, part)
+            versions.discard(spark, path, part, staged)
+            staged = better
+        versions.publish(spark, path, part, staged)
+    except BaseException:
+        versions.discard(spark, path, part, staged)
+        raise
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """A filter on ``run_date`` or ``model_version`` reads only the matching folders."""
-    return conform(spark.read.schema(CHURN_PREDICTIONS).parquet(path), CHURN_PREDICTIONS)
+    """The runs as published when this is called. A filter on ``run_date`` or ``model_version`` reads only
+    the matching folders."""
+    return conform(versions.read_current(spark, path, CHURN_PREDICTIONS), CHURN_PREDICTIONS)
 
 
 def store_customers_bucketed(df: DataFrame, table: str, buckets: int) -> None:
@@ -193,6 +244,8 @@ def publish_run_bucketed(
     day, version = _run_of(spark, run_date, model_version)
     body = [c for c in CHURN_PREDICTIONS.names if c not in RUN_PARTITIONS]
     rows = _run_rows(scores, day, version)
+    if not duplicate_keys(rows, RUN_KEY).isEmpty():
+        rows = _once(rows)
     if not spark.catalog.tableExists(table):
         (
             rows.limit(0)

@@ -108,7 +108,7 @@ def test_literal_rows(spark):
 def test_customers_are_stored_with_defaults(spark, tmp_path, sample):
     path = str(tmp_path / "customers")
     tables.store_customers(sample.withColumn("senior_citizen", F.lit(None).cast("int")), path)
-    back = spark.read.parquet(path)
+    back = tables.read_table(spark, path)
     assert back.columns == CUSTOMERS.names
     assert {r["senior_citizen"] for r in back.collect()} == {0}
     assert back.filter("created_at IS NULL").count() == 0
@@ -118,7 +118,7 @@ def test_features_are_refreshed_whole(spark, tmp_path, sample):
     path = str(tmp_path / "features")
     tables.refresh_features(feature_table(sample), path)
     tables.refresh_features(feature_table(sample.limit(3)), path)
-    back = spark.read.parquet(path)
+    back = tables.read_table(spark, path)
     assert back.columns == CHURN_FEATURES.names
     assert back.count() == 3
 
@@ -127,8 +127,8 @@ def test_clean_and_matrix_round_trip(spark, tmp_path, raw):
     cleaned = clean(raw)
     tables.store_clean(cleaned, str(tmp_path / "clean"))
     tables.store_matrix(model_matrix(cleaned), str(tmp_path / "matrix"))
-    assert spark.read.parquet(str(tmp_path / "clean")).exceptAll(cleaned).count() == 0
-    assert spark.read.parquet(str(tmp_path / "matrix")).count() == 4
+    assert tables.read_table(spark, str(tmp_path / "clean")).exceptAll(cleaned).count() == 0
+    assert tables.read_table(spark, str(tmp_path / "matrix")).count() == 4
 
 
 def test_export_is_in_key_order_across_files(spark, tmp_path, sample):
@@ -179,7 +179,7 @@ def test_reports_read_only_what_they_need(spark, tmp_path, sample):
     tables.store_customers(sample, str(tmp_path / "customers"))
     tables.publish_run(scores(spark, ("CUST-0001", 0.9)), str(tmp_path / "runs"), RUN)
     runs = tables.read_predictions(spark, str(tmp_path / "runs"))
-    customers = spark.read.parquet(str(tmp_path / "customers"))
+    customers = tables.read_table(spark, str(tmp_path / "customers"))
 
     summary = reports.executive_summary(runs, customers, RUN)
     plan = summary._jdf.queryExecution().executedPlan().toString()
