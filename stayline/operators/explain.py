@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from stayline.functions.reasons import SIGNAL, describe, name_of, rank_contributions
 from stayline.functions.rules import DECISION_THRESHOLD
 from stayline.schemas import MODEL_FEATURES
-from stayline.session import delete_folder, shared_folder
+from stayline.session import delete_folder, folder_exists, shared_folder
 
 # Workers need not have this package: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -138,16 +138,30 @@ def leaf_paths(nodes: dict, scale: float) -> Iterator[tuple[float, dict]]:
     yield from walk(0, {})
 
 
+_NODES = (
+    "treeID int, nodeData struct<id:int, prediction:double, impurityStats:array<double>, leftChild:int, rightChild:int,"
+    " split:struct<featureIndex:int, leftCategoriesOrThreshold:array<double>>>"
+)
+
+
 def saved_nodes(spark: SparkSession, model: GBTClassificationModel) -> dict[int, dict]:
-    """Node rows by tree and node id; there are trees x nodes per tree of them."""
-    folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    """Node rows by tree and node id; there are trees x nodes per tree of them.
+
+    They are read where the model was loaded from; only a model that is not saved yet is saved for this.
+    """
+    folder = getattr(model, "saved_in", None)
+    own = folder is None or not folder_exists(spark, folder)
+    if own:
+        folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
     trees: dict[int, dict] = {}
     try:
-        model.write().save(folder)
-        for row in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData").toLocalIterator():
+        if own:
+            model.write().save(folder)
+        for row in spark.read.schema(_NODES).parquet(f"{folder}/data").toArrow().to_pylist():
             trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
     finally:
-        delete_folder(spark, folder)
+        if own:
+            delete_folder(spark, folder)
     return trees
 
 

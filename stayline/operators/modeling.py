@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -11,55 +10,27 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.numeric import fixed
-from stayline.operators.evaluation import class_report, confusion, metrics, roc_auc
+from stayline.operators import boosting
+from stayline.operators.boosting import DEFAULT, TUNED, Boosting
+from stayline.operators.evaluation import class_report, confusion, metrics
 from stayline.operators.split import stratified_split
 from stayline.schemas import MODEL_FEATURES
-from stayline.session import delete_folder, folder_exists, shared_folder
+from stayline.session import files_below, folder_exists, shared_folder
 
-CHUNK = 10  # trees between two looks at the validation rows
 SEED = 42
 PARTS = {"is_test": 0.20, "is_validation": 0.10}
 
 
-@dataclass(frozen=True)
-class Boosting:
-    """Hyper-parameters of a boosted model; the defaults are those of the tuned one.
-
-    ``min_gain`` is per row here: a minimum of 0.1 summed over a node of a thousand rows.
-    """
-
-    # The published settings of the tuned model.
-
-    trees: int = 500
-    depth: int = 5
-    rate: float = 0.05
-    rows: float = 0.8
-    columns: float = 0.8
-    min_rows: int = 3
-    min_gain: float = 1e-4
-    weighted: bool = True
-    patience: int = 30
-
-
-TUNED = Boosting()
-DEFAULT = Boosting(
-    trees=200, rate=0.1, min_rows=1, min_gain=0.0, weighted=False, patience=0
-)
-
-
 @dataclass(frozen=True)
 class Sizes:
     """Model sizes of a comparison."""
@@ -148,148 +119,44 @@ def train_forest(
     return Pipeline(stages=[_features(), estimator]).fit(train)
 
 
-def _boost(frame: DataFrame, settings: Boosting, seed: int) -> PipelineModel:
-    """All trees in one run of MLlib's own boosting."""
-    estimator = GBTClassifier(
-        maxIter=settings.trees,
-        maxDepth=settings.depth,
-        stepSize=settings.rate,
-        subsamplingRate=settings.rows,
-        featureSubsetStrategy=str(settings.columns),
-        minInstancesPerNode=settings.min_rows,
-        minInfoGain=settings.min_gain,
-        checkpointInterval=10,
-        maxMemoryInMB=512,
-        seed=seed,
-    )
-    if settings.weighted:
-        estimator = estimator.setWeightCol("weight")
-    return Pipeline(stages=[_features(), estimator]).fit(frame)
+@dataclass
+class BinnedTable:
+    """Rows with a byte per feature, and the cuts between the bytes: found once, shared by all boosted models."""
 
+    rows: DataFrame
+    cuts: list
 
-def best_round(scores: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the highest score, and whether ``patience`` rounds then passed without a higher."""
-    best = 0
-    for at, score in enumerate(scores):
-        if score > scores[best]:
-            best = at
-        elif at - best >= patience:
-            return best + 1, True
-    return best + 1, False
 
-
-def grow(frame: DataFrame, held_out: DataFrame, settings: Boosting, seed: int) -> tuple[list, list[float]]:
-    """Trees one by one, and the validation area after each, until patience runs out.
-
-    Boosting of the logistic loss on margins F: the first tree fits the label as -1 or 1, every
-    further one the gradient 4y / (1 + exp(2yF)). The margins are written to the shared folder every
-    ``CHUNK`` trees; the area after each of them is then taken in one job over the validation rows,
-    from probabilities of four digits.
-    """
-    spark = frame.sparkSession
-    folder = f"{shared_folder(spark)}/boosting-{uuid.uuid4().hex}"
-    y = (2 * F.col("label") - 1).cast("double")
-
-    def prepared(rows: DataFrame) -> DataFrame:
-        weight = F.col("weight") if settings.weighted else F.lit(1.0)
-        kept = _features().transform(rows).select("features", y.alias("y"), weight.alias("weight"))
-        return kept.withColumn("margin", F.lit(0.0))
-
-    def stored(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
-
-    def advanced(rows: DataFrame, tree, first: bool) -> DataFrame:
-        step = 1.0 if first else settings.rate
-        return tree.transform(rows).withColumn("margin", F.col("margin") + step * F.col("tree")).drop("tree")
-
-    trees: list = []
-    areas: list[float] = []
-    try:
-        train, valid = stored(prepared(frame), "train-0"), stored(prepared(held_out), "valid-0")
-        while len(trees) < settings.trees:
-            margins, held = [], None
-            for _ in range(min(CHUNK, settings.trees - len(trees))):
-                first = not trees
-                gradient = F.col("y") if first else 4 * F.col("y") / (1 + F.exp(2 * F.col("y") * F.col("margin")))
-                rows = train.withColumn("target", gradient).persist(StorageLevel.MEMORY_AND_DISK)
-                tree = RandomForestRegressor(
-                    labelCol="target",
-                    weightCol="weight",
-                    predictionCol="tree",
-                    numTrees=1,
-                    bootstrap=False,
-                    maxDepth=settings.depth,
-                    subsamplingRate=settings.rows,
-                    featureSubsetStrategy=str(settings.columns),
-                    minInstancesPerNode=settings.min_rows,
-                    minInfoGain=settings.min_gain,
-                    maxMemoryInMB=512,
-                    seed=seed + len(trees),
-                ).fit(rows)
-                trees.append(tree.trees[0])
-                train = advanced(rows.drop("target"), tree, first)
-                valid = advanced(valid, tree, first)
-                margins.append(F.col("margin").alias(f"m{len(margins)}"))
-                valid = valid.withColumn(f"m{len(margins) - 1}", F.col("margin"))
-                if held is not None:
-                    held.unpersist()
-                held = rows
-            train = stored(train, f"train-{len(trees)}")
-            valid = stored(valid, f"valid-{len(trees)}")
-            held.unpersist()
-            areas += _areas(valid, len(margins))
-            valid = valid.drop(*[f"m{i}" for i in range(len(margins))])
-            if best_round(areas, settings.patience)[1]:
-                break
-    finally:
-        delete_folder(spark, folder)
-    return trees, areas
-
-
-def _areas(valid: DataFrame, count: int) -> list[float]:
-    """The area after each tree of a chunk, in one pass; 0 where one class is missing."""
-    after = F.posexplode(F.array(*[F.col(f"m{i}") for i in range(count)])).alias("round", "margin")
-    rows = valid.select(((F.col("y") + 1) / 2).cast("int").alias("label"), after)
-    scored = rows.select("round", "label", (1 / (1 + F.exp(-2 * F.col("margin")))).alias("score"))
-    found = {r["round"]: r["roc_auc"] for r in roc_auc(scored, ["round"], 10, score_digits=4).collect()}
-    return [found.get(i) or 0.0 for i in range(count)]
-
-
-def _as_model(spark: SparkSession, trees: list, rate: float) -> PipelineModel:
-    """The trees as MLlib's boosted model: the first weighs 1, the others ``rate``."""
-    gateway, jvm = spark.sparkContext._gateway, spark._jvm
-    kinds = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    own = gateway.new_array(kinds, len(trees))
-    weights = gateway.new_array(gateway.jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        own[i], weights[i] = tree._java_obj, 1.0 if i == 0 else rate
-    uid = f"GBTClassifier_{uuid.uuid4().hex[:12]}"
-    java = jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, own, weights, len(MODEL_FEATURES), 2)
-    return PipelineModel([_features(), GBTClassificationModel(java)])
+def bin_table(train: DataFrame) -> BinnedTable:
+    cuts = boosting.find_cuts(train)
+    flags = [c for c in ("is_validation",) if c in train.columns]
+    return BinnedTable(boosting.binned(train, cuts).select("bins", "unit", "label", *flags), cuts)
 
 
 def train_boosted(
-    train: DataFrame, settings: Boosting = TUNED, seed: int = SEED
+    train: DataFrame, settings: Boosting = TUNED, seed: int = SEED, table: BinnedTable | None = None
 ) -> PipelineModel:
-    """``train`` carries ``label`` and, for early stopping, ``is_validation``.
+    """``train`` carries ``label`` and, for early stopping, ``is_validation``; ``table`` are the same rows, binned.
 
     With patience, trees are grown until that many of them have brought no better area under the
     validation rows' ROC curve, and the model is cut to the best number: nothing is grown twice, and
-    at most ``CHUNK`` trees more than patience asks for. Everything that lasts is written to the shared
+    at most a chunk of trees more than patience asks for. Everything that lasts is written to the shared
     folder, so a lost executor costs a chunk at most.
     """
     spark = train.sparkSession
     shared_folder(spark)
-    frame = train.filter(~F.col("is_validation")) if settings.patience else train
+    table = table or bin_table(train)
+    rows, held_out = table.rows, None
+    if settings.patience:
+        rows, held_out = rows.filter(~F.col("is_validation")), rows.filter("is_validation")
+    weight = F.lit(1.0)
     if settings.weighted:
-        _, pos_weight = class_weights(frame)
-        weight = F.when(F.col("label") == 1, pos_weight).otherwise(1.0)
-        frame, train = frame.withColumn("weight", weight), train.withColumn("weight", weight)
-    if not settings.patience:
-        return _boost(frame, settings, seed)
-    trees, areas = grow(frame, train.filter("is_validation"), settings, seed)
-    return _as_model(spark, trees[: best_round(areas, settings.patience)[0]], settings.rate)
+        weight = F.when(F.col("label") == 1, class_weights(rows)[1]).otherwise(1.0)
+    rows, held_out = (None if f is None else f.withColumn("weight", weight) for f in (rows, held_out))
+    trees, areas = boosting.grow(rows, held_out, table.cuts, settings, seed)
+    if settings.patience:
+        trees = trees[: boosting.best_round(areas, settings.patience)[0]]
+    return PipelineModel([_features(), boosting.as_mllib(spark, trees, table.cuts, settings.depth)])
 
 
 # --- evaluation ------------------------------------------------------------------------------
@@ -321,24 +188,28 @@ def outcome_report(model: PipelineModel, test: DataFrame, name: str = "model") -
 def compare(matrix: DataFrame, sizes: Sizes = Sizes()) -> tuple[DataFrame, PipelineModel]:
     """All five classifiers on one split: a metrics row each, and the tuned model."""
     spark = matrix.sparkSession
-    frames = split_frames(matrix).persist(StorageLevel.MEMORY_AND_DISK)
+    matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        frames = split_frames(matrix)
         train, test = frames.filter("NOT is_test"), frames.filter("is_test")
         fitted = scaler(train)
         plain = {
             "Decision Tree": lambda: train_tree(train, sizes.tree_depth),
             "Random Forest": lambda: train_forest(train, sizes.forest_trees, sizes.forest_depth),
-            "Boosted Trees (default)": lambda: train_boosted(train, sizes.boosted),
-            "Boosted Trees (tuned)": lambda: train_boosted(train, sizes.tuned),
+            "Boosted Trees (default)": lambda: train_boosted(train, sizes.boosted, table=table),
+            "Boosted Trees (tuned)": lambda: train_boosted(train, sizes.tuned, table=table),
         }
+        table = bin_table(train)
+        table.rows = table.rows.persist(StorageLevel.MEMORY_AND_DISK)
         logistic = train_logistic(scale(train, fitted), sizes.logistic_iterations)
         rows = [{**evaluate("Logistic Regression", logistic, scale(test, fitted)), "trees": None}]
         for name, fit in plain.items():
             model = fit()
             size = getattr(model.stages[-1], "getNumTrees", 1)
             rows.append({**evaluate(name, model, test), "trees": size})
+        table.rows.unpersist()
     finally:
-        frames.unpersist()
+        matrix.unpersist()
     return metrics_frame(spark, rows), model
 
 
@@ -360,8 +231,10 @@ def store_comparison(comparison: DataFrame, path: str) -> None:
 
 def train_tuned(matrix: DataFrame, settings: Boosting = TUNED) -> tuple[PipelineModel, dict]:
     """The tuned model with its sizes and test metrics."""
-    frames = split_frames(matrix).persist(StorageLevel.MEMORY_AND_DISK)
+    # Kept before the split, which looks at the rows' keys more than once.
+    matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        frames = split_frames(matrix)
         train, test = frames.filter("NOT is_test"), frames.filter("is_test")
         model = train_boosted(train, settings)
         counts = frames.agg(
@@ -371,7 +244,7 @@ def train_tuned(matrix: DataFrame, settings: Boosting = TUNED) -> tuple[Pipeline
         ).first()
         report = {**evaluate("Boosted Trees (tuned)", model, test), **counts.asDict()}
     finally:
-        frames.unpersist()
+        matrix.unpersist()
     return model, {**report, "trees": len(model.stages[-1].treeWeights)}
 
 
@@ -390,26 +263,39 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The model, which remembers where its last stage lies: its nodes are read there when it is explained."""
+    model = PipelineModel.load(path)
+    last = model.stages[-1]
+    last.saved_in = f"{path}/stages/{len(model.stages) - 1}_{last.uid}"
+    return model
 
 
-def fingerprint(matrix: DataFrame, settings: Boosting) -> str:
-    """Names a training set and settings: one pass over the rows, in any order."""
+def fingerprint(matrix: DataFrame) -> str:
+    """Names a training set: one pass over the rows, in any order."""
     row = matrix.agg(
         F.count("*").alias("n"), F.sum(F.xxhash64(*matrix.columns).cast("decimal(38,0)")).alias("sum")
     ).first()
-    text = f"{row['n']} {row['sum']} {sorted(asdict(settings).items())} {matrix.columns}"
-    return hashlib.md5(text.encode()).hexdigest()
+    return hashlib.md5(f"{row['n']} {row['sum']} {matrix.columns}".encode()).hexdigest()
+
 
+def source_name(spark: SparkSession, folder: str, tables: Sequence[str]) -> str:
+    """Names the files a training set is derived from, by path, size and time: no row is read."""
+    files = sorted(f for table in tables for f in files_below(spark, f"{folder}/{table}.parquet"))
+    return hashlib.md5(str(files).encode()).hexdigest()
 
-def saved_path(matrix: DataFrame, settings: Boosting = TUNED) -> str:
-    """Where the model of these rows and settings is kept: other data means another model."""
-    return f"{shared_folder(matrix.sparkSession)}/tuned-{fingerprint(matrix, settings)}"
 
+def saved_path(spark: SparkSession, name: str, settings: Boosting = TUNED) -> str:
+    """Where the model of a training set and settings is kept: other data has another name."""
+    text = f"{name} {sorted(asdict(settings).items())} {MODEL_FEATURES}"
+    return f"{shared_folder(spark)}/tuned-{hashlib.md5(text.encode()).hexdigest()}"
 
-def saved_or_trained(matrix: DataFrame, settings: Boosting = TUNED) -> PipelineModel:
-    """The model that was saved for exactly these rows and settings, or a new one, then saved."""
-    path = saved_path(matrix, settings)
+
+def saved_or_trained(matrix: DataFrame, settings: Boosting = TUNED, name: str | None = None) -> PipelineModel:
+    """The model that was saved for this training set and settings, or a new one, then saved.
+
+    ``name`` tells the training set; without one its rows do.
+    """
+    path = saved_path(matrix.sparkSession, name or fingerprint(matrix), settings)
     # The stages are written last.
     if not folder_exists(matrix.sparkSession, f"{path}/stages"):
         model, _ = train_tuned(matrix, settings)

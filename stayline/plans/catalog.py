@@ -41,6 +41,8 @@ SCORECARD = {
     "contract_one_year": -310,
 }
 
+SOURCES = ("customer", "orders")  # what the customers are derived from
+
 SCALED = ["tenure", "monthly_charges", "total_charges", "avg_monthly_bill"]
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,8 +58,8 @@ def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _tuned(spark: SparkSession, folder: str) -> PipelineModel:
-    """The tuned model of these customers: loaded if it was saved for the same rows, else trained."""
-    return modeling.saved_or_trained(_matrix(spark, folder))
+    """The tuned model of these customers: loaded if it was saved for the same files, else trained."""
+    return modeling.saved_or_trained(_matrix(spark, folder), name=modeling.source_name(spark, folder, SOURCES))
 
 
 def _explained(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,7 +161,7 @@ def gbt_train(spark: SparkSession, folder: str) -> DataFrame:
     """Trains anew each time, with the library's settings, and saves the model for the other queries."""
     matrix = _matrix(spark, folder)
     model, report = modeling.train_tuned(matrix)
-    modeling.save_model(model, modeling.saved_path(matrix))
+    modeling.save_model(model, modeling.saved_path(spark, modeling.source_name(spark, folder, SOURCES)))
     names = ["model", "trees", "train_rows", "validation_rows", "test_rows"]
     scores = ["accuracy", "precision", "recall", "f1", "roc_auc"]
     return spark.createDataFrame(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.rules import DECISION_THRESHOLD
@@ -13,6 +13,7 @@ from stayline.operators.features import model_matrix
 from stayline.operators.modeling import probability
 from stayline.operators.quality import enforce_sound
 from stayline.operators.scoring import assemble, ranked
+from stayline.session import keep_table
 
 
 def training_matrix(raw: DataFrame) -> DataFrame:
@@ -44,15 +45,15 @@ def score(
 ) -> DataFrame:
     """One published row per customer that survives cleaning, most likely leaver first.
 
-    The sort comes before the explanation: it moves the numeric matrix instead of reason texts,
-    and its sampling pass does not explain every customer twice.
+    The sort comes before the explanation: it moves the numeric matrix instead of reason texts. What it
+    sorts is stored first, so its sampling reads probabilities, and cleaning, features and model run once.
     """
     cleaned = clean(raw, require_label=False, check=False)
     if check:
         cleaned = enforce_sound(cleaned, None)
     scored = with_probability(model_matrix(cleaned), model)
     if order:
-        scored = ranked(scored)
+        scored = ranked(keep_table(scored, "scored"))
     return assemble(explained(scored, model, tables), threshold)
 
 
@@ -69,3 +70,15 @@ def explain_one(
         raise KeyError(f"no customer {customer_id}")
     rows = matrix.sparkSession.createDataFrame(one, matrix.schema)
     return explain_rows(explained(with_probability(rows, model), model, tables), top)
+
+
+def explain_stored(
+    spark: SparkSession,
+    table: str,
+    model: PipelineModel,
+    customer_id: str,
+    top: int = 8,
+    tables: LeafTables | None = None,
+) -> DataFrame:
+    """``explain_one`` from a matrix stored in buckets by customer: one bucket is read, whatever the table's size."""
+    return explain_one(spark.table(table), model, customer_id, top, tables)

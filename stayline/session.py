@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "stayline", **conf: str) -> SparkSession:
@@ -45,6 +46,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def keep_table(frame: DataFrame, name: str) -> DataFrame:
+    """Writes the frame to the shared folder and reads it back: what comes after does not compute it again.
+
+    The tables of an application lie in one folder, ``kept-<application>``, which may be deleted once it has ended.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/kept-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Deletes a folder that this library has written for its own use."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -54,3 +66,16 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def files_below(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Path, size and time of change (milliseconds) of every file in a folder and below; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found, out = system.listFiles(path, True), []
+    while found.hasNext():
+        status = found.next()
+        out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return out

@@ -222,6 +222,14 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return conform(versions.read_current(spark, path, CHURN_PREDICTIONS), CHURN_PREDICTIONS)
 
 
+def store_matrix_bucketed(matrix: DataFrame, table: str, buckets: int) -> None:
+    """As a catalog table, hashed and sorted by customer: looking one up reads one bucket, and of that
+    the row groups whose ids span the one asked for."""
+    matrix.repartition(buckets, "customer_id").write.mode("overwrite").bucketBy(
+        buckets, "customer_id"
+    ).sortBy("customer_id").saveAsTable(table)
+
+
 def store_customers_bucketed(df: DataFrame, table: str, buckets: int) -> None:
     """As a catalog table, hashed and sorted by customer: joins with bucketed runs do not shuffle."""
     conform(df, T.StructType(CUSTOMERS.fields[:21])).repartition(buckets, "customer_id").write.mode(

@@ -18,29 +18,19 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stayline.session import delete_folder, folder_exists
+from stayline.session import delete_folder, files_below, folder_exists
 
 DATA, MARKERS = "_versions", "_published"
 
 
-def _files(spark: SparkSession, folder: str, recursive: bool = True) -> Iterable[tuple[str, int]]:
-    """Path below the folder and time of change (milliseconds) of every file."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        return []
-    found, out = system.listFiles(path, recursive), []
-    root = system.getFileStatus(path).getPath().toString().rstrip("/") + "/"
-    while found.hasNext():
-        status = found.next()
-        out.append((status.getPath().toString().removeprefix(root), status.getModificationTime()))
-    return out
+def _files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Path below the folder and time of change of every file."""
+    below = f"/{folder.rstrip('/').rpartition('/')[2]}/"
+    return [(name.rpartition(below)[2], changed) for name, _, changed in files_below(spark, folder)]
 
 
 def _markers(spark: SparkSession, path: str) -> dict[str, list[tuple[int, str, int]]]:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.operators import explain, modeling
+from stayline.operators import boosting, explain, modeling
 from stayline.plans import pipeline
 from stayline.schemas import MODEL_FEATURES
 from stayline.sources.derived import raw_subscribers
@@ -26,30 +26,32 @@ def trained(spark, tiny):
 
 
 def test_best_round():
-    assert modeling.best_round([0.1, 0.2, 0.3], 2) == (3, False)
-    assert modeling.best_round([0.1, 0.5, 0.5, 0.4, 0.9], 2) == (2, True)
-    assert modeling.best_round([0.7], 5) == (1, False)
+    assert boosting.best_round([0.1, 0.2, 0.3], 2) == (3, False)
+    assert boosting.best_round([0.1, 0.5, 0.5, 0.4, 0.9], 2) == (2, True)
+    assert boosting.best_round([0.7], 5) == (1, False)
 
 
 def test_the_model_is_cut_to_the_best_area(spark, trained):
     """The areas are those of the model's first trees, and no more trees are grown than patience asks for."""
-    matrix, model, _ = trained
+    matrix, _, _ = trained
     train = modeling.split_frames(matrix).filter("NOT is_test")
+    table = modeling.bin_table(train)
     _, pos_weight = modeling.class_weights(train.filter("NOT is_validation"))
-    train = train.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(1.0))
+    rows = table.rows.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(1.0))
     settings = modeling.Boosting(trees=30, depth=3, rate=0.2, patience=4)
-    valid = train.filter("is_validation")
-    trees, areas = modeling.grow(train.filter("NOT is_validation"), valid, settings, modeling.SEED)
-    best, _ = modeling.best_round(areas, settings.patience)
-    assert len(trees) == len(areas) <= best + settings.patience + modeling.CHUNK
+    trees, areas = boosting.grow(rows.filter("NOT is_validation"), rows.filter("is_validation"), table.cuts, settings, modeling.SEED)
+    best, _ = boosting.best_round(areas, settings.patience)
+    assert len(trees) == len(areas) <= best + settings.patience + boosting.CHUNK
+    model = modeling.train_boosted(train, settings, table=table)
+    assert model.stages[-1].getNumTrees == best
     naive = []
-    for n in range(1, min(len(trees), 8) + 1):
-        first = modeling._as_model(spark, trees[:n], settings.rate)
-        scored = first.transform(valid).select("label", F.round(modeling.probability(), 4).alias("score"))
-        pairs = scored.collect()
+    for n in sorted({1, 3, best}):
+        first = modeling.PipelineModel([modeling._features(), boosting.as_mllib(spark, trees[:n], table.cuts, 3)])
+        pairs = first.transform(train.filter("is_validation")).select("label", modeling.probability().alias("score")).collect()
         pos, neg = ([r["score"] for r in pairs if r["label"] == k] for k in (1, 0))
         naive.append(sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg)))
-    assert areas[: len(naive)] == pytest.approx(naive, abs=1e-9)
+        assert areas[n - 1] == pytest.approx(naive[-1], abs=1e-9)
+    assert len(model.stages[-1].trees) == best
 
 
 def test_a_saved_model_is_loaded_for_the_same_rows_only(spark, trained, monkeypatch):
@@ -59,7 +61,60 @@ def test_a_saved_model_is_loaded_for_the_same_rows_only(spark, trained, monkeypa
     again = modeling.saved_or_trained(matrix.repartition(3), SMALL)
     assert first.stages[-1].toDebugString.split("\n")[1:] == again.stages[-1].toDebugString.split("\n")[1:]
     other = matrix.withColumn("tenure", F.col("tenure") + 1)
-    assert modeling.fingerprint(other, SMALL) != modeling.fingerprint(matrix, SMALL)
+    assert modeling.fingerprint(other) != modeling.fingerprint(matrix)
+
+
+def test_a_model_is_named_by_the_files_of_its_training_set(spark, trained, tmp_path, monkeypatch):
+    import shutil
+
+    matrix, _, _ = trained
+    (tmp_path / "t.parquet").write_bytes(b"x")
+    name = modeling.source_name(spark, str(tmp_path), ["t"])
+    assert name == modeling.source_name(spark, str(tmp_path), ["t"])
+    modeling.saved_or_trained(matrix, SMALL, name)
+    monkeypatch.setattr(modeling, "train_tuned", lambda *a: pytest.fail("trained again"))
+    monkeypatch.setattr(modeling, "fingerprint", lambda *a: pytest.fail("the rows were read"))
+    modeling.saved_or_trained(matrix, SMALL, name)
+    shutil.copy(tmp_path / "t.parquet", tmp_path / "u.parquet")
+    (tmp_path / "t.parquet").write_bytes(b"xy")
+    assert modeling.source_name(spark, str(tmp_path), ["t"]) != name != modeling.source_name(spark, str(tmp_path), ["u"])
+
+
+def test_the_nodes_of_a_loaded_model_are_read_where_it_lies(spark, trained, tmp_path, monkeypatch):
+    _, model, _ = trained
+    modeling.save_model(model, str(tmp_path / "model"))
+    again = modeling.load_model(str(tmp_path / "model"))
+    expected = explain.saved_nodes(spark, model.stages[-1])
+    monkeypatch.setattr(type(again.stages[-1]), "write", lambda self: pytest.fail("saved again"))
+    assert explain.saved_nodes(spark, again.stages[-1]) == expected
+
+
+def test_one_customer_is_looked_up_in_one_bucket(spark, trained):
+    from stayline.sources import tables
+
+    matrix, model, _ = trained
+    try:
+        # A scan that no join needs in buckets prunes them without saying so.
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+        spark.sql("DROP TABLE IF EXISTS matrix_bucketed")
+        tables.store_matrix_bucketed(matrix, "matrix_bucketed", 8)
+        plan = spark.table("matrix_bucketed").filter("customer_id = 'CUST-00000011'")._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 1 out of 8" in plan
+        found = pipeline.explain_stored(spark, "matrix_bucketed", model, "CUST-00000011")
+        assert sorted(found.collect()) == sorted(pipeline.explain_one(matrix, model, "CUST-00000011").collect())
+        with pytest.raises(KeyError):
+            pipeline.explain_stored(spark, "matrix_bucketed", model, "nobody")
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        spark.sql("DROP TABLE IF EXISTS matrix_bucketed")
+
+
+def test_scoring_evaluates_the_model_once(spark, tiny, trained):
+    """The sort and its sampling read stored probabilities: no model in the plan above the stored table."""
+    _, model, _ = trained
+    ranked = pipeline.score(raw_subscribers(spark, tiny), model)
+    assert "rangepartitioning" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert ranked.inputFiles() and all("/scored-" in name for name in ranked.inputFiles())
 
 
 def test_reports_of_a_trained_model(trained):
