@@ -30,16 +30,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.store import keep
+from stayline.llm.store import keep, small_batches
 
 K = 20
 BLOCK = 4096  # documents of an index block
 QUERY_TERMS = 1 << 17  # term occurrences in a block of queries, about; a longer query has a block to itself
 PAIRS = 1 << 13  # pairs of a block of queries that have lists; the terms of further ones are bounded singly
-FIRST_BLOCKS = 4  # blocks the first scores to beat are taken from
+FIRST_BLOCKS = 4  # the first scores to beat are taken from the first block of so many tasks
 SLICE_BYTES = 1 << 22  # of a long text, what is cut into terms at once
 
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -118,7 +119,7 @@ class Queries:
 # --- the index -------------------------------------------------------------------------------
 
 _INDEX = (
-    "docs array<long>, begin array<int>, doc array<int>, impact array<long>, most array<long>,"
+    "part int, nth int, docs array<long>, begin array<int>, doc array<int>, impact array<long>, most array<long>,"
     " pair_begin array<int>, pair_doc array<int>, joint array<long>"
 )
 
@@ -271,7 +272,7 @@ def occurrences(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                 names=["doc_id", "n", "terms", "tfs"],
             )
 
-    return rows.mapInArrow(count, "doc_id long, n long, terms array<int>, tfs array<long>")
+    return small_batches(rows).mapInArrow(count, "doc_id long, n long, terms array<int>, tfs array<long>")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,18 +305,20 @@ def build_index(rows: DataFrame, shared) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, weights, n_docs, n_terms = shared.value
-        for some in _blocks(batches):
+        part = TaskContext.get().partitionId()
+        for nth, some in enumerate(_blocks(batches)):
             block = build_block(some, weights, n_docs, n_terms, queries.pairs)
             kinds = dict.fromkeys(("begin", "doc", "pair_begin", "pair_doc"), pa.int32())
-            columns = [pa.ListArray.from_arrays([0, len(v)], pa.array(v).cast(kinds.get(n, pa.int64()))) for n in names for v in [getattr(block, n)]]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            lists = [pa.array(getattr(block, n)).cast(kinds.get(n, pa.int64())) for n in names[2:]]
+            place = [pa.array([part], pa.int32()), pa.array([nth], pa.int32())]
+            yield pa.RecordBatch.from_arrays(place + [pa.ListArray.from_arrays([0, len(v)], v) for v in lists], names=names)
 
     return rows.mapInArrow(build, _INDEX)
 
 
 def _read_blocks(batch: pa.RecordBatch) -> Iterator[Block]:
     for i in range(batch.num_rows):
-        found = [c[i].values for c in batch.columns]
+        found = [c[i].values for c in batch.columns[2:]]
         yield Block(found[0], *(v.to_numpy(zero_copy_only=False).astype(np.int64, copy=False) for v in found[1:]))
 
 
@@ -381,7 +384,8 @@ def _search_all(docs: DataFrame, texts: list[str | None], k: int) -> DataFrame:
     least = [0] * len(texts)
     index = keep(build_index(rows.where("size(terms) > 0"), shared), "lexical-index")
     # k documents that reach a score show that the k-th best of all reaches it too.
-    first = _top(_search(index.limit(FIRST_BLOCKS), shared, least, k), k)
+    some = index.where((F.col("part") < FIRST_BLOCKS) & (F.col("nth") == 0))
+    first = _top(_search(some, shared, least, k), k)
     for r in first.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect():
         least[r["query"]] = r["least"]
     return _top(_search(index, shared, least, k), k)
