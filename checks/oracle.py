@@ -450,7 +450,7 @@ def oracle_sql() -> dict[str, str]:
             "telco_predictions", f"SELECT {run_key}, {rule} AS {column} FROM telco_predictions"
         )
 
-    return {
+    sql = {
         "fix_zero_total": customers(
             "SELECT customer_id, tenure, CASE WHEN tenure = 0 THEN NULL ELSE total_charges END"
             " AS total_charges"
@@ -757,3 +757,23 @@ def oracle_sql() -> dict[str, str]:
             WHERE {known} GROUP BY p.run_date, p.model_version""",
         ),
     }
+    # Reports from sums per run, and what can be said of the trained model's results without it.
+    for name, same in (("daily_summary", "view_daily_summary"), ("weekly_trend", "report_weekly_trend"), ("model_tracking", "report_model_tracking")):
+        sql[f"{name}_from_sums"] = sql[same]
+    names, values = (", ".join(f(c) for c in MODEL_FEATURES) for f in ("'{}'".format, "CAST({} AS DOUBLE)".format))
+    pairs = f"SELECT customer_id, unnest([{names}]) AS feature, unnest([{values}]) AS value FROM matrix"
+    test = "FROM sides WHERE side = 'test'"
+    support = {"'Stay'": "label = 0", "'Churn'": "label = 1", "'accuracy'": "true", "'macro avg'": "true", "'weighted avg'": "true"}
+    sql["shap_pair_values"] = over("matrix", f"SELECT customer_id, feature, value, true AS has_shap FROM ({pairs})")
+    sql["shap_global_features"] = over("matrix", f"SELECT DISTINCT feature, true AS is_magnitude FROM ({pairs})")
+    sql["gbt_confusion_rows"] = over("sides", f"SELECT label, COUNT(*) AS test_rows {test} GROUP BY label")
+    sql["gbt_class_support"] = over(
+        "sides",
+        " UNION ALL ".join(f"SELECT {name} AS class, COUNT(*) AS support, true AS sound {test} AND {which}" for name, which in support.items()),
+    )
+    sql["score_consistency"] = over(
+        "matrix",
+        """SELECT customer_id, true AS tier_agrees, true AS prediction_agrees, true AS action_agrees,
+          3 AS reasons FROM matrix""",
+    )
+    return sql

@@ -13,30 +13,42 @@ CELLS = 4096  # of scores between 0 and 1
 
 
 def outcomes(predictions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Scored rows with a known outcome."""
+    """Scores with a known outcome, counted: ``n`` rows of a customer with equal version, score and prediction.
+
+    They are counted before the join, so a customer with a third of all rows reaches it as few lines, and all
+    metrics below work on counts. A frame without ``n`` counts each row once.
+    """
     known = customers.filter(F.col("churn").isNotNull()).select(
         "customer_id", F.when(F.col("churn") == "Yes", 1).otherwise(0).alias("label")
     )
-    return predictions.select(
+    counted = predictions.groupBy(
         "customer_id",
-        "run_date",
         "model_version",
         F.col("churn_prediction").alias("prediction"),
         F.col("churn_probability").alias("score"),
-    ).join(known, "customer_id")
+    ).agg(F.count("*").alias("n"))
+    return counted.join(known, "customer_id")
+
+
+def _often(rows: DataFrame) -> Column:
+    return F.col("n") if "n" in rows.columns else F.lit(1)
 
 
 def _zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def _cells() -> dict[str, Column]:
-    hit, says = F.col("label") == 1, F.col("prediction") == 1
+def _cells(rows: DataFrame) -> dict[str, Column]:
+    hit, says, often = F.col("label") == 1, F.col("prediction") == 1, _often(rows)
+
+    def total(which: Column) -> Column:
+        return F.sum(F.when(which, often).otherwise(0))
+
     return {
-        "tp": count_if(hit & says),
-        "fp": count_if(~hit & says),
-        "tn": count_if(~hit & ~says),
-        "fn": count_if(hit & ~says),
+        "tp": total(hit & says),
+        "fp": total(~hit & says),
+        "tn": total(~hit & ~says),
+        "fn": total(hit & ~says),
     }
 
 
@@ -46,7 +58,7 @@ def _f1(precision: Column, recall: Column) -> Column:
 
 def metrics(rows: DataFrame, by: Sequence[str] = ("model_version",), digits: int = 4) -> DataFrame:
     """Accuracy, and precision, recall and F1 of the positive class; 0 where undefined."""
-    counted = rows.groupBy(*by).agg(*[cell.alias(name) for name, cell in _cells().items()])
+    counted = rows.groupBy(*by).agg(*[cell.alias(name) for name, cell in _cells(rows).items()])
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     return counted.select(
         *by,
@@ -68,9 +80,10 @@ def roc_auc(
     Rows are first counted per score. The running count of negatives goes over cells of scores first
     and then within each cell, so no task sees all scores of a group.
     """
+    often = _often(rows)
     score = F.col("score") if score_digits is None else F.round("score", score_digits)
     per_score = rows.groupBy(*by, score.alias("score")).agg(
-        F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")
+        F.sum(F.col("label") * often).alias("pos"), F.sum((1 - F.col("label")) * often).alias("neg")
     )
     per_score = per_score.withColumn("cell", F.floor(F.col("score").cast("double") * CELLS))
     cells = per_score.groupBy(*by, "cell").agg(F.sum("neg").alias("all_neg"))
@@ -92,7 +105,7 @@ def roc_auc(
 
 def confusion(rows: DataFrame, by: Sequence[str] = ("model_version",)) -> DataFrame:
     """One row per actual label, one column per prediction."""
-    wide = rows.groupBy(*by, "label").pivot("prediction", [0, 1]).count()
+    wide = rows.groupBy(*by, "label").pivot("prediction", [0, 1]).agg(F.sum(_often(rows)).cast("long"))
     return wide.select(
         *by,
         "label",
@@ -108,7 +121,7 @@ def class_report(
 
     Everything after the four cell counts is arithmetic on one row per group.
     """
-    counted = rows.groupBy(*by).agg(*[cell.alias(name) for name, cell in _cells().items()])
+    counted = rows.groupBy(*by).agg(*[cell.alias(name) for name, cell in _cells(rows).items()])
     double = {c: F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn")}
 
     def scores(hit: Column, false: Column, miss: Column) -> tuple[Column, Column, Column, Column]:

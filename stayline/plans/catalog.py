@@ -21,8 +21,9 @@ from stayline.functions.rules import decide, recommended_action, risk_tier
 from stayline.operators import cleaning, evaluation, explain, explore, features, modeling, quality
 from stayline.operators import scoring
 from stayline.operators.split import stratified_split
-from stayline.plans import pipeline, reports
+from stayline.plans import daily, pipeline, reports
 from stayline.schemas import MODEL_FEATURES, REQUIRED, RUN_KEY
+from stayline.session import keep_table
 from stayline.sources.derived import AS_OF, predictions, raw_subscribers, subscribers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,7 +135,7 @@ def feat_count_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_stratified(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = _matrix(spark, folder).select("customer_id", "label").filter("label IS NOT NULL")
+    labelled = keep_table(_matrix(spark, folder).select("customer_id", "label").filter("label IS NOT NULL"), "labelled")
     sides = stratified_split(labelled, modeling.PARTS)
     side = F.when(F.col("is_test"), "test").when(F.col("is_validation"), "validation").otherwise("train")
     return sides.select("customer_id", "label", side.alias("side"))
@@ -148,7 +149,9 @@ def scale_zscore(spark: SparkSession, folder: str) -> DataFrame:
 
 def scale_train(spark: SparkSession, folder: str) -> DataFrame:
     """Both sides of the split, scaled by the statistics of the training side."""
-    sides = stratified_split(_matrix(spark, folder).filter("label IS NOT NULL"))
+    # The cuts and the statistics look at the rows several times, their source once.
+    labelled = _matrix(spark, folder).filter("label IS NOT NULL").select("customer_id", "label", *SCALED)
+    sides = stratified_split(keep_table(labelled, "labelled"))
     fitted = modeling.scaler(sides.filter("NOT is_test"), SCALED)
     return modeling.scale(sides, fitted, digits=4).select("customer_id", "is_test", *SCALED)
 
@@ -265,6 +268,55 @@ def explain_customer(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.explain_one(matrix, model, first["customer_id"])
 
 
+def shap_pair_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Which pairs there are, and that none lacks its contribution."""
+    pairs = shap_pairs(spark, folder)
+    return pairs.select("customer_id", "feature", "value", F.col("shap").isNotNull().alias("has_shap"))
+
+
+def shap_global_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Which features are ranked, and that each mean is one of magnitudes."""
+    ranked = shap_global(spark, folder)
+    return ranked.select("feature", (F.col("mean_abs_shap") >= 0).alias("is_magnitude"))
+
+
+def gbt_confusion_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows per label, as the cells of the trained model add up to them."""
+    cells = _on_test_rows(1)(spark, folder)
+    return cells.select("label", (F.col("predicted_stay") + F.col("predicted_churn")).alias("test_rows"))
+
+
+def gbt_class_support(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the trained model's report, their support and that all rates lie between 0 and 1."""
+    lines = _on_test_rows(0)(spark, folder)
+    sound = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return lines.select("class", "support", (sound[0] & sound[1] & sound[2]).alias("sound"))
+
+
+def score_consistency(spark: SparkSession, folder: str) -> DataFrame:
+    """Per scored customer: whether tier, prediction and action agree with the published probability.
+
+    Bands look at the raw probability, so half a unit of its fourth digit is allowed for.
+    """
+    p, half = F.col("churn_probability").cast("double"), 5e-5
+    low = {"LOW": 0.0, "MEDIUM": 0.40, "HIGH": 0.65}
+    high = {"LOW": 0.40, "MEDIUM": 0.65, "HIGH": 1.0}
+
+    def within(bounds: dict[str, float]) -> Column:
+        return F.element_at(F.create_map(*[c for k, v in bounds.items() for c in (F.lit(k), F.lit(v))]), F.col("risk_tier"))
+
+    decided = F.when(p >= 0.5 + half, 1).when(p <= 0.5 - half, 0).otherwise(F.col("churn_prediction"))
+    action = recommended_action(p)
+    near = (F.abs(p - 0.75) <= half) | (F.abs(p - 0.55) <= half) | (F.abs(p - 0.40) <= half)
+    return score_customers(spark, folder).select(
+        "customer_id",
+        ((p >= within(low) - half) & (p <= within(high) + half)).alias("tier_agrees"),
+        (F.col("churn_prediction") == decided).alias("prediction_agrees"),
+        (near | (F.col("recommended_action") == action)).alias("action_agrees"),
+        F.size(F.array_distinct(F.transform(F.array("top_reason_1", "top_reason_2", "top_reason_3"), lambda r: F.split_part(r, F.lit(" "), F.lit(1))))).alias("reasons"),
+    )
+
+
 def score_top10(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.top_at_risk(reports.of_day(predictions(spark, folder), AS_OF))
 
@@ -292,6 +344,11 @@ def _report(operator: Callable, **options) -> Query:
     )
 
 
+def _from_sums(report: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report from one row of sums per run."""
+    return lambda spark, folder: report(daily.run_sums(predictions(spark, folder), subscribers(spark, folder)))
+
+
 def _coerced(raw: DataFrame) -> DataFrame:
     return raw.select(
         "customer_id",
@@ -365,8 +422,11 @@ def catalog() -> dict[str, Query]:
         "gbt_train": gbt_train,
         "gbt_class_report": _on_test_rows(0),
         "gbt_confusion": _on_test_rows(1),
+        "gbt_class_support": gbt_class_support,
+        "gbt_confusion_rows": gbt_confusion_rows,
         "feature_importance": feature_importance,
         "score_customers": score_customers,
+        "score_consistency": score_consistency,
         "score_threshold": _rule("churn_prediction", decide),
         "risk_tier": _rule("risk_tier", risk_tier),
         "recommended_action": _rule("recommended_action", recommended_action),
@@ -378,6 +438,8 @@ def catalog() -> dict[str, Query]:
         "score_top10": score_top10,
         "shap_global": shap_global,
         "shap_pairs": shap_pairs,
+        "shap_global_features": shap_global_features,
+        "shap_pair_values": shap_pair_values,
         "explain_customer": explain_customer,
         "view_at_risk": _report(reports.at_risk_view, **today),
         "view_daily_summary": _on(predictions, reports.daily_summary),
@@ -388,4 +450,7 @@ def catalog() -> dict[str, Query]:
         "report_segments": _report(reports.segments, **today),
         "report_retention_roi": _report(reports.retention_roi, **today),
         "report_model_tracking": _report(reports.model_tracking),
+        "daily_summary_from_sums": _from_sums(daily.daily_summary),
+        "weekly_trend_from_sums": _from_sums(daily.weekly_trend),
+        "model_tracking_from_sums": _from_sums(daily.model_tracking),
     }

@@ -136,7 +136,8 @@ def export_csv(df: DataFrame, path: str, key: str = "customer_id") -> None:
     df.orderBy(key).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _run_of(spark: SparkSession, run_date: date | None, model_version: str) -> tuple[date, str]:
+def run_of(spark: SparkSession, run_date: date | None, model_version: str) -> tuple[date, str]:
+    """The run's day, today if left out, and its model version, which names a folder."""
     if not re.fullmatch(r"[A-Za-z0-9._-]+", model_version):
         raise ValueError(f"a model version is made of letters, digits, dots, _ and -: {model_version}")
     return run_date or spark.sql("SELECT current_date()").first()[0], model_version
@@ -192,7 +193,7 @@ def publish_run(
     them, and publishing it without rows leaves it without rows.
     """
     spark = scores.sparkSession
-    day, version = _run_of(spark, run_date, model_version)
+    day, version = run_of(spark, run_date, model_version)
     part = f"run_date={day}/model_version={version}"
     staged = versions.stage(_run_rows(scores, day, version).drop(*RUN_PARTITIONS), path, part)
     try:
@@ -249,7 +250,7 @@ def publish_run_bucketed(
     A bucket holds whole customers. A run has one row per customer, so none of them is large.
     """
     spark = scores.sparkSession
-    day, version = _run_of(spark, run_date, model_version)
+    day, version = run_of(spark, run_date, model_version)
     body = [c for c in CHURN_PREDICTIONS.names if c not in RUN_PARTITIONS]
     rows = _run_rows(scores, day, version)
     if not duplicate_keys(rows, RUN_KEY).isEmpty():

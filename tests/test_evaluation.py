@@ -93,3 +93,24 @@ def test_undefined_metrics_are_zero(spark):
 def test_class_weight(spark):
     rows = spark.createDataFrame([(1,), (0,), (0,), (0,), (None,)], "label int")
     assert tuple(evaluation.class_weight(rows).first()) == (1, 3, 3.0)
+
+
+def test_a_hot_customer_reaches_the_join_once_per_score(spark):
+    """Rows are counted on both sides of the exchange before they meet their outcome."""
+    rows = [("hot", day, "v1", 0.25, 0) for day in range(300)] + [("hot", 400, "v1", 0.75, 1), ("b", 1, "v1", 0.5, 1), ("c", 1, "v1", 0.5, 1)]
+    scores = spark.createDataFrame(rows, "customer_id string, run_date int, model_version string, churn_probability double, churn_prediction int")
+    people = spark.createDataFrame([("hot", "No"), ("b", "Yes"), ("c", None)], "customer_id string, churn string")
+    found = evaluation.outcomes(scores, people)
+    assert sorted((r["customer_id"], r["score"], r["label"], r["n"]) for r in found.collect()) == [("b", 0.5, 1, 1), ("hot", 0.25, 0, 300), ("hot", 0.75, 0, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # the aggregate is below the join
+    assert [(r["tp"], r["fp"]) for r in found.groupBy("model_version").agg(*[c.alias(k) for k, c in evaluation._cells(found).items()]).collect()] == [(1, 1)]
+    assert evaluation.roc_auc(found).first()["roc_auc"] == round(300 / 301, 4)
+    assert {r["label"]: (r["predicted_stay"], r["predicted_churn"]) for r in evaluation.confusion(found).collect()} == {0: (300, 1), 1: (0, 1)}
+
+
+def test_counts_weigh_as_the_rows_they_stand_for(outcomes):
+    rows, df = outcomes
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    for metric in (evaluation.metrics, evaluation.roc_auc, evaluation.confusion, evaluation.class_report):
+        assert sorted(map(str, metric(counted).collect())) == sorted(map(str, metric(df).collect()))
