@@ -4,6 +4,10 @@ A page becomes its blocks of text in order, each with the tags, classes and ids
 few facts about its text. A two-state chain, content or not, is fitted on labelled pages by maximum
 likelihood (forward-backward, AdaGrad) and decoded by Viterbi. The labelled pages are made here from
 layouts in common use, with random words: the features never look at a word of the text.
+
+A wrapper that holds ``WIDE`` of the page's text or more says little about a block in it: its classes often
+name what the page has elsewhere (``has-sidebar``, ``comments-open``). Of such elements, and of ``PAGE_LEVEL``
+ones, only classes of one word count, those of the latter apart for every tag; of others, every word of every class.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ from pyspark.sql import functions as F
 
 from stayline.llm.store import small_batches
 
-PAGES = 500
-STEPS = 120
+PAGES = 800
+WIDE = 0.5
+STEPS = 160
 
 # HTML's elements without content, elements whose text is not text, and those that break lines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +50,8 @@ CLOSED_BY = {
     "p": BREAKS - {"br", "button", "option", "optgroup", "select", "textarea"},
 }
 BOXES = frozenset("article aside body dialog div footer form header main menu nav ol section table ul".split())
+WRAPPERS = frozenset(["html", "body", "main", "article", "div", "section"])
+PAGE_LEVEL = frozenset(["html", "body", "main", "article"])
 SCOPES = frozenset(["ul", "ol", "dl", "table", "select", "menu", "td", "th", "article", "section", "body", "div", "main", "aside"])
 
 _TOKEN = re.compile(
@@ -62,17 +69,22 @@ _PARTS = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
 class Block:
     text: str
     features: list[str]
-    link_chars: int = 0
 
 
-@dataclass
+@dataclass(eq=False)
 class _Element:
     tag: str
-    features: frozenset = frozenset()
+    above: _Element | None = None
+    names: frozenset = frozenset()  # parts of its classes and ids
+    plain: frozenset = frozenset()  # classes and ids of one part only
     silent: bool = False
     link: bool = False
     block_tag: str = "html"
-    box: frozenset = frozenset()  # tag and names of the nearest box around
+    box: _Element | None = None  # the nearest box around
+    chars: int = 0  # of text, first its own, in the end with all below
+    wide: bool = False
+    headed: bool = False  # has a main heading in it
+    features: frozenset = frozenset()
 
 
 @dataclass
@@ -84,14 +96,16 @@ class _Open:
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in order; white space in a block is one space."""
-    stack, found, now = [_Element("html")], [], _Open()
+    root = _Element("html")
+    stack, every, opened, now = [root], [root], [], _Open()
 
     def finish() -> None:
         nonlocal now
         if now.parts:
             text = " ".join("".join(now.parts).split())
             if text:
-                found.append(Block(text, _facts(text, now), now.link_chars))
+                now.at.chars += len(text)
+                opened.append((text, now))
             now = _Open()
 
     def say(text: str) -> None:
@@ -144,20 +158,16 @@ def blocks(page: str) -> list[Block]:
         attrs = m["attrs"] or m["attrs2"] or ""
         if tag in VOID or attrs.endswith("/") and tag not in BREAKS and tag not in RAW:
             continue
-        top = stack[-1]
-        own, names = {f"t:{tag}"}, set()
+        top, names, plain = stack[-1], set(), set()
         if "=" in attrs:
             for a, b, c in _NAMED.findall(attrs):
-                names.update(p.lower() for p in _PARTS.findall(a or b or c))
-            own.update(f"c:{n}" for n in names)
-        element = _Element(
-            tag,
-            top.features if own <= top.features else top.features | own,
-            top.silent or tag in SILENT,
-            top.link or tag == "a",
-            tag if tag in BREAKS else top.block_tag,
-            frozenset([f"n:{tag}", *(f"m:{n}" for n in names)]) if tag in BOXES else top.box,
-        )
+                for name in (a or b or c).split():
+                    parts = [p.lower() for p in _PARTS.findall(name)]
+                    names.update(parts)
+                    plain.update(parts if len(parts) == 1 else ())
+        element = _Element(tag, top, frozenset(names), frozenset(plain), top.silent or tag in SILENT, top.link or tag == "a", tag if tag in BREAKS else top.block_tag)
+        element.box = element if tag in BOXES else top.box
+        every.append(element)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, at)
             if not element.silent:
@@ -169,7 +179,35 @@ def blocks(page: str) -> list[Block]:
             continue
         stack.append(element)
     finish()
-    return found
+    _set_features(every)
+    return [Block(text, _facts(text, now)) for text, now in opened]
+
+
+def _set_features(every: list[_Element]) -> None:
+    """Tags and names of an element and of all above it; elements come after the ones they are in."""
+    for element in reversed(every):
+        if element.above:
+            element.above.chars += element.chars
+            element.above.headed |= element.headed or element.tag == "h1"
+    whole = every[0].chars
+    for element in every:
+        tag, element.wide = element.tag, element.chars >= WIDE * whole
+        element.wide = element.wide and tag in WRAPPERS
+        own = {f"w:{tag}" if element.wide else f"t:{tag}"}
+        if tag in PAGE_LEVEL:
+            own.update(f"w:{tag}:{n}" for n in element.plain)
+        else:
+            own.update(f"c:{n}" for n in (element.plain if element.wide else element.names))
+        above = element.above.features if element.above else frozenset()
+        element.features = above if own <= above else above | own
+
+
+def _box_facts(box: _Element | None) -> list[str]:
+    if box is None:
+        return []
+    if box.tag in PAGE_LEVEL:
+        return [f"n:{box.tag}:{box.wide}:{box.headed}", *(f"m:{box.tag}:{n}" for n in box.plain)]
+    return [f"n:{box.tag}:{box.wide}:{box.headed}", *(f"m:{n}" for n in (box.plain if box.wide else box.names))]
 
 
 def _facts(text: str, opened: _Open) -> list[str]:
@@ -178,9 +216,9 @@ def _facts(text: str, opened: _Open) -> list[str]:
     linked = opened.link_chars / max(1, len(text))
     facts = [
         *element.features,
-        *element.box,
+        *_box_facts(element.box),
         f"b:{element.block_tag}",
-        f"w:{min(5, n_words.bit_length())}",
+        f"k:{min(5, n_words.bit_length())}",
         f"l:{0 if linked < 0.2 else 1 if linked < 0.6 else 2}",
         f"e:{text[-1] in '.!?…'}",
         f"s:{text[-1] in '.!?…' and n_words > 7 and linked < 0.6}",
@@ -214,6 +252,17 @@ class _Maker:
         name = self.draw.choice((name, name, f"site-{name}", f"{name}-box", f"{name} wide", f"page_{name}"))
         return f' {self.draw.choice(("class", "class", "id"))}="{name}"'
 
+    def states(self, *names: str) -> str:
+        """Classes of a body, a wrapper or an article, which often name what the page has elsewhere."""
+        d = self.draw
+        things = ("sidebar", "comments", "comment", "menu", "nav", "header", "footer", "ads", "ad", "banner", "newsletter", "cookie", "popup", "search", "form", "widget", "related", "subscribe", "promo", "notice", "modal", "login")
+        shapes = ("has-{}", "no-{}", "with-{}", "{}-open", "{}-closed", "{}-free", "{}-left", "{}-right", "{}-fixed", "{}-enabled", "right-{}", "content-{}-wrap", "is-{}-visible", "hide-{}")
+        made = [d.choice(names)] if names and d.random() < 0.7 else []
+        made += [d.choice(shapes).format(d.choice(things)) for _ in range(d.choice((0, 1, 1, 2, 3)))]
+        made += [d.choice(("single", "single-post", "home", "post-template", "dark", "js", "hentry", "type-post", "status-publish", "category-news"))] if d.random() < 0.4 else []
+        d.shuffle(made)
+        return f' class="{" ".join(made)}"' if made else ""
+
     def links(self, n: int, mark: str = OTHER) -> str:
         items = [f'<a href="/{i}">{mark}{self.words(1, 3, False)}</a>' for i in range(n)]
         shape = self.draw.randrange(3)
@@ -239,7 +288,9 @@ class _Maker:
             self.draw.choice((f"<p>{OTHER}{self.words(low, high)}</p>", f"{OTHER}{self.words(low, high)}<br>", f"<div>{OTHER}{self.words(low, high, False)}</div>"))
             for _ in range(self.draw.randint(1, most))
         )
-        if self.draw.random() < 0.3:
+        if tag == "p":  # ends at the first block in it
+            inner = f"{OTHER}{self.words(low, high)}<br>{OTHER}{self.words(low, high)}"
+        elif self.draw.random() < 0.3:
             inner = f"<h3>{OTHER}{self.words(1, 4, False)}</h3>" + inner
         return f'<{tag} {self.draw.choice(("class", "class", "id"))}="{name}">{inner}</{tag}>'
 
@@ -251,8 +302,9 @@ class _Maker:
 
     def sidebar(self) -> str:
         if self.draw.random() < 0.6:
-            return f"<aside{self.named('sidebar', 'side', 'related', 'widget')}><p>{OTHER}{self.words(3, 30)}</p>{self.links(self.draw.randint(0, 5))}</aside>"
-        return self.prose_box(("div", "section"), ("sidebar", "side", "widget", "related", "recommended", "more", "trending", "popular"))
+            prose = "".join(f"<p>{OTHER}{self.words(3, 30)}</p>" for _ in range(self.draw.choice((1,) * 11 + (25,))))
+            return f"<aside{self.named('sidebar', 'side', 'related', 'widget')}>{prose}{self.links(self.draw.randint(0, 5))}</aside>"
+        return self.prose_box(("div", "section"), ("sidebar", "side", "widget", "related", "recommended", "more", "trending", "popular"), most=self.draw.choice((3,) * 11 + (25,)))
 
     def form(self) -> str:
         return (
@@ -264,7 +316,7 @@ class _Maker:
     def comments(self) -> str:
         tag, name = self.draw.choice(("section", "div", "ol", "ul", "div")), self.draw.choice(("comments", "comment-list", "reader-comments", "discussion", "replies", "responses", "comment"))
         item = "li" if tag in ("ol", "ul") else self.draw.choice(("div", "article", "p"))
-        each = [f"<{item}{self.named('comment', 'reply')}>{'<p>' if item != 'p' else ''}{OTHER}{self.words(2, 60)}{'</p>' if item != 'p' else ''}</{item}>" for _ in range(self.draw.randint(1, 5))]
+        each = [f"<{item}{self.named('comment', 'reply')}>{'<p>' if item != 'p' else ''}{OTHER}{self.words(2, 60)}{'</p>' if item != 'p' else ''}</{item}>" for _ in range(self.draw.randint(1, self.draw.choice((5,) * 11 + (30,))))]
         heading = f"<h2>{OTHER}{self.words(1, 3, False)}</h2>" if self.draw.random() < 0.5 and tag in ("div", "section") else ""
         return f'<{tag} {self.draw.choice(("class", "id"))}="{name}">{heading}{"".join(each)}</{tag}>'
 
@@ -309,8 +361,12 @@ class _Maker:
             body = (f"<header>{head}</header>" if d.random() < 0.12 else head) + body
         tag = d.choice(("article", "article", "article", "main", "div", "div", "section"))
         named = self.named("content", "article", "post", "entry", "story", "main", "body", "text") if tag != "article" or d.random() < 0.4 else ""
+        if d.random() < 0.35:
+            named = self.states("content", "article", "post", "entry", "story", "main") if tag != "section" else named
+        if d.random() < 0.04:
+            return body  # right below the body or a wrapper
         body = f"<{tag}{named}>{body}</{tag}>"
-        return f"<main>{body}</main>" if d.random() < 0.2 and tag != "main" else body
+        return f"<main{self.states() if d.random() < 0.5 else ''}>{body}</main>" if d.random() < 0.2 and tag != "main" else body
 
     def page(self) -> str:
         d = self.draw
@@ -319,9 +375,11 @@ class _Maker:
         d.shuffle(before)
         d.shuffle(after)
         body = "".join([*before, self.article(), *after, self.footer() if d.random() < 0.75 else ""])
-        if d.random() < 0.3:
-            body = f'<div class="{d.choice(("wrapper", "container", "page", "layout"))}">{body}</div>'
-        return f"<!DOCTYPE html><html><head><title>x</title><style>p{{}}</style></head><body>{body}</body></html>"
+        if d.random() < 0.4:
+            outer = f' class="{d.choice(("wrapper", "container", "page", "layout"))}"' if d.random() < 0.5 else self.states("wrapper", "container", "page", "layout", "site")
+            body = f"<div{outer}>{body}</div>"
+        states = self.states() if d.random() < 0.5 else ""
+        return f"<!DOCTYPE html><html{self.states() if d.random() < 0.2 else ''}><head><title>x</title><style>p{{}}</style></head><body{states}>{body}</body></html>"
 
 
 def labelled_pages(count: int = PAGES, seed: int = 5) -> list[str]:
@@ -331,17 +389,9 @@ def labelled_pages(count: int = PAGES, seed: int = 5) -> list[str]:
 
 def labelled_blocks(page: str) -> tuple[list[list[str]], list[int]]:
     """Features and labels of a page whose texts carry marks; a block's first mark counts."""
-    features, labels = [], []
-    for block in blocks(page):
-        mark = re.search(f"[{CONTENT}{OTHER}]", block.text)
-        if mark:
-            plain = re.sub(f"[{CONTENT}{OTHER}]", "", block.text)
-            opened = _Open(link_chars=block.link_chars)
-            around = frozenset(f for f in block.features if f[:2] in ("t:", "c:", "n:", "m:"))
-            opened.at = _Element("", around, block_tag=next(f[2:] for f in block.features if f[:2] == "b:"))
-            features.append(_facts(plain, opened))
-            labels.append(int(mark[0] == CONTENT))
-    return features, labels
+    marks = [re.search(f"[{CONTENT}{OTHER}]", block.text) for block in blocks(page)]
+    plain = blocks(re.sub(f"[{CONTENT}{OTHER}]", "", page))
+    return [b.features for b in plain], [int(m[0] == CONTENT) for m in marks]
 
 
 # --- the chain --------------------------------------------------------------------------------

@@ -87,3 +87,43 @@ def test_a_head_without_its_end_tag(chain):
     assert [b.text for b in blocks("<html><head><title>T</title><span>a</span>")] == ["a"]
     assert [b.text for b in blocks("<head><noscript><div>x</div></noscript><title>T</title></head><body>y")] == ["y"]
     assert [b.text for b in blocks("<head><noscript><div>x</div><body>y")] == ["y"]
+
+
+STATES = ["has-sidebar", "post comments-open has-sidebar", "menu-open", "ad-free", "no-ads newsletter-popup", "single-post comment-form", "sidebar-right", "content-sidebar-wrap", "header-fixed footer-visible", "with-comments cookie-consent"]
+
+
+@pytest.mark.parametrize("states", STATES)
+def test_classes_of_body_wrapper_and_article_lose_no_article(chain, states):
+    """What they name is elsewhere on the page."""
+    prose = "<h1>A title</h1><p>First paragraph with quite enough words to be read.</p><p>Second one, which goes on for a while.</p>"
+    want = "A title First paragraph with quite enough words to be read. Second one, which goes on for a while."
+    around = '<nav><a href=/>Home</a> <a href=/a>About us</a></nav>{}<aside class="sidebar"><p>Other things to read here.</p></aside><section class="comments"><p>I liked it very much, thanks for it.</p></section><footer>&copy; 2020 Us</footer>'
+    for page in (
+        f'<body class="{states}">{prose}</body>',
+        f'<body class="{states}">{around.format(f"<article>{prose}</article>")}</body>',
+        f'<body><div class="{states}">{around.format(f"<article>{prose}</article>")}</div></body>',
+        f'<body>{around.format(f"""<article class="{states}">{prose}</article>""")}</body>',
+        f'<body class="{states}">{around.format(f"""<main class="{states}"><article class="{states}">{prose}</article></main>""")}</body>',
+    ):
+        assert extract(page, chain) == want, page
+
+
+def test_held_out_pages_with_such_classes(chain):
+    pages = [p for p in labelled_pages(600, seed=78) if any(f"-{w}" in p.split(">")[5] or f"{w}-" in p.split(">")[5] for w in ("sidebar", "comments", "menu", "ad"))]
+    wrong = total = 0
+    for page in pages or labelled_pages(100, seed=79):
+        features, labels = labelled_blocks(page)
+        found = chain.decode([htmltext.Block("", f) for f in features])
+        wrong += sum(a != bool(b) for a, b in zip(found, labels))
+        total += len(labels)
+    assert total > 100 and wrong / total < 0.01
+
+
+def test_wide_side_matters_stay_out(chain):
+    """A long comments section and a long sidebar beside a short article."""
+    talk = "".join(f"<div class='comment'><p>Reader number {i} says that all of this was said before.</p></div>" for i in range(30))
+    page = "<body><article><h1>Short</h1><p>Only one paragraph is here to read today.</p></article><section class='comments'>{}</section></body>".format(talk)
+    assert extract(page, chain) == "Short Only one paragraph is here to read today."
+    side = "".join(f"<p>Another teaser, number {i}, of something else on this site.</p>" for i in range(30))
+    page = f"<body><article><h1>Short</h1><p>Only one paragraph is here to read today.</p></article><aside class='sidebar'>{side}</aside></body>"
+    assert extract(page, chain) == "Short Only one paragraph is here to read today."
