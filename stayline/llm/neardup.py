@@ -291,12 +291,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY
 
 
 def keep_one(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """The documents, one of every group of near duplicates: the one with the smallest doc_id.
+    """The documents, one of every group of near duplicates: the one with the smallest doc_id, a missing one last.
 
-    Of rows that share a doc_id one stays; rows without a doc_id all stay.
+    Rows are told apart by their place in a stored copy, not by doc_id: rows that share a doc_id, or have
+    none, are documents of their own and are dropped only for a near duplicate. Of equal rows one stays.
     """
-    kept = near_duplicates(docs, size, similarity).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
-
-
+    place = "_neardup_place"
+    rows = keep(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), size, similarity)
+    found = found.select(F.col("doc_id").alias(place), F.col("component_id").alias("_neardup_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(place))
+    first = rows.select(place, "doc_id").join(found, place).groupBy("_neardup_group").agg(F.min(order)[place].alias(place))
+    return rows.join(first.select(place), place, "left_semi").select(docs.columns)

@@ -2,7 +2,8 @@
 
 Two first-order Markov models over the characters of tokens, one of random strings and one of
 ordinary words, are fitted on labelled samples. A run of token characters is reported when the
-log-likelihood ratio of the two is high enough; runs that overlap a pattern's span are left to it.
+log-likelihood ratio of the two is high enough, also if it has letters only; of a run that overlaps a
+pattern's span, what lies outside is judged by itself. Runs of fewer than ``SHORTEST`` characters are not.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ KINDS = ("assign", "access", "hex", "markov")
 
 SAMPLE_DOCS = 4000
 RANDOM_STRINGS = 4000
-SHORTEST = 20
+SHORTEST = 16
 LEAST_RATIO = 12.0  # natural log of the likelihood ratio
+LETTERS_RATIO = 2.6  # by character, where a run has no digit or no letter: identifiers come near it
 
 _SYMBOLS = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 _CODE = np.full(256, -1, dtype=np.int64)
@@ -150,16 +152,34 @@ def scored_runs(piece, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     both = inside[1:] & inside[:-1]
     step[1:][both] = ratio[code[:-1][both], code[1:][both]]
     total = np.concatenate([[0.0], np.cumsum(step)])
-    # The first character of a run has no predecessor in it; a secret has letters and digits.
-    high = (total[ends] - total[starts + 1] >= LEAST_RATIO) & (digit[ends] > digit[starts]) & (letter[ends] > letter[starts])
+    # The first character of a run has no predecessor in it.
+    score = total[ends] - total[starts + 1]
+    mixed = (digit[ends] > digit[starts]) & (letter[ends] > letter[starts])
+    high = (score >= LEAST_RATIO) & (letter[ends] > letter[starts]) & (mixed | (score >= LETTERS_RATIO * (ends - starts)))
     starts, ends = starts[high], ends[high]
     return starts, ends, np.searchsorted(piece.offsets, starts, side="right") - 1
 
 
-def all_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """The patterns' spans and the runs that overlap none of them, by start and kind."""
+def looks_random(run: str, ratio: np.ndarray) -> bool:
+    """Whether a run of token characters would be reported if it stood alone."""
+    return any(len(scored_runs(piece, ratio)[0]) for piece in pieces(pa.array([run])))
+
+
+def all_spans(text: str, runs: list[tuple[int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
+    """The patterns' spans, the runs that overlap none of them, and what is left of the others if it looks
+    random by itself; by start and kind."""
     base = base_spans(text)
-    extra = [(3, a, b) for a, b in runs if not any(a < end and start < b for _, start, end in base)]
+    extra = []
+    for a, b in runs:
+        over = [(start, end) for _, start, end in base if a < end and start < b]
+        if not over:
+            extra.append((3, a, b))
+            continue
+        at = a
+        for start, end in [*sorted(over), (b, b)]:
+            if start - at >= SHORTEST and looks_random(text[at:start], ratio):
+                extra.append((3, at, start))
+            at = max(at, end)
     return sorted(base + extra, key=lambda s: (s[1], s[0]))
 
 
@@ -177,7 +197,7 @@ def _scan(ratio: np.ndarray, consume):
                     at = a - begin - int(((before & 0xC0) == 0x80).sum())  # bytes to code points
                     runs.setdefault(i, []).append((at, at + b - a))
                 for i, text in enumerate(texts.slice(piece.first, len(piece)).to_pylist()):
-                    rows.append(consume(text, all_spans(text or "", runs.get(i, []))))
+                    rows.append(consume(text, all_spans(text or "", runs.get(i, []), ratio)))
                 yield consume.batch(batch.slice(piece.first, len(piece)), rows)
 
     return scan

@@ -69,3 +69,26 @@ def test_labels_other_than_0_and_1_are_left_out(spark):
     rows = [("abab", 0), ("zqzq", 1), (None, 1), ("cccc", None), ("cccc", 7)]
     ratio = secrets.fit(spark.createDataFrame(rows, "text string, label int"))
     assert ratio[0, 1] < 0 < ratio[25, 16] and ratio[2, 2] == pytest.approx(ratio[2, 3])
+
+
+def test_short_keys_and_letters_alone(ratio, spark):
+    draw = random.Random(21)
+    letters, both = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = [("".join(draw.choices(a, k=n)), (len(a), n)) for a in (letters, both) for n in (16, 17, 19, 24) for _ in range(100)]
+    plain = "getUserAccountByIdentifier HttpServletRequestWrapper MAXIMUM_NUMBER_OF_RETRIES electroencefalografista Kraftfahrzeughaftpflichtversicherung AbstractSingletonProxyFactoryBean usr/local/lib/python/site".split()
+    rows = [(i, f"prose {k} more") for i, (k, _) in enumerate(keys)] + [(5000 + i, f"prose {w} more") for i, w in enumerate(plain)]
+    found = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), ratio).collect()}
+    for kind in {k for _, k in keys}:
+        mine = [i for i, (_, k) in enumerate(keys) if k == kind]
+        assert sum(found[i] == f"markov:6:{6 + kind[1]}" for i in mine) >= (0.97 if kind[0] == 62 else 0.75) * len(mine), kind
+    assert [plain[i - 5000] for i in found if i >= 5000 and found[i]] == []
+
+
+def test_what_a_run_holds_beside_a_pattern_is_judged_by_itself(ratio, spark):
+    key, hexed = "q7Zx9kQ2vLr7Tn4Wb8Xy", "0f1e2d3c" * 4
+    rows = [(1, f"x {hexed}_{key} y"), (2, f"x {key}_{hexed} y"), (3, f"x {hexed}_of_everything y"), (4, f"x {hexed} y"), (5, f"x {hexed}_{key}_{hexed}_{key[::-1]} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans.split(",") for r in secrets.scan(docs, ratio).collect()}
+    assert spans[1] == ["hex:2:34", "markov:34:55"] and spans[2] == ["markov:2:23", "hex:23:55"]
+    assert spans[3] == spans[4] == ["hex:2:34"] and [s.split(":")[0] for s in spans[5]] == ["hex", "markov", "hex", "markov"]
+    assert all(key not in r.text and key[::-1] not in r.text for r in secrets.redact(docs, ratio).collect())
