@@ -174,13 +174,14 @@ def file_scores(files: DataFrame, threshold: float = THRESHOLD, file_threshold:
     idf, rows = notice_weights()
     keys = F.array(*[F.lit(k) for k in key_terms(min(threshold, file_threshold))])
     stated = files.where(F.arrays_overlap(terms(F.col("text")), keys)).select("path", F.xxhash64("text").alias("text_key"), "text")
+    # Distinct as plain strings, which are hashed: a file of very many lines takes time in proportion.
+    lines = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n[\x20\t\r]*\n")))
     cuts = F.concat(
-        F.transform(F.split("text", "\n"), lambda s: F.struct(s.alias("words"), F.lit(False).alias("whole"))),
-        F.transform(F.split("text", r"\n[\x20\t\r]*\n"), lambda s: F.struct(s.alias("words"), F.lit(False).alias("whole"))),
+        F.transform(lines, lambda s: F.struct(s.alias("words"), F.lit(False).alias("whole"))),
         F.array(F.struct(F.col("text").alias("words"), F.lit(True).alias("whole"))),
     )
     segment = ["path", "text_key", "pos", "whole"]
-    cut = stated.select("path", "text_key", F.posexplode(F.array_distinct(cuts)).alias("pos", "cut"))
+    cut = stated.select("path", "text_key", F.posexplode(cuts).alias("pos", "cut"))
     cut = cut.select("path", "text_key", "pos", "cut.whole", terms(F.col("cut.words")).alias("terms"))
     cut = cut.where(F.arrays_overlap("terms", keys) & may_reach(F.col("terms"), min(threshold, file_threshold)))
     found = cut.select(*segment, F.explode("terms").alias("term"))

@@ -80,3 +80,14 @@ def test_a_file_with_fewer_terms_is_not_similar_enough():
     for k, (words, least) in enumerate(licenses.least_terms(0.5)):
         parts = sorted((w * w for _, n, _, w in rows if n == k), reverse=True)
         assert len(words) == len(parts) and sum(parts[: least - 1]) < 0.25 <= sum(parts[:least]) + 1e-6
+
+
+def test_a_file_of_very_many_lines_takes_time_in_proportion(spark):
+    import time
+
+    notice = "Licensed under the Apache License, Version 2.0"
+    text = "\n".join([*(f"event {i} of the log was written at {i * 7919}" for i in range(100_000)), notice])
+    files = spark.createDataFrame([("/log.txt", text)], "path string, text string")
+    start = time.time()
+    found = licenses.scan(files).collect()
+    assert [r.own_licence for r in found] == ["Apache-2.0"] and time.time() - start < 60
