@@ -45,6 +45,7 @@ CHUNK = 10  # trees between two looks at the validation rows
 UNIT = float(1 << 24)
 LEAST_GAIN = 1e-6
 ROWS_AT_ONCE = 1 << 16
+TASK_ROWS = 1 << 17  # rows of one task; some 7 MB
 
 
 @dataclass(frozen=True)
@@ -316,7 +317,9 @@ def grow(train: DataFrame, valid: DataFrame | None, cuts: Sequence[np.ndarray],
 
     def stored(rows: DataFrame, name: str) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}").persist(StorageLevel.MEMORY_AND_DISK)
+        kept = spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+        # A task for every so many rows, in all of the many jobs to come; the count is in the files' footers.
+        return kept.coalesce(max(1, -(-kept.count() // TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
 
     def started(rows: DataFrame, name: str) -> DataFrame:
         return stored(rows.select("bins", "unit", F.col("label").cast("double"), F.col("weight").cast("double"), F.lit(0.0).alias("margin")), name)

@@ -14,7 +14,10 @@ from stayline.sources.derived import predictions, subscribers
 def base(spark, tiny):
     customers = subscribers(spark, tiny).cache()
     scores = predictions(spark, tiny).cache()
-    return customers, scores
+    yield customers, scores
+    # Other tests look at the plans of the same tables.
+    customers.unpersist()
+    scores.unpersist()
 
 
 def publish(base, folder, day, version, rows=None):
