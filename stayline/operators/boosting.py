@@ -218,6 +218,9 @@ def _plain_session(spark: SparkSession) -> SparkSession:
     for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(name, spark.conf.get(name))
     session.conf.set("spark.sql.adaptive.enabled", "false")
+    # Nor does anybody read the plans of hundreds of like jobs: describing them takes a tenth of each.
+    session.conf.set("spark.sql.ui.explainMode", "simple")
+    session.conf.set("spark.sql.maxPlanStringLength", "100")
     return session
 
 
