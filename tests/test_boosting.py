@@ -191,3 +191,44 @@ def test_patience_and_quality(spark, tiny):
     assert len(trees) == len(areas) <= best + settings.patience + boosting.CHUNK
     assert max(areas) > 0.6 and (stopped or len(trees) == 40)
     assert len(bins.cuts) == len(MODEL_FEATURES)
+
+
+def test_features_of_few_bins_share_a_byte():
+    """Sums per byte and nodes found from bytes are those of the features themselves."""
+    rng = np.random.default_rng(7)
+    bins = [256, 3, 2, 2, 9, 1, 73, 2, 40]
+    packing = boosting.Packing([np.arange(n - 1.0) for n in bins])
+    rows = np.stack([rng.integers(0, n, 500) for n in bins], axis=1).astype(np.uint8)
+    codes = packing.pack(rows)
+    assert len(codes) == len(packing.sizes) < len(bins) and max(packing.sizes) <= boosting.BINS
+    for f in range(len(bins)):
+        assert (packing.digit(f)[codes[packing.group[f]]] == rows[:, f]).all()
+    sums = np.stack([np.bincount(c, minlength=boosting.BINS) for c in codes])[None, None].repeat(3, axis=0)
+    wide = packing.per_feature(sums, np.arange(len(bins)))
+    assert all((wide[2, 0, f] == np.bincount(rows[:, f], minlength=boosting.BINS)).all() for f in range(len(bins)))
+    tree = boosting.Tree(4)
+    for node in (0, 1, 2, 4, 9):
+        tree.feature[node], tree.bin[node] = (node * 5 + 1) % len(bins), 0
+        tree.feature[[2 * node + 1, 2 * node + 2]] = -1
+    assert (boosting.Walk(tree, packing).nodes_of(codes) == tree.nodes_of(rows)).all()
+
+
+def test_only_the_smaller_of_two_sisters_is_added_up(spark, monkeypatch):
+    rows, cuts = table(spark, *made(5))
+    asked, level_sums = [], boosting.level_sums
+    monkeypatch.setattr(boosting, "level_sums", lambda blocks, tree, nodes, *more: asked.append(list(nodes)) or level_sums(blocks, tree, nodes, *more))
+    boosting.grow(rows, None, cuts, boosting.Boosting(trees=2, depth=4, patience=0), 1)
+    assert all(len({(node - 1) // 2 for node in nodes}) == len(nodes) for nodes in asked)
+
+
+def test_rows_of_one_task_are_dealt_out(spark, monkeypatch):
+    """Blocks in many tasks, whose sums are added up on executors first, give the same trees."""
+    rows, cuts = table(spark, *made(6))
+    settings = boosting.Boosting(trees=12, depth=3, patience=0)
+    whole = boosting.grow(rows.coalesce(1), None, cuts, settings, 1)[0]
+    for name, value in (("TASK_ROWS", 400), ("BLOCK_ROWS", 100), ("DIRECT", 2)):
+        monkeypatch.setattr(boosting, name, value)
+    tasks, for_tree = [], boosting.for_tree
+    monkeypatch.setattr(boosting, "for_tree", lambda blocks, *more: tasks.append(blocks.getNumPartitions()) or for_tree(blocks, *more))
+    split = boosting.grow(rows.coalesce(1), None, cuts, settings, 1)[0]
+    assert set(tasks) == {5} and [as_tuples(t) for t in split] == [as_tuples(t) for t in whole]
