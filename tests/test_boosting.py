@@ -232,3 +232,25 @@ def test_rows_of_one_task_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(boosting, "for_tree", lambda blocks, *more: tasks.append(blocks.getNumPartitions()) or for_tree(blocks, *more))
     split = boosting.grow(rows.coalesce(1), None, cuts, settings, 1)[0]
     assert set(tasks) == {5} and [as_tuples(t) for t in split] == [as_tuples(t) for t in whole]
+
+
+def test_all_cores_have_rows_to_add_up():
+    assert [boosting.tasks_for(n, 12) for n in (0, 2000, 100_000, 648_000, 3_900_000)] == [1, 1, 6, 12, 24]
+    assert boosting.tasks_for(10**9, 12) >= 10**9 / boosting.TASK_ROWS
+
+
+def test_the_levels_of_a_tree_read_bytes_and_gradients_of_drawn_rows_only(spark, monkeypatch):
+    rows, cuts = table(spark, *made(7))
+    unit = np.array([r["unit"] for r in rows.select("unit").collect()])
+    seen, level_sums = [], boosting.level_sums
+
+    def watch(blocks, *more):
+        seen.append(blocks.map(lambda block: (len(block), block[0].shape[1], sum(x.nbytes for x in block[1:]))).collect())
+        return level_sums(blocks, *more)
+
+    monkeypatch.setattr(boosting, "level_sums", watch)
+    settings = boosting.Boosting(trees=12, depth=1, rows=0.5, patience=0)
+    boosting.grow(rows, None, cuts, settings, 1)
+    for number, blocks in enumerate(seen):
+        drawn = boosting.drawn_rows(unit, 1, number, 0.5).sum()
+        assert {b[0] for b in blocks} == {3} and sum(b[1] for b in blocks) == drawn and sum(b[2] for b in blocks) == 8 * drawn
