@@ -89,11 +89,11 @@ def _group_contributions(features, low, width, table, users, bins: np.ndarray, s
             inside = np.take(own, features[j], axis=0)
             inside -= low[j, :, None]
             met |= (inside < width[j, :, None]).astype(met.dtype) << met.dtype.type(j)
-        at = met.astype(np.int32)
-        at += (np.arange(leaves, dtype=np.int32) << n)[:, None]
+        at = met.astype(np.intp)  # what an index is turned into anyway
+        at += (np.arange(leaves) << n)[:, None]
         for j, found in enumerate(users):
             for f, chosen in found:
-                total[f, block] += np.take(table[j], np.take(at, chosen, axis=0)).sum(axis=0)
+                total[f, block] += np.take(table[j], np.take(at, chosen, axis=0), mode="clip").sum(axis=0)
     return total
 
 

@@ -334,3 +334,16 @@ print("FOUND", [r["c"][1] for r in found])
     )
     # base 2.0; twice the margin's (-1 - 2) and (3 - 2)
     assert "FOUND [-6.0, 2.0]" in done.stdout, done.stderr[-2000:]
+
+
+def test_tables_are_looked_up_by_indices_that_need_no_conversion(monkeypatch):
+    paths = [(1.0, {0: (-np.inf, 1.0, 0.4), 1: (-np.inf, 2.0, 0.5)}), (2.0, {0: (1.0, np.inf, 0.6)})]
+    tables = explain.group_leaves(paths, 2)
+    rows = np.array([[0.0, 0.0], [2.0, 3.0], [1.0, 2.0]])
+    kinds, take = set(), np.take
+    monkeypatch.setattr(explain.np, "take", lambda a, at, **more: (kinds.add(at.dtype) if a.dtype == float else None, take(a, at, **more))[1])
+    found = tables.contributions(rows)
+    assert kinds == {np.dtype(np.intp)}
+    for row, own in zip(rows, found):
+        whole = sum(v * all(low < row[f] <= high for f, (low, high, _) in path.items()) for v, path in paths)
+        assert own.sum() + tables.base == pytest.approx(whole)
