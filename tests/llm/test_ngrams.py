@@ -100,3 +100,19 @@ def test_the_query_reads_more_than_one_word_of_history(spark, tiny):
     assert ngrams.ORDER >= 3
     for r in queries()["op7_lm_score"](spark, tiny).limit(20).collect():
         assert r.score == pytest.approx(model.walk(texts[r.doc_id]), rel=1e-9)
+
+
+def test_sorted_hashes_are_packed_without_loss():
+    some = np.random.default_rng(7).integers(0, 1 << 64, 5000, dtype=np.uint64)
+    for hashes in (np.unique(some), np.unique(some >> np.uint64(3)), np.array([0, 1, 1 << 40, (1 << 64) - 1], np.uint64), some[:0]):
+        assert (ngrams._sorted_unpacked(*ngrams._sorted_packed(hashes)) == hashes).all()
+    low, high = ngrams._sorted_packed(np.unique(np.random.default_rng(8).integers(0, 1 << 64, 1 << 20, dtype=np.uint64)))
+    assert len(low) + len(high) < 6 * (1 << 20)
+
+
+def test_texts_are_moved_to_their_blocks_once(spark, tiny):
+    found = ngrams.score_documents(spark.read.parquet(f"{tiny}/documents.parquet"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Texts, messages and replies; the second reading of the texts is of the same shuffle.
+    assert plan.count("- Exchange ") == 3 and plan.count("ReusedExchange") == 1
