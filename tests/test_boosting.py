@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import boosting, modeling
+from stayline.operators.evaluation import roc_auc
 from stayline.plans import pipeline
 from stayline.schemas import MODEL_FEATURES
 from stayline.sources.derived import raw_subscribers
@@ -254,3 +255,31 @@ def test_the_levels_of_a_tree_read_bytes_and_gradients_of_drawn_rows_only(spark,
     for number, blocks in enumerate(seen):
         drawn = boosting.drawn_rows(unit, 1, number, 0.5).sum()
         assert {b[0] for b in blocks} == {3} and sum(b[1] for b in blocks) == drawn and sum(b[2] for b in blocks) == 8 * drawn
+
+
+def test_areas_take_one_shuffle_and_equal_the_metric(spark, monkeypatch):
+    """Many pieces, ties across pieces and cells, one tree that tells nothing and a round of one class only."""
+    monkeypatch.setattr(boosting, "ROWS_AT_ONCE", 50)
+    rng = np.random.default_rng(9)
+    bins, label = rng.integers(0, 8, 600).astype(np.uint8), rng.integers(0, 2, 600)
+    rows = spark.createDataFrame([(bytes([b]), i, float(t), 1.0, float(b % 3)) for i, (b, t) in enumerate(zip(bins, label))], "bins binary, unit long, label double, weight double, margin double")
+    trees = [boosting.Tree(1), boosting.Tree(1)]
+    trees[1].feature[:], trees[1].bin[0], trees[1].value[1:] = [0, -1, -1], 3, [-0.7, 0.4]
+    plain = boosting._plain_session(spark)
+    own = plain.createDataFrame(rows.toArrow()).repartition(5)
+    spark.sparkContext.setJobGroup("areas", "areas")
+    try:
+        found = boosting.areas_after(own, trees, 1)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("areas")
+        stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1 and len(stages) == 3  # one of them is the test's own repartition
+    margin = (bins % 3).astype(float)
+    for area, tree in zip(found, trees):
+        margin = margin + tree.predict(bins[:, None])
+        scored = [(float(1 / (1 + np.exp(-m))), int(t)) for m, t in zip(margin, label)]
+        frame = spark.createDataFrame(scored, "score double, label int").withColumn("round", F.lit(0))
+        assert area == roc_auc(frame, ["round"], digits=10).first()["roc_auc"]
+    assert boosting.areas_after(own.filter("label = 1"), trees, 1) == [0.0, 0.0]
+    assert boosting.areas_after(own.filter("label = 2"), trees, 1) == [0.0, 0.0]
