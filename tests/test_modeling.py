@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import boosting, explain, modeling
-from stayline.plans import pipeline
+from stayline.plans import catalog, pipeline
 from stayline.schemas import MODEL_FEATURES
 from stayline.sources.derived import raw_subscribers
 
@@ -347,3 +347,12 @@ def test_tables_are_looked_up_by_indices_that_need_no_conversion(monkeypatch):
     for row, own in zip(rows, found):
         whole = sum(v * all(low < row[f] <= high for f, (low, high, _) in path.items()) for v, path in paths)
         assert own.sum() + tables.base == pytest.approx(whole)
+
+
+def test_the_test_rows_of_a_trained_model_are_derived_once(spark, tiny, trained, monkeypatch):
+    """The split and the result read a table that was written once, not the customers and orders again."""
+    matrix, model, report = trained
+    monkeypatch.setattr(catalog, "_tuned", lambda *_: model)
+    found = catalog.catalog()["gbt_confusion"](spark, tiny)
+    assert found.inputFiles() and all("/labelled-" in file for file in found.inputFiles())
+    assert sum(r["predicted_stay"] + r["predicted_churn"] for r in found.collect()) == report["test_rows"]
